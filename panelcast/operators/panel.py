@@ -30,6 +30,22 @@ def filter_keys(df: DataFrame, key: str, wanted: Iterable | DataFrame | None) ->
     return df.filter(F.col(key).isin(wanted)) if wanted else df
 
 
+def execution_window(facts: DataFrame, spec: PanelSpec, window: int = 728, test_size: int = 21) -> DataFrame:
+    """The run bounds that follow from the newest fact, as one row.
+
+    The execution date is the day after the newest fact; the other days are
+    those of ``Cutoffs`` for it.
+    """
+    newest = facts.agg(F.max(F.col(spec.time).cast("date")).alias("end_date"))
+    n = spec.step_days
+    return newest.select(
+        F.date_add("end_date", 1).alias("execution_date"),
+        F.date_sub("end_date", window * n - 1).alias("start_date"),
+        F.date_sub("end_date", test_size * n).alias("train_end"),
+        "end_date",
+    )
+
+
 def clip(facts: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     """Rows from ``cut.start`` to ``cut.end``, both days included.
 

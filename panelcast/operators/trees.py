@@ -87,7 +87,6 @@ def tree_model(name: str, params: dict, model_id: str) -> LagTrees:
         "maxDepth": params.pop("max_depth", 6),
         "minInfoGain": float(params.pop("gamma", 0.0)),
         "seed": params.pop("random_state", 7),
-        "cacheNodeIds": True,
     }
     if name == "XGBModel":
         for penalty in ("lambda", "alpha"):

@@ -14,12 +14,16 @@ from panelcast.operators.panel import _last_point, on_grid
 from panelcast.spec import Cutoffs, PanelSpec
 
 
-def series_vectors(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
+def series_vectors(daily: DataFrame, spec: PanelSpec, cut: Cutoffs, tasks: int | None = None) -> DataFrame:
     """Columns ``keys…, start, n_train, ys`` from a daily (filled or sparse) panel.
 
     ``ys`` runs from the first day of the series to the end of the window with
     0 in the holes, and its first ``n_train`` entries are training points.
+    ``tasks`` fixes the number of partitions of the one shuffle on the keys;
+    left out, Spark sizes them by bytes, which suits cheap models only.
     """
+    if tasks:
+        daily = daily.repartition(tasks, *spec.keys)
     step = F.lit(spec.step_days)
     cells = F.sort_array(F.collect_list(F.struct(F.col(spec.time).alias("t"), F.col(spec.value).alias("y"))))
     gathered = on_grid(daily, spec, cut).groupBy(*spec.keys).agg(cells.alias("cells"))

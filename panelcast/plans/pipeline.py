@@ -36,6 +36,7 @@ class Workflow:
     metrics: tuple[str | Metric, ...] = ("rmse", "mae", "mape")
     select_on: str = "mape"
     buckets: int | None = None
+    location: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def __post_init__(self) -> None:
@@ -61,7 +62,7 @@ class Workflow:
     # ---------------------------------------------------------------- steps
 
     def create_database(self, spark: SparkSession) -> None:
-        tables.create_database(spark, self.database)
+        tables.create_database(spark, self.database, self.location)
         self._log(spark, "create_database")
 
     def ingest(

@@ -34,8 +34,10 @@ def use_catalog(spark: SparkSession, catalog: str) -> None:
     spark.catalog.setCurrentCatalog(catalog)
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create the database if it is absent, in the warehouse or at ``location``."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{place}")
 
 
 def create_table(
