@@ -52,7 +52,8 @@ def naive_moving_average(ys: Column, steps: int, input_chunk_length: int = 7) ->
     """Each step is the mean of the last ``input_chunk_length`` values, forecasts included."""
     k = input_chunk_length
     recent = F.slice(ys, F.lit(-k), F.lit(k))
-    weights = F.lit(moving_average_weights(k, steps))
+    rows = [", ".join(f"{w!r}D" for w in row) for row in moving_average_weights(k, steps)]
+    weights = F.expr("array(" + ", ".join(f"array({row})" for row in rows) + ")")
     return F.transform(weights, lambda w: total(F.zip_with(w, recent, lambda a, y: a * y)))
 
 

@@ -175,6 +175,7 @@ def python_metric(function: Callable[[pd.Series, pd.Series], float]) -> Metric:
         return r.apply(function)
 
     metric.__name__ = function.__name__
+    metric.in_python = True
     return metric
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from typing import Any, Protocol
+from typing import Any, NamedTuple, Protocol
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from panelcast.functions import baselines
 from panelcast.functions.regression import Decomposition, auto_arima, decomposed, holiday_pairs
 from panelcast.functions.smoothing import holt_winters
-from panelcast.operators.vectors import next_day, train_part, unroll
+from panelcast.operators.trees import LagTrees, tree_model
+from panelcast.operators.vectors import next_day, train_part, unfold, unroll
+from panelcast.sources.spool import spool
 from panelcast.spec import PanelSpec, positive
 
 
@@ -28,7 +30,6 @@ class Model(Protocol):
 
     model_id: str
     min_length: int  # values a series needs; shorter ones get a null array
-    rereads: bool  # whether fitting passes over the frame more than once
 
     def attach(self, df: DataFrame, spec: PanelSpec, ys: str, start: str, steps: int, out: str) -> DataFrame:
         """Add the array column ``out`` with ``steps`` forecasts after the values in ``ys``."""
@@ -41,7 +42,6 @@ class ArrayModel:
     model_id: str
     min_length: int
     forecast: Callable[[Column, Column, int, int], Column]
-    rereads: bool = False
 
     def attach(self, df: DataFrame, spec: PanelSpec, ys: str, start: str, steps: int, out: str) -> DataFrame:
         ahead = self.forecast(F.col(ys), F.col(start), steps, spec.step_days)
@@ -66,7 +66,6 @@ class Plugin:
     params: tuple[tuple[str, Any], ...] = ()
     min_length: int = 1
     on_error: str = "raise"
-    rereads: bool = False
 
     def __post_init__(self) -> None:
         if self.on_error not in ("raise", "report"):
@@ -188,8 +187,6 @@ def make_model(model: str | Callable[..., Any], params: dict | None = None, mode
     for name in DROPPED_SETTINGS.get(model, ()):
         params.pop(name, None)
     if model in TREE_MODELS:
-        from panelcast.operators.trees import tree_model
-
         return tree_model(model, params, model_id or model)
     try:
         min_length, forecast = ARRAY_MODELS[model](**params)
@@ -208,6 +205,34 @@ def distinct_ids(models: Sequence[Model]) -> Sequence[Model]:
 # ------------------------------------------------------------------------ frames
 
 
+class Fit(NamedTuple):
+    """One model, the array column it learns from, its number of steps and its result column."""
+
+    model: Model
+    ys: str
+    steps: int
+    out: str
+
+
+def attach_all(df: DataFrame, spec: PanelSpec, fits: Sequence[Fit]) -> DataFrame:
+    """Add the result columns of several fits.
+
+    Models that train over the whole frame read it several times and predict
+    step by step, so the frame is written out before them and after them;
+    all the others follow as expressions on the stored rows.
+    """
+    pooled = [fit for fit in fits if isinstance(fit.model, LagTrees)]
+    if pooled:
+        df = stored = spool(df)
+        for model, ys, steps, out in pooled:
+            df = model.fit(stored, ys).attach(df, spec, ys, "start", steps, out)
+        df = spool(df)
+    for model, ys, steps, out in fits:
+        if not isinstance(model, LagTrees):
+            df = model.attach(df, spec, ys, "start", steps, out)
+    return df
+
+
 def history(vectors: DataFrame, spec: PanelSpec, which: str) -> DataFrame:
     """``keys…, start, ys`` with the training values (``train``) or all of them (``full``)."""
     if which not in ("train", "full"):
@@ -222,12 +247,10 @@ def forecast_arrays(hist: DataFrame, spec: PanelSpec, models: Sequence[Model], s
     Series too short for a model have no row for it.
     """
     positive("steps", steps)
-    df = hist
-    for i, model in enumerate(distinct_ids(models)):
-        df = model.attach(df, spec, "ys", "start", steps, f"f{i}")
+    df = attach_all(hist, spec, [Fit(m, "ys", steps, f"f{i}") for i, m in enumerate(distinct_ids(models))])
     runs = [F.struct(F.lit(m.model_id).alias("model"), F.col(f"f{i}").alias("forecast")) for i, m in enumerate(models)]
     return (
-        df.select(*spec.keys, next_day(F.col("start"), F.col("ys"), spec.step_days).alias("first"), F.explode(F.array(*runs)).alias("run"))
+        df.select(*spec.keys, next_day(F.col("start"), F.col("ys"), spec.step_days).alias("first"), unfold(F.array(*runs)).alias("run"))
         .select("run.model", *spec.keys, "first", "run.forecast")
         .filter(F.col("forecast").isNotNull())
     )

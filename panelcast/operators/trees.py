@@ -12,7 +12,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import (
+    GBTRegressionModel,
+    GBTRegressor,
+    RandomForestRegressionModel,
+    RandomForestRegressor,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +33,6 @@ class LagTrees:
     model_id: str
     estimator: GBTRegressor | RandomForestRegressor
     lags: int
-    rereads: bool = True
 
     @property
     def min_length(self) -> int:
@@ -48,23 +52,46 @@ class LagTrees:
             )
         )
 
+    def fit(self, df: DataFrame, ys: str) -> FittedTrees:
+        """Train on all windows of the array column; ``df`` is read several times."""
+        training = self.windows(df, ys)
+        model = None if training.isEmpty() else self.estimator.fit(training)
+        return FittedTrees(self.model_id, model, self.lags)
+
     def attach(self, df: DataFrame, spec: PanelSpec, ys: str, start: str, steps: int, out: str) -> DataFrame:
-        """Fits now, so ``df`` is first written out unless its rows are stored already."""
         df = spool(df)
-        training = self.windows(df, ys)
-        if training.isEmpty():
+        return spool(self.fit(df, ys).attach(df, spec, ys, start, steps, out))
+
+
+@dataclass(frozen=True)
+class FittedTrees:
+    """A trained ensemble, ready to continue any series; without training data it yields nulls."""
+
+    model_id: str
+    model: GBTRegressionModel | RandomForestRegressionModel | None
+    lags: int
+
+    @property
+    def min_length(self) -> int:
+        return self.lags + 1
+
+    def attach(self, df: DataFrame, spec: PanelSpec, ys: str, start: str, steps: int, out: str) -> DataFrame:
+        if self.model is None:
             return df.withColumn(out, F.lit(None).cast("array<double>"))
-        model = self.estimator.fit(training)
         long_enough = F.size(ys) >= self.min_length
         recent = F.when(long_enough, F.slice(ys, F.lit(-self.lags), F.lit(self.lags)))
         recent = F.coalesce(recent, F.array_repeat(F.lit(0.0), self.lags))
-        ahead = df.withColumn("unit", _unit(ys)).withColumn("recent", F.transform(recent, lambda v: v / F.col("unit")))
+        unit = F.col("unit")
+        ahead = df.withColumn("unit", _unit(ys)).withColumn("recent", F.transform(recent, lambda v: v / unit))
+        ahead = ahead.withColumn("features", array_to_vector("recent"))
+        kept = [*df.columns, "unit"]
         for step in range(steps):
-            ahead = model.transform(ahead.withColumn("features", array_to_vector("recent")))
-            ahead = ahead.withColumnRenamed("prediction", f"step_{step}").withColumn(
-                "recent", F.concat(F.slice("recent", 2, self.lags - 1), F.array(f"step_{step}"))
-            ).drop("features")
-        values = F.transform(F.array(*[f"step_{i}" for i in range(steps)]), lambda v: v * F.col("unit"))
+            moved = F.concat(F.slice("recent", 2, self.lags - 1), F.array("prediction"))
+            ahead = self.model.transform(ahead).select(
+                *kept, F.col("prediction").alias(f"step_{step}"), moved.alias("recent"), array_to_vector(moved).alias("features")
+            )
+            kept.append(f"step_{step}")
+        values = F.transform(F.array(*[f"step_{i}" for i in range(steps)]), lambda v: v * unit)
         return ahead.select(*df.columns, F.when(long_enough, values).alias(out))
 
 

@@ -62,9 +62,24 @@ def horizon(first: Column, steps: int, step_days: int) -> Column:
     return F.sequence(first, F.date_add(first, (steps - 1) * step_days), F.expr(f"interval {step_days} day"))
 
 
+# A filter on a computed array is pushed below the expressions that compute it and
+# evaluates them a second time; Spark also infers such filters for ``explode``. The
+# outer generators infer none, and what a generator puts out cannot be pushed below
+# it. Results of models and metrics are therefore unfolded with these two functions.
+
+
+def unfold(array: Column | str) -> Column:
+    """``explode`` that leaves its input alone; filter the nulls of empty arrays afterwards."""
+    return F.explode_outer(array)
+
+
 def unroll(df: DataFrame, spec: PanelSpec, first: str, values: str, *carry: str) -> DataFrame:
     """Rows ``carry…, keys…, time, value`` from one array of values per row."""
-    t = F.date_add(F.col(first), F.col("pos") * spec.step_days)
-    return df.select(*carry, *spec.keys, first, F.posexplode(values).alias("pos", "v")).select(
-        *carry, *spec.keys, t.alias(spec.time), F.col("v").alias(spec.value)
+    cells = F.transform(
+        values,
+        lambda v, i: F.struct(
+            *carry, F.date_add(F.col(first), i * spec.step_days).alias(spec.time), v.alias(spec.value)
+        ),
     )
+    rows = df.select(*spec.keys, F.inline_outer(cells))
+    return rows.filter(F.col(spec.time).isNotNull()).select(*carry, *spec.columns)

@@ -16,12 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from panelcast.functions.metrics import Metric, resolve
-from panelcast.operators.models import Model, distinct_ids, forecast_rows, history
+from panelcast.operators.models import Model, forecast_rows, history
 from panelcast.operators.panel import filter_keys, make_panel, only
 from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, metrics_long, score_join
 from panelcast.operators.vectors import series_vectors
 from panelcast.sources import tables
-from panelcast.sources.spool import spool
 from panelcast.spec import Cutoffs, PanelSpec, positive
 
 
@@ -93,8 +92,6 @@ class Workflow:
         only their own ``model`` partitions are replaced.
         """
         vectors = series_vectors(self._read(spark, "split"), self.spec, self.cut)
-        if any(m.rereads for m in distinct_ids(models)):
-            vectors = spool(vectors)
         for table, which, ahead in (
             ("forecast_on_test", "train", self.cut.test_size),
             ("all_models_forecast", "full", self.steps),
