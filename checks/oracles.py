@@ -8,6 +8,7 @@ meet actuals in a join.
 from __future__ import annotations
 
 from checks.datasets import DENSE, RECENT, SHORT, SPARSE, SUPPLIERS, WEEKLY, Dataset
+from panelcast.functions.smoothing import COARSE, FINE
 
 STEPS = 21
 
@@ -88,22 +89,54 @@ def croston(d: Dataset, h: int, src: str, name: str, version: str, a: float = 0.
       FROM {name}_q LEFT JOIN {name}_z USING ({d.keys}), {steps(h)})"""
 
 
-def holt_winters(d: Dataset, h: int, src: str, name: str, a: float, b: float, g: float, m: int = 7) -> str:
+def smoothed(d: Dataset, src: str, name: str, params: str, m: int = 7) -> str:
+    """``<name>``: level, trend, season and squared error after the last value, per row of ``params(keys, wa, wb, wg)``."""
     return f"""{name}_0 AS (
       SELECT {d.keys}, n, AVG(CASE WHEN i <= {m} THEN y END) AS l,
         (AVG(CASE WHEN i > {m} THEN y END) - AVG(CASE WHEN i <= {m} THEN y END)) / {m} AS b,
         LIST(y ORDER BY i) FILTER (i <= {m}) AS ys
       FROM {src} WHERE n >= {2 * m} AND i <= {2 * m} GROUP BY {d.keys}, n),
     {name}_r AS (
-      SELECT {d.keys}, n, CAST({m} AS BIGINT) AS i, l, b, list_transform(ys, lambda y: y - l) AS c FROM {name}_0
+      SELECT {d.keys}, wa, wb, wg, n, CAST({m} AS BIGINT) AS i, l, b, list_transform(ys, lambda y: y - l) AS c,
+        CAST(0 AS DOUBLE) AS sse
+      FROM {name}_0 JOIN {params} USING ({d.keys})
       UNION ALL
-      SELECT {d.keys}, n, i, l, b, list_append(c[2:], c[1] + {g} * (y - l - c[1])) FROM (
-        SELECT {d.keys}, n, i, y, c, l, b0 + {b} * (l - l0 - b0) AS b FROM (
-          SELECT {d.keys}, x.n, x.i, x.y, r.c, r.l AS l0, r.b AS b0,
-            r.l + r.b + {a} * (x.y - r.l - r.b - r.c[1]) AS l
-          FROM {name}_r r JOIN {src} x USING ({d.keys}) WHERE x.i = r.i + 1))),
-    {name} AS (
-      SELECT {d.keys}, s, l + b * s + c[(s - 1) % {m} + 1] AS v FROM {name}_r, {steps(h)} WHERE i = n)"""
+      SELECT {d.keys}, wa, wb, wg, n, i, l, b, list_append(c[2:], c[1] + wg * (y - l - c[1])), sse FROM (
+        SELECT {d.keys}, wa, wb, wg, n, i, y, c, l, b0 + wb * (l - l0 - b0) AS b, sse + e * e AS sse FROM (
+          SELECT *, l0 + b0 + wa * e AS l FROM (
+            SELECT {d.keys}, wa, wb, wg, x.n, x.i, x.y, r.c, r.sse, r.l AS l0, r.b AS b0, x.y - r.l - r.b - r.c[1] AS e
+            FROM {name}_r r JOIN {src} x USING ({d.keys}) WHERE x.i = r.i + 1)))),
+    {name} AS (SELECT * FROM {name}_r WHERE i = n)"""
+
+
+def carried_on(d: Dataset, h: int, src: str, name: str, m: int = 7) -> str:
+    return f"{name} AS (SELECT {d.keys}, s, l + b * s + c[(s - 1) % {m} + 1] AS v FROM {src}, {steps(h)})"
+
+
+def holt_winters(d: Dataset, h: int, src: str, name: str, a: float, b: float, g: float) -> str:
+    weights = f"{name}_p AS (SELECT DISTINCT {d.keys}, {a} AS wa, {b} AS wb, {g} AS wg FROM {src})"
+    return ", ".join([weights, smoothed(d, src, f"{name}_e", f"{name}_p"), carried_on(d, h, f"{name}_e", name)])
+
+
+def exp_smoothing(d: Dataset, h: int, src: str, name: str) -> str:
+    """The weights with the least squared error on a coarse grid, then on a fine one around it."""
+
+    def best(of: str) -> str:
+        return f"(SELECT * FROM {of} QUALIFY ROW_NUMBER() OVER (PARTITION BY {d.keys} ORDER BY sse) = 1)"
+
+    def values(candidates) -> str:
+        rows = ", ".join(f"({x}, {y}, {z})" for x, y, z in candidates)
+        return f"(SELECT * FROM (VALUES {rows}) AS w(fa, fb, fg))"
+
+    def clipped(w: str, f: str) -> str:
+        return f"LEAST(GREATEST({w} * {f}, 0.0), 1.0) AS {w}"
+
+    coarse = f"""{name}_p AS (SELECT {d.keys}, CAST(fa AS DOUBLE) AS wa, CAST(fb AS DOUBLE) AS wb, CAST(fg AS DOUBLE) AS wg
+      FROM (SELECT DISTINCT {d.keys} FROM {src}), {values(COARSE)})"""
+    fine = f"""{name}_f AS (SELECT {d.keys}, {clipped('wa', 'fa')}, {clipped('wb', 'fb')}, {clipped('wg', 'fg')}
+      FROM {best(f'{name}_c')}, {values(FINE)})"""
+    parts = [coarse, smoothed(d, src, f"{name}_c", f"{name}_p"), fine, smoothed(d, src, f"{name}_e", f"{name}_f")]
+    return ", ".join([*parts, carried_on(d, h, best(f"{name}_e"), name)])
 
 
 def ar1(d: Dataset, h: int, src: str, name: str) -> str:
@@ -115,6 +148,17 @@ def ar1(d: Dataset, h: int, src: str, name: str) -> str:
     {name} AS (SELECT {d.keys}, s, v FROM {name}_r WHERE s > 0)"""
 
 
+def arima_110(d: Dataset, h: int, src: str, name: str) -> str:
+    """An AR(1) on the differences, added up from the last value."""
+    return f"""{name}_w AS (SELECT {d.keys}, i, n, y, y - LAG(y) OVER (PARTITION BY {d.keys} ORDER BY i) AS w FROM {src}),
+    {name}_x AS (SELECT {d.keys}, i, n, y, w, LAG(w) OVER (PARTITION BY {d.keys} ORDER BY i) AS x FROM {name}_w),
+    {name}_r AS (
+      SELECT {d.keys}, 0 AS s, REGR_SLOPE(w, x) AS b, REGR_INTERCEPT(w, x) AS a,
+        MAX(CASE WHEN i = n THEN w END) AS w, MAX(CASE WHEN i = n THEN y END) AS v FROM {name}_x GROUP BY {d.keys}
+      UNION ALL SELECT {d.keys}, s + 1, b, a, a + b * w, v + a + b * w FROM {name}_r WHERE s < {h}),
+    {name} AS (SELECT {d.keys}, s, v FROM {name}_r WHERE s > 0)"""
+
+
 def linear_trend(d: Dataset, h: int, src: str, name: str) -> str:
     return f"""{name} AS (SELECT {d.keys}, s, a + b * (n + s) AS v FROM (
       SELECT {d.keys}, n, REGR_SLOPE(y, i) AS b, REGR_INTERCEPT(y, i) AS a FROM {src} GROUP BY {d.keys}, n), {steps(h)})"""
@@ -277,6 +321,8 @@ def oracle_sql() -> dict[str, str]:
         "fc_croston_classic": (q, "Croston", croston(q, STEPS, "h", "fc", "classic")),
         "fc_croston_tsb": (q, "Croston", croston(q, STEPS, "h", "fc", "tsb")),
         "fc_holt_winters": (p, "ExponentialSmoothing", holt_winters(p, STEPS, "h", "fc", 0.3, 0.1, 0.2)),
+        "fc_exp_smoothing": (p, "ExponentialSmoothing", exp_smoothing(p, STEPS, "h", "fc")),
+        "fc_arima_110": (p, "AutoARIMA", arima_110(p, STEPS, "h", "fc")),
         "fc_ar1": (p, "LinearRegressionModel", ar1(p, STEPS, "h", "fc")),
         "fc_linear_trend": (q, "Prophet", linear_trend(q, STEPS, "h", "fc")),
         "fc_weekday_means": (s, "Prophet", weekday_means(s, STEPS, "h", "fc")),

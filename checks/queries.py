@@ -323,7 +323,8 @@ def queries() -> dict[str, Query]:
         "fc_croston_classic": forecast_of(SPARSE, make_model("Croston", {"version": "classic"})),
         "fc_croston_tsb": forecast_of(SPARSE, make_model("Croston", {"version": "tsb"})),
         "fc_holt_winters": forecast_of(DENSE, make_model("ExponentialSmoothing", {"params": (0.3, 0.1, 0.2)})),
-        "fc_exp_smoothing": forecast_of(SUPPLIERS, make_model("ExponentialSmoothing")),
+        "fc_exp_smoothing": forecast_of(DENSE, make_model("ExponentialSmoothing")),
+        "fc_arima_110": forecast_of(DENSE, make_model("AutoARIMA", {"order": (1, 1, 0)})),
         "fc_ar1": forecast_of(DENSE, make_model("LinearRegressionModel", {"lags": 1})),
         "fc_auto_arima": forecast_of(SUPPLIERS, make_model("AutoARIMA")),
         "fc_linear_trend": forecast_of(

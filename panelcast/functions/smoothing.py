@@ -14,8 +14,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Series x candidates handled together; bounds the memory of a Python worker.
-BLOCK_CELLS = 200_000
+# Series handled together; bounds the memory of a Python worker.
+BLOCK = 1000
 COARSE = tuple(product((0.1, 0.3, 0.5, 0.8), (0.01, 0.1, 0.3), (0.05, 0.2, 0.5)))
 FINE = tuple(product((0.7, 1.0, 1.4), (0.3, 1.0, 2.0), (0.5, 1.0, 1.6)))
 
@@ -86,15 +86,14 @@ def holt_winters(ys: Column, steps: int, seasonal_periods: int = 7, params=None)
     m = seasonal_periods
     if params is not None and (len(params) != 3 or not all(0 <= p <= 1 for p in params)):
         raise ValueError("params must be three weights between 0 and 1")
-    block = max(1, BLOCK_CELLS // max(len(COARSE), len(FINE)))
 
     @F.pandas_udf("array<double>")
     def fit_and_forecast(batch: pd.Series) -> pd.Series:
         result = pd.Series([None] * len(batch), dtype=object)
         usable = [i for i, y in enumerate(batch) if y is not None and len(y) >= 2 * m]
         usable.sort(key=lambda i: -len(batch.iloc[i]))
-        for lo in range(0, len(usable), block):
-            some = usable[lo : lo + block]
+        for lo in range(0, len(usable), BLOCK):
+            some = usable[lo : lo + BLOCK]
             ahead = forecast_block([batch.iloc[i] for i in some], m, steps, params)
             for i, row in zip(some, ahead):
                 result.iloc[i] = row
