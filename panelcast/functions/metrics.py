@@ -33,10 +33,11 @@ class Residuals(Protocol):
 
 @dataclass(frozen=True)
 class RowResiduals:
-    """Points in the rows of a group."""
+    """Points in the rows of a group; ``order`` is their day."""
 
     actual: Column
     predicted: Column
+    order: Column
 
     def total(self, term: Term) -> Column:
         return F.sum(term(self.actual, self.predicted))
@@ -45,11 +46,12 @@ class RowResiduals:
         return F.count_if(condition(self.actual, self.predicted))
 
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
-        @F.pandas_udf("double")
-        def evaluate(y: pd.Series, p: pd.Series) -> float:
-            return float(function(y, p))
-
-        return evaluate(self.actual, self.predicted)
+        # A group holds one horizon of points, so it may be gathered; a grouped
+        # Python aggregate could not stand next to the built-in ones.
+        point = F.struct(self.order.alias("t"), self.actual.alias("y"), self.predicted.alias("p"))
+        points = F.sort_array(F.collect_list(point))
+        ys, ps = F.transform(points, lambda c: c["y"]), F.transform(points, lambda c: c["p"])
+        return ArrayResiduals(ys, ps).apply(function)
 
 
 @dataclass(frozen=True)

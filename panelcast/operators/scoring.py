@@ -20,7 +20,7 @@ def score_join(test: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFra
 
 def metrics_wide(joined: DataFrame, spec: PanelSpec, metrics: Sequence[str | Metric]) -> DataFrame:
     """One row per (model, series) with a column per metric."""
-    r = RowResiduals(F.col(spec.value), F.col("prediction"))
+    r = RowResiduals(F.col(spec.value), F.col("prediction"), F.col(spec.time))
     columns = [metric(r).alias(name) for name, metric in resolve(list(metrics)).items()]
     return joined.groupBy("model", *spec.keys).agg(*columns)
 

@@ -9,7 +9,9 @@ step, as a chain of narrow projections.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import (
@@ -31,7 +33,7 @@ class LagTrees:
     """A pooled tree ensemble on the last ``lags`` values."""
 
     model_id: str
-    estimator: GBTRegressor | RandomForestRegressor
+    make_estimator: Callable[[], GBTRegressor | RandomForestRegressor]  # needs a running session
     lags: int
 
     @property
@@ -55,7 +57,7 @@ class LagTrees:
     def fit(self, df: DataFrame, ys: str) -> FittedTrees:
         """Train on all windows of the array column; ``df`` is read several times."""
         training = self.windows(df, ys)
-        model = None if training.isEmpty() else self.estimator.fit(training)
+        model = None if training.isEmpty() else self.make_estimator().fit(training)
         return FittedTrees(self.model_id, model, self.lags)
 
     def attach(self, df: DataFrame, spec: PanelSpec, ys: str, start: str, steps: int, out: str) -> DataFrame:
@@ -122,11 +124,11 @@ def tree_model(name: str, params: dict, model_id: str) -> LagTrees:
         objective = params.pop("objective", "reg:squarederror")
         if objective != "reg:squarederror":
             raise ValueError(f"only squared error is supported, got {objective!r}")
-        estimator = GBTRegressor(
-            maxIter=params.pop("n_estimators", 20), stepSize=params.pop("learning_rate", 0.3), **common
-        )
+        settings = {"maxIter": params.pop("n_estimators", 20), "stepSize": float(params.pop("learning_rate", 0.3))}
+        estimator = GBTRegressor
     else:
-        estimator = RandomForestRegressor(numTrees=params.pop("n_estimators", 100), **common)
+        settings = {"numTrees": params.pop("n_estimators", 100)}
+        estimator = RandomForestRegressor
     if params:
         raise ValueError(f"unknown settings for {name}: {sorted(params)}")
-    return LagTrees(model_id, estimator, lags)
+    return LagTrees(model_id, partial(estimator, **settings, **common), lags)
