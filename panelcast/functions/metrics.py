@@ -146,7 +146,7 @@ def r2(r: Residuals) -> Column:
     """Share of the variance explained; null when the actuals do not vary."""
     n = r.count(every)
     total = r.total(lambda y, p: y)
-    spread = r.total(lambda y, p: y * y) - total * total / n
+    spread = r.total(lambda y, p: y * y) - total * total / F.nullif(n, F.lit(0))
     return F.when((n > 0) & (spread > 0), 1.0 - r.total(squared) / spread)
 
 

@@ -56,11 +56,21 @@ def clip(facts: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     return facts.filter((t >= F.lit(cut.start)) & (t < F.lit(cut.execution_date)))
 
 
-def daily_panel(facts: DataFrame, spec: PanelSpec) -> DataFrame:
-    """One row per (series, day); several facts of a day add up, nulls count as 0."""
+def daily_panel(facts: DataFrame, spec: PanelSpec, tasks: int | None = None) -> DataFrame:
+    """One row per (series, day); several facts of a day add up, nulls count as 0.
+
+    By default partial sums are shuffled by (series, day), which withstands a
+    series that owns most of the facts; gathering the series later is a second,
+    smaller shuffle. Where a series has few facts per day anyway, ``tasks``
+    sends the facts to that many partitions by series instead, and no step
+    that works per series needs another shuffle.
+    """
     day = F.col(spec.time).cast("date").alias(spec.time)
+    facts = facts.select(*spec.keys, day, spec.value)
+    if tasks:
+        facts = facts.repartition(tasks, *spec.keys)
     total = F.coalesce(F.sum(spec.value), F.lit(0.0)).cast("double").alias(spec.value)
-    return facts.groupBy(*spec.keys, day).agg(total)
+    return facts.groupBy(*spec.keys, spec.time).agg(total)
 
 
 def on_grid(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
@@ -116,16 +126,24 @@ def label_split(panel: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     return panel.select(*spec.columns, F.when(is_test, "test").otherwise("train").alias("split"))
 
 
-def make_panel(facts: DataFrame, spec: PanelSpec, cut: Cutoffs, buckets: int | None = None) -> DataFrame:
+def make_panel(
+    facts: DataFrame, spec: PanelSpec, cut: Cutoffs, tasks: int | None = None, few_per_day: bool = False
+) -> DataFrame:
     """Clip, aggregate, fill and label in one plan.
 
-    ``buckets`` places the series in that many hash partitions ahead of the
-    fill, so that a table bucketed on the keys is written without another
-    shuffle and with one file per bucket.
+    ``tasks`` places the series in that many hash partitions ahead of the fill,
+    so that a table bucketed on the keys is written without another shuffle
+    and with one file per bucket. ``few_per_day`` places the facts themselves;
+    see ``daily_panel``.
     """
-    daily = daily_panel(clip(facts, spec, cut), spec)
-    if buckets:
-        daily = daily.repartition(buckets, *spec.keys)
+    clipped = clip(facts, spec, cut)
+    if few_per_day and not tasks:
+        raise ValueError("few_per_day needs the number of tasks")
+    if few_per_day:
+        daily = daily_panel(clipped, spec, tasks)
+    else:
+        daily = daily_panel(clipped, spec)
+        daily = daily.repartition(tasks, *spec.keys) if tasks else daily
     return label_split(gap_fill(daily, spec, cut), spec, cut)
 
 

@@ -44,12 +44,14 @@ def series_vectors(daily: DataFrame, spec: PanelSpec, cut: Cutoffs, tasks: int |
     )
 
 
-def train_part(ys: Column | str = "ys", n_train: Column | str = "n_train") -> Column:
-    return F.slice(ys, F.lit(1), n_train)
+def train_part() -> Column:
+    """The training values of a vector."""
+    return F.slice("ys", F.lit(1), F.col("n_train"))
 
 
-def test_part(ys: Column | str = "ys", n_train: Column | str = "n_train") -> Column:
-    return F.slice(ys, F.col(n_train) + 1 if isinstance(n_train, str) else n_train + 1, F.greatest(F.size(ys), F.lit(1)))
+def test_part() -> Column:
+    """The values after the training part."""
+    return F.slice("ys", F.col("n_train") + 1, F.greatest(F.size("ys"), F.lit(1)))
 
 
 def next_day(start: Column, ys: Column, step_days: int) -> Column:

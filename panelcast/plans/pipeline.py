@@ -35,6 +35,7 @@ class Workflow:
     metrics: tuple[str | Metric, ...] = ("rmse", "mae", "mape")
     select_on: str = "mape"
     buckets: int | None = None
+    few_per_day: bool = False
     location: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -42,6 +43,8 @@ class Workflow:
         positive("steps", self.steps)
         if self.buckets is not None:
             positive("buckets", self.buckets)
+        if self.few_per_day and not self.buckets:
+            raise ValueError("few_per_day needs buckets")
         if self.spec.step_days != self.cut.step_days:
             raise ValueError("spec and cut must have the same step_days")
         if self.select_on not in resolve(list(self.metrics)):
@@ -81,7 +84,7 @@ class Workflow:
 
     def split(self, spark: SparkSession) -> None:
         """Table ``input`` to table ``split``."""
-        panel = make_panel(self._read(spark, "input"), self.spec, self.cut, self.buckets)
+        panel = make_panel(self._read(spark, "input"), self.spec, self.cut, self.buckets, self.few_per_day)
         self._replace(panel, "split")
         self._log(spark, "split")
 

@@ -118,6 +118,42 @@ def test_fill_needs_no_join_and_filter_reaches_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(date), GreaterThanOrEqual(date,2020-09-14), LessThan(date,2022-09-12)]" in plan
 
 
+def test_facts_can_be_placed_by_series_in_one_shuffle(spark):
+    rng = random.Random(7)
+    data = [
+        (s, 1, date(2022, 8, 1) + timedelta(days=rng.randrange(40)), float(rng.randrange(9)))
+        for s in range(5) for _ in range(60)
+    ]
+    df = facts(spark, data)
+    one = ops.make_panel(df, SPEC, CUT, tasks=3, few_per_day=True)
+    assert one._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    two = ops.make_panel(df, SPEC, CUT, tasks=3)
+    assert two._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 2
+    assert rows(one) == rows(two) == rows(ops.make_panel(df, SPEC, CUT))
+    vec = series_vectors(ops.daily_panel(ops.clip(df, SPEC, CUT), SPEC, tasks=3), SPEC, CUT)
+    assert vec._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    assert rows(vec) == rows(series_vectors(ops.daily_panel(ops.clip(df, SPEC, CUT), SPEC), SPEC, CUT))
+    with pytest.raises(ValueError):
+        ops.make_panel(df, SPEC, CUT, few_per_day=True)
+
+
+def test_a_hot_series_is_summed_before_the_shuffle(spark):
+    """One series holds a third of the facts, many on the same day."""
+    hot = spark.range(40_000).selectExpr(
+        "1 AS store", "1 AS item", "date_sub(date'2022-09-11', cast(id % 3 AS int)) AS date", "1.0D AS sales"
+    )
+    rest = spark.range(80_000).selectExpr(
+        "cast(2 + id % 500 AS int) AS store", "1 AS item", "date_sub(date'2022-09-11', cast(id % 40 AS int)) AS date", "1.0D AS sales"
+    )
+    df = hot.unionByName(rest)
+    daily = ops.daily_panel(ops.clip(df, SPEC, CUT), SPEC)
+    text = daily._jdf.queryExecution().executedPlan().toString()
+    assert text.index("partial_sum") > text.index("Exchange ")  # printed from the last step to the first
+    assert daily.groupBy().agg(F.sum("sales")).first()[0] == 120_000.0
+    got = {r["store"]: r["ys"] for r in series_vectors(daily, SPEC, CUT).filter("store = 1").collect()}
+    assert sum(got[1]) == 40_000.0 and len(got[1]) == 3
+
+
 def test_key_filter(spark):
     df = facts(spark, days(date(2022, 9, 1), [1], 1), days(date(2022, 9, 1), [2], 2), days(date(2022, 9, 1), [3], 3))
     assert ops.filter_keys(df, "store", None).count() == 3
