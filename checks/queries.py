@@ -322,9 +322,10 @@ def queries() -> dict[str, Query]:
         "fc_croston_sba": forecast_of(SPARSE, make_model("Croston", {"version": "sba"})),
         "fc_croston_classic": forecast_of(SPARSE, make_model("Croston", {"version": "classic"})),
         "fc_croston_tsb": forecast_of(SPARSE, make_model("Croston", {"version": "tsb"})),
+        "fc_croston_optimized": forecast_of(SUPPLIERS, make_model("Croston", {"version": "optimized"})),
         "fc_holt_winters": forecast_of(DENSE, make_model("ExponentialSmoothing", {"params": (0.3, 0.1, 0.2)})),
         "fc_exp_smoothing": forecast_of(DENSE, make_model("ExponentialSmoothing")),
-        "fc_arima_110": forecast_of(DENSE, make_model("AutoARIMA", {"order": (1, 1, 0)})),
+        "fc_arima_110": forecast_of(DENSE, make_model("ARIMA", {"p": 1, "d": 1, "q": 0})),
         "fc_ar1": forecast_of(DENSE, make_model("LinearRegressionModel", {"lags": 1})),
         "fc_auto_arima": forecast_of(SUPPLIERS, make_model("AutoARIMA")),
         "fc_linear_trend": forecast_of(
@@ -341,7 +342,7 @@ def queries() -> dict[str, Query]:
         "fc_plugin_report": fc_plugin_report,
         "score_join": score_join,
         "metrics_long": metrics_of("rmse", "mae", "mape"),
-        "metrics_extra": metrics_of("mse", "smape", "bias", "ope", "r2", "coefficient_of_variation"),
+        "metrics_extra": metrics_of("mse", "smape", "bias", "ope", "r2_score", "rmsle", "coefficient_of_variation"),
         "mape_epsilon": metrics_of(mape_eps(1.0)),
         "coverage": coverage,
         "best_model": best_model,

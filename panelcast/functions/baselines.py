@@ -6,6 +6,8 @@ array column with that many forecasts. Nothing here leaves the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,9 +16,13 @@ def total(ys: Column) -> Column:
     return F.aggregate(ys, F.lit(0.0), lambda acc, y: acc + y)
 
 
-def from_end(ys: Column, i: int | Column) -> Column:
-    """The ``i``-th last value, 1 being the last."""
-    return F.get(ys, F.size(ys) - i)
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it.
+
+    A column inside a lambda is computed again for every element; a lambda
+    variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def naive_mean(ys: Column, steps: int) -> Column:
@@ -26,14 +32,16 @@ def naive_mean(ys: Column, steps: int) -> Column:
 
 def naive_seasonal(ys: Column, steps: int, k: int = 1) -> Column:
     """The last ``k`` values over and over; with ``k=1`` the last value."""
-    return F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda i: from_end(ys, F.lit(k) - i % k))
+    turns = F.sequence(F.lit(0), F.lit(steps - 1))
+    return bind(F.slice(ys, F.lit(-k), F.lit(k)), lambda recent: F.transform(turns, lambda i: F.get(recent, i % k)))
 
 
 def naive_drift(ys: Column, steps: int) -> Column:
     """The straight line through the first and the last value, carried on."""
-    last, first = from_end(ys, 1), F.get(ys, F.lit(0))
-    slope = (last - first) / (F.size(ys) - 1)
-    return F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: last + slope * i)
+    first, last = F.get(ys, F.lit(0)), F.get(ys, F.size(ys) - 1)
+    line = F.struct(last.alias("last"), ((last - first) / (F.size(ys) - 1)).alias("slope"))
+    ahead = F.sequence(F.lit(1), F.lit(steps))
+    return bind(line, lambda at: F.transform(ahead, lambda i: at["last"] + at["slope"] * i))
 
 
 def moving_average_weights(k: int, steps: int) -> list[list[float]]:
@@ -51,10 +59,18 @@ def moving_average_weights(k: int, steps: int) -> list[list[float]]:
 def naive_moving_average(ys: Column, steps: int, input_chunk_length: int = 7) -> Column:
     """Each step is the mean of the last ``input_chunk_length`` values, forecasts included."""
     k = input_chunk_length
-    recent = F.slice(ys, F.lit(-k), F.lit(k))
     rows = [", ".join(f"{w!r}D" for w in row) for row in moving_average_weights(k, steps)]
     weights = F.expr("array(" + ", ".join(f"array({row})" for row in rows) + ")")
-    return F.transform(weights, lambda w: total(F.zip_with(w, recent, lambda a, y: a * y)))
+
+    def mix(recent: Column) -> Column:
+        return F.transform(weights, lambda w: total(F.zip_with(w, recent, lambda a, y: a * y)))
+
+    return bind(F.slice(ys, F.lit(-k), F.lit(k)), mix)
+
+
+# Names of the variants, and the range in which "optimized" looks for its weights.
+CROSTON_VERSIONS = ("classic", "optimized", "sba", "tsb")
+CROSTON_SEARCH = tuple(round(0.10 + 0.01 * i, 2) for i in range(21))
 
 
 def croston(
@@ -68,35 +84,48 @@ def croston(
 
     ``classic`` is Croston (1972), ``sba`` shrinks it by ``1 - alpha_p / 2``
     (Syntetos and Boylan 2005) and ``tsb`` smooths the demand probability of
-    every period instead of the interval (Teunter et al. 2011). A series that
-    never had any demand is forecast as 0.
+    every period instead of the interval (Teunter et al. 2011). ``optimized``
+    is the classic form with the two weights of least one-step error, each
+    searched on a grid. A series that never had any demand is forecast as 0.
     """
     if version not in CROSTON_VERSIONS:
         raise ValueError(f"version must be one of {CROSTON_VERSIONS}, got {version!r}")
-    demands = F.filter(F.transform(ys, lambda y, i: F.struct(y.alias("y"), (i + 1).alias("at"))), lambda d: d["y"] != 0)
-
-    def smooth(old: Column, new: Column, alpha: float) -> Column:
-        return F.when(old.isNull(), new).otherwise(old + alpha * (new - old))
-
-    nothing = F.struct(
-        F.lit(None).cast("double").alias("size"), F.lit(None).cast("double").alias("gap"), F.lit(0).alias("at")
-    )
-    state = F.aggregate(
-        demands,
-        nothing,
-        lambda s, d: F.struct(
-            smooth(s["size"], d["y"], alpha_d).alias("size"),
-            smooth(s["gap"], (d["at"] - s["at"]).cast("double"), alpha_p).alias("gap"),
-            d["at"].alias("at"),
-        ),
-    )
+    sizes = F.filter(ys, lambda y: y != 0)
+    at = F.filter(F.transform(ys, lambda y, i: F.when(y != 0, i + 1.0)), lambda i: i.isNotNull())
+    gaps = bind(at, lambda a: F.zip_with(a, F.slice(F.concat(F.array(F.lit(0.0)), a), F.lit(1), F.size(a)), lambda i, j: i - j))
     if version == "tsb":
-        hit = F.transform(ys, lambda y: F.when(y != 0, 1.0).otherwise(0.0))
-        chance = F.aggregate(hit, F.lit(None).cast("double"), lambda p, h: smooth(p, h, alpha_p))
-        level = state["size"] * chance
+        hits = F.transform(ys, lambda y: F.when(y != 0, 1.0).otherwise(0.0))
+        level = smoothed(sizes, alpha_d) * smoothed(hits, alpha_p)
+    elif version == "optimized":
+        level = best_smoothed(sizes) / best_smoothed(gaps)
     else:
-        level = state["size"] / state["gap"] * (1 - alpha_p / 2 if version == "sba" else 1.0)
+        level = smoothed(sizes, alpha_d) / smoothed(gaps, alpha_p)
+        level = level * (1 - alpha_p / 2) if version == "sba" else level
     return F.array_repeat(F.coalesce(level, F.lit(0.0)), steps)
 
 
-CROSTON_VERSIONS = ("classic", "sba", "tsb")
+def smoothed(values: Column, alpha: float) -> Column:
+    """Simple exponential smoothing that starts from the first value; null for an empty array."""
+    return F.aggregate(
+        values,
+        F.lit(None).cast("double"),
+        lambda level, v: F.when(level.isNull(), v).otherwise(level + alpha * (v - level)),
+    )
+
+
+def best_smoothed(values: Column) -> Column:
+    """The same with the weight of least squared one-step error."""
+    start = F.struct(F.lit(0.0).alias("sse"), F.lit(None).cast("double").alias("level"))
+
+    def fold(v: Column, alpha: Column) -> Column:
+        return F.aggregate(
+            v,
+            start,
+            lambda s, v: F.struct(
+                (s["sse"] + F.coalesce((v - s["level"]) * (v - s["level"]), F.lit(0.0))).alias("sse"),
+                F.coalesce(s["level"] + alpha * (v - s["level"]), v).alias("level"),
+            ),
+        )
+
+    weights = F.expr("array(" + ", ".join(f"{a!r}D" for a in CROSTON_SEARCH) + ")")
+    return bind(values, lambda v: F.array_min(F.transform(weights, lambda alpha: fold(v, alpha)))["level"])

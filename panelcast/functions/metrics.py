@@ -150,6 +150,12 @@ def r2(r: Residuals) -> Column:
     return F.when((n > 0) & (spread > 0), 1.0 - r.total(squared) / spread)
 
 
+def rmsle(r: Residuals) -> Column:
+    """Root mean squared error of ``log(1 + value)``; null when a value is -1 or less."""
+    usable = r.count(lambda y, p: (y <= -1) | (p <= -1)) == 0
+    return F.when(usable, F.sqrt(mean_of(r, lambda y, p: squared(F.log1p(y), F.log1p(p)))))
+
+
 def cv(r: Residuals) -> Column:
     """Root mean squared error in percent of the mean actual."""
     return 100.0 * rmse(r) / F.nullif(mean_of(r, lambda y, p: y), F.lit(0.0))
@@ -165,7 +171,9 @@ METRICS: dict[str, Metric] = {
     "smape": smape,
     "bias": bias,
     "ope": ope,
+    "rmsle": rmsle,
     "r2": r2,
+    "r2_score": r2,
     "coefficient_of_variation": cv,
 }
 

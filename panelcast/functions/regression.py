@@ -139,6 +139,11 @@ def lagged(values: np.ndarray, lags: int, first: int) -> np.ndarray:
     return np.column_stack([values[first - j : n - j] for j in range(1, lags + 1)]) if lags else np.empty((n - first, 0))
 
 
+def settles(ar: np.ndarray) -> bool:
+    """Whether an autoregression returns to its mean."""
+    return not len(ar) or np.abs(np.roots([1.0, *-ar])).max(initial=0.0) < 1.0
+
+
 def arima_forecast(y: np.ndarray, steps: int, max_p: int, max_q: int, order: tuple[int, int, int] | None):
     """Two-stage least squares of Hannan and Rissanen (1982); the order with the least AICc wins.
 
@@ -158,23 +163,22 @@ def arima_forecast(y: np.ndarray, steps: int, max_p: int, max_q: int, order: tup
     shocks = np.zeros(len(w))
     if q_top:
         z = np.column_stack([np.ones(len(w) - ar), lagged(w, ar, ar)])
-        shocks[ar:] = w[ar:] - z @ np.linalg.lstsq(z, w[ar:], rcond=None)[0]
+        shocks[ar:] = w[ar:] - z @ np.linalg.lstsq(z.T @ z, z.T @ w[ar:], rcond=None)[0]
     x = np.column_stack([np.ones(rows), lagged(w, p_top, first), lagged(shocks, q_top, first)])
     target = w[first:]
     gram, cross, power = x.T @ x, x.T @ target, target @ target
     pairs = [(order[0], order[2])] if order else [(p, q) for p in range(max_p + 1) for q in range(max_q + 1)]
-    best = None
+    fits = []
     for p, q in pairs:
         use = [0, *range(1, p + 1), *range(1 + p_top, 1 + p_top + q)]
         beta = np.linalg.lstsq(gram[np.ix_(use, use)], cross[use], rcond=None)[0]
-        if not order and p and np.abs(np.roots([1.0, *-beta[1 : p + 1]])).max(initial=0.0) >= 1.0:
-            continue  # an exploding recursion is no forecast
         k = len(use) + 1
         variance = max(float(power - beta @ cross[use]) / rows, 1e-12 * (1.0 + power / rows))
         score = rows * np.log(variance) + 2 * k + 2 * k * (k + 1) / max(rows - k - 1, 1)
-        if best is None or score < best[0]:
-            best = (score, p, q, beta)
-    _, p, q, beta = best
+        fits.append((score, p, q, beta))
+    fits.sort(key=lambda fit: fit[:3])
+    # A searched order must not explode; without autoregression it never does.
+    _, p, q, beta = next(fit for fit in fits if order or settles(fit[3][1 : fit[1] + 1]))
     path, noise = list(w[len(w) - p :]) if p else [], list(shocks[len(w) - q :]) if q else []
     ahead = []
     for _ in range(steps):

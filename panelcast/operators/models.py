@@ -138,7 +138,12 @@ def _smoothing(seasonal_periods: int = 7, params: Sequence[float] | None = None)
 
 def _auto_arima(max_p: int = 3, max_q: int = 3, order: Sequence[int] | None = None) -> tuple[int, Callable]:
     order = tuple(order) if order is not None else None
-    return 8, lambda ys, start, h, step: auto_arima(ys, h, max_p, max_q, order)
+    need = 8 if order is None else order[1] + 2 * order[0] + order[2] + 3
+    return need, lambda ys, start, h, step: auto_arima(ys, h, max_p, max_q, order)
+
+
+def _arima(p: int = 12, d: int = 1, q: int = 0) -> tuple[int, Callable]:
+    return _auto_arima(order=(p, d, q))
 
 
 def _linear_lags(lags: int = 7) -> tuple[int, Callable]:
@@ -161,6 +166,7 @@ ARRAY_MODELS: dict[str, Callable[..., tuple[int, Callable]]] = {
     "NaiveMovingAverage": _moving_average,
     "Croston": _croston,
     "ExponentialSmoothing": _smoothing,
+    "ARIMA": _arima,
     "AutoARIMA": _auto_arima,
     "LinearRegressionModel": _linear_lags,
     "Prophet": _decomposed,

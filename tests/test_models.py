@@ -201,6 +201,24 @@ def test_croston_matches_a_plain_loop(spark):
             assert got[s] == pytest.approx([loop(y, version)] * 2), (version, s)
 
 
+def test_optimized_croston_searches_its_weights(spark):
+    y = [0, 4, 0, 0, 6, 5, 0, 9, 0, 12, 15, 0, 0, 0, 14, 20]
+
+    def best(values):
+        runs = []
+        for i in range(21):
+            level, sse = values[0], 0.0
+            for v in values[1:]:
+                sse += (v - level) ** 2
+                level += (0.10 + 0.01 * i) * (v - level)
+            runs.append((sse, level))
+        return min(runs)[1]
+
+    got = ahead(spark, make_model("Croston", {"version": "optimized"}), y, [0.0] * 16, steps=1)
+    assert got[1] == pytest.approx([best([4, 6, 5, 9, 12, 15, 14, 20]) / best([2, 3, 1, 2, 2, 1, 4, 1])])
+    assert got[2] == [0.0]
+
+
 def test_moving_average_weights_equal_the_recursion():
     y = [3.0, 1.0, 4.0]
     path = list(y)

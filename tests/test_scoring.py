@@ -65,7 +65,8 @@ def test_all_metrics_match_pandas(spark):
         "smape": 200 * (e.abs() / (y.abs() + p.abs())).mean(),  # pandas leaves out 0 / 0
         "bias": e.mean(),
         "ope": 100 * abs((y.sum() - p.sum()) / y.sum()),
-        "r2": 1 - (e**2).sum() / ((y - y.mean()) ** 2).sum(),
+        "rmsle": math.sqrt((((1 + y).map(math.log) - (1 + p).map(math.log)) ** 2).mean()),
+        "r2_score": 1 - (e**2).sum() / ((y - y.mean()) ** 2).sum(),
         "coefficient_of_variation": 100 * math.sqrt((e**2).mean()) / y.mean(),
         "mape_eps": (e.abs() / (y + 0.5)).mean(),
     }
