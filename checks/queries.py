@@ -335,7 +335,7 @@ def queries() -> dict[str, Query]:
             SUPPLIERS,
             make_model("Prophet", {"growth": "flat", "weekly": True, "yearly": False, "seasonality_prior_scale": NO_LIMIT}),
         ),
-        "fc_decomposed": forecast_of(SUPPLIERS, make_model("Prophet")),
+        "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
         "fc_gbt_lags": forecast_of(SUPPLIERS, make_model("XGBModel", {"n_estimators": 5})),
         "fc_forest_lags": forecast_of(SUPPLIERS, make_model("RandomForest")),
         "fc_plugin": fc_plugin,
