@@ -193,8 +193,29 @@ def weekday_means(d: Dataset, h: int, src: str, name: str) -> str:
       WHERE dayofweek(CAST(origin + CAST(s AS INTEGER) AS DATE)) = dow)"""
 
 
+def least_squares(d: Dataset, src: str, name: str, columns: int, penalty: str = "0") -> str:
+    """``<name>(keys, beta)``: normal equations of ``src(keys, i, n, y, v)`` up to ``n``, by Gauss-Jordan elimination.
+
+    ``penalty`` is added to the entry in row ``a`` and column ``b``.
+    """
+    return f"""{name}_g AS (
+      SELECT {d.keys}, a, b, SUM(v[a] * CASE WHEN b <= {columns} THEN v[b] ELSE y END) + {penalty} AS g
+      FROM {src}, (SELECT UNNEST(range(1, {columns + 1})) AS a), (SELECT UNNEST(range(1, {columns + 2})) AS b)
+      WHERE i <= n GROUP BY {d.keys}, a, b),
+    {name}_m AS (
+      SELECT {d.keys}, 1 AS k, LIST(r ORDER BY a) AS m
+      FROM (SELECT {d.keys}, a, LIST(g ORDER BY b) AS r FROM {name}_g GROUP BY {d.keys}, a) GROUP BY {d.keys}
+      UNION ALL
+      SELECT {d.keys}, k + 1, list_transform(m, lambda r, a: CASE WHEN a = k
+          THEN list_transform(r, lambda e: e / m[k][k])
+          ELSE list_transform(r, lambda e, b: e - r[k] / m[k][k] * m[k][b]) END)
+      FROM {name}_m WHERE k <= {columns}),
+    {name} AS (
+      SELECT {d.keys}, list_transform(m, lambda r: r[{columns + 1}]) AS beta FROM {name}_m WHERE k = {columns + 1})"""
+
+
 def decomposed(d: Dataset, h: int, src: str, name: str) -> str:
-    """Trend with 25 bends, weekly and yearly waves: penalised normal equations, solved by Gauss-Jordan elimination.
+    """Trend with 25 bends, weekly and yearly waves: penalised least squares.
 
     For histories of more than 730 days, where both waves are on.
     """
@@ -215,22 +236,34 @@ def decomposed(d: Dataset, h: int, src: str, name: str) -> str:
       SELECT {d.keys}, i, n, y, list_concat(list_concat([1.0, u],
         list_transform(range(1, 26), lambda j: GREATEST(u - 0.8 * j / 25, 0.0))),
         list_concat({waves(3, 7)}, {waves(10, 365.25)})) AS v FROM {name}_i),
-    {name}_g AS (
-      SELECT {d.keys}, a, b, SUM(v[a] * CASE WHEN b <= {columns} THEN v[b] ELSE y END) + {penalty} AS g
-      FROM {name}_x, (SELECT UNNEST(range(1, {columns + 1})) AS a), (SELECT UNNEST(range(1, {columns + 2})) AS b)
-      WHERE i <= n GROUP BY {d.keys}, a, b),
-    {name}_m AS (
-      SELECT {d.keys}, 1 AS k, LIST(r ORDER BY a) AS m
-      FROM (SELECT {d.keys}, a, LIST(g ORDER BY b) AS r FROM {name}_g GROUP BY {d.keys}, a) GROUP BY {d.keys}
-      UNION ALL
-      SELECT {d.keys}, k + 1, list_transform(m, lambda r, a: CASE WHEN a = k
-          THEN list_transform(r, lambda e: e / m[k][k])
-          ELSE list_transform(r, lambda e, b: e - r[k] / m[k][k] * m[k][b]) END)
-      FROM {name}_m WHERE k <= {columns}),
+    {least_squares(d, f"{name}_x", f"{name}_b", columns, penalty)},
     {name} AS (
-      SELECT {d.keys}, i - n AS s, list_dot_product(v, beta) AS v FROM {name}_x JOIN (
-        SELECT {d.keys}, list_transform(m, lambda r: r[{columns + 1}]) AS beta FROM {name}_m WHERE k = {columns + 1})
-      USING ({d.keys}) WHERE i > n)"""
+      SELECT {d.keys}, i - n AS s, list_dot_product(v, beta) AS v FROM {name}_x JOIN {name}_b USING ({d.keys}) WHERE i > n)"""
+
+
+def arma_11(d: Dataset, h: int, src: str, name: str) -> str:
+    """Two-stage least squares: the residuals of a long autoregression stand in for the shocks.
+
+    The long order is the one for about 2,500 values.
+    """
+    long = 18
+    return f"""{name}_w AS (SELECT {d.keys}, i, n, y - AVG(y) OVER (PARTITION BY {d.keys}) AS w,
+        AVG(y) OVER (PARTITION BY {d.keys}) AS centre FROM {src}),
+    {name}_1 AS (
+      SELECT {d.keys}, i, n, w AS y, centre, list_concat([1.0], list_reverse(LIST(w) OVER (
+        PARTITION BY {d.keys} ORDER BY i ROWS BETWEEN {long} PRECEDING AND 1 PRECEDING))) AS v
+      FROM {name}_w QUALIFY i > {long}),
+    {least_squares(d, f"{name}_1", f"{name}_1b", long + 1)},
+    {name}_e AS (
+      SELECT {d.keys}, i, n, centre, y, y - list_dot_product(v, beta) AS e FROM {name}_1 JOIN {name}_1b USING ({d.keys})),
+    {name}_2 AS (
+      SELECT {d.keys}, i, n, y, [1.0, LAG(y) OVER w, LAG(e) OVER w] AS v FROM {name}_e
+      WINDOW w AS (PARTITION BY {d.keys} ORDER BY i) QUALIFY i > {long + 1}),
+    {least_squares(d, f"{name}_2", f"{name}_2b", 3)},
+    {name}_r AS (
+      SELECT {d.keys}, 0 AS s, centre, beta, y AS w, e FROM {name}_e JOIN {name}_2b USING ({d.keys}) WHERE i = n
+      UNION ALL SELECT {d.keys}, s + 1, centre, beta, beta[1] + beta[2] * w + beta[3] * e, 0 FROM {name}_r WHERE s < {h}),
+    {name} AS (SELECT {d.keys}, s, w + centre AS v FROM {name}_r WHERE s > 0)"""
 
 
 def recent_mean(d: Dataset, h: int, src: str, name: str, last: int = 28) -> str:
@@ -369,6 +402,12 @@ def oracle_sql() -> dict[str, str]:
               CAST(1 AS BIGINT) AS copies FROM panel WHERE y = 0
               AND NOT EXISTS (SELECT 1 FROM daily WHERE {' AND '.join(f'daily.{k} = panel.{k}' for k in q.spec.keys)}
                 AND daily.t = panel.t)""",
+        "tree_windows": f"""WITH {panel(s)}, {history(s, 'train')},
+            scaled AS (SELECT {s.keys}, i, y / AVG(ABS(y)) OVER (PARTITION BY {s.keys}) AS y FROM h)
+            SELECT COUNT(*) AS n_windows, ROUND(SUM(y), 3) AS labels, ROUND(SUM(l7), 3) AS oldest,
+              ROUND(SUM(l1), 3) AS newest, ROUND(SUM(y * l1), 3) AS with_newest
+            FROM (SELECT y, LAG(y, 7) OVER w AS l7, LAG(y) OVER w AS l1 FROM scaled
+              WINDOW w AS (PARTITION BY {s.keys} ORDER BY i)) WHERE l7 IS NOT NULL""",
         "csv_scan": f"""SELECT {p.keys}, COUNT(*) AS n_rows, SUM({y}) AS total, CAST(MIN({t}) AS DATE) AS first_day
             FROM lineitem GROUP BY {p.keys}""",
         "fc_plugin_report": f"""WITH {panel(q)} SELECT {q.keys},
@@ -388,6 +427,7 @@ def oracle_sql() -> dict[str, str]:
         "fc_holt_winters": (p, "ExponentialSmoothing", holt_winters(p, STEPS, "h", "fc", 0.3, 0.1, 0.2)),
         "fc_exp_smoothing": (p, "ExponentialSmoothing", exp_smoothing(p, STEPS, "h", "fc")),
         "fc_arima_110": (p, "ARIMA", arima_110(p, STEPS, "h", "fc")),
+        "fc_arma_11": (p, "ARMA11", arma_11(p, STEPS, "h", "fc")),
         "fc_ar1": (p, "LinearRegressionModel", ar1(p, STEPS, "h", "fc")),
         "fc_linear_trend": (q, "Prophet", linear_trend(q, STEPS, "h", "fc")),
         "fc_decomposed": (p, "Prophet", decomposed(p, STEPS, "h", "fc")),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -280,6 +281,21 @@ def workflow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tables.read_table(spark, name, "forecast"), d.spec.value)
 
 
+def tree_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size and sums of the lag windows that the tree models learn from."""
+    d = SUPPLIERS
+    hist = history(d.vectors(spark, sf_dir), d.spec, "train")
+    windows = make_model("RandomForest", {"lags": 7}).windows(hist, "ys").withColumn("lags", vector_to_array("features"))
+    oldest, newest = F.col("lags")[0], F.col("lags")[6]
+    return windows.agg(
+        F.count(F.lit(1)).alias("n_windows"),
+        F.round(F.sum("label"), 3).alias("labels"),
+        F.round(F.sum(oldest), 3).alias("oldest"),
+        F.round(F.sum(newest), 3).alias("newest"),
+        F.round(F.sum(F.col("label") * newest), 3).alias("with_newest"),
+    )
+
+
 # ----------------------------------------------------------------- plug-in queries
 
 
@@ -326,6 +342,7 @@ def queries() -> dict[str, Query]:
         "fc_holt_winters": forecast_of(DENSE, make_model("ExponentialSmoothing", {"params": (0.3, 0.1, 0.2)})),
         "fc_exp_smoothing": forecast_of(DENSE, make_model("ExponentialSmoothing")),
         "fc_arima_110": forecast_of(DENSE, make_model("ARIMA", {"p": 1, "d": 1, "q": 0})),
+        "fc_arma_11": forecast_of(DENSE, make_model("AutoARIMA", {"order": (1, 0, 1)}, "ARMA11")),
         "fc_ar1": forecast_of(DENSE, make_model("LinearRegressionModel", {"lags": 1})),
         "fc_auto_arima": forecast_of(SUPPLIERS, make_model("AutoARIMA")),
         "fc_linear_trend": forecast_of(
@@ -336,6 +353,7 @@ def queries() -> dict[str, Query]:
             make_model("Prophet", {"growth": "flat", "weekly": True, "yearly": False, "seasonality_prior_scale": NO_LIMIT}),
         ),
         "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
+        "tree_windows": tree_windows,
         "fc_gbt_lags": forecast_of(SUPPLIERS, make_model("XGBModel", {"n_estimators": 5})),
         "fc_forest_lags": forecast_of(SUPPLIERS, make_model("RandomForest")),
         "fc_plugin": fc_plugin,
