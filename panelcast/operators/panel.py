@@ -102,8 +102,7 @@ def gap_fill(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     the holes with 0 after a single shuffle on the keys; no calendar is joined.
     """
     following = F.lead(spec.time).over(Window.partitionBy(*spec.keys).orderBy(spec.time))
-    last_point = _last_point(F.col(spec.time), spec, cut)
-    until = F.coalesce(F.date_sub(following, spec.step_days), last_point)
+    until = F.coalesce(F.date_sub(following, spec.step_days), last_point(F.col(spec.time), spec, cut))
     points = F.sequence(F.col(spec.time), F.col("until"), F.expr(f"interval {spec.step_days} day"))
     value = F.when(F.col("point") == F.col(spec.time), F.col(spec.value)).otherwise(F.lit(0.0))
     return (
@@ -114,7 +113,7 @@ def gap_fill(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     )
 
 
-def _last_point(t: Column, spec: PanelSpec, cut: Cutoffs) -> Column:
+def last_point(t: Column, spec: PanelSpec, cut: Cutoffs) -> Column:
     """Last grid point of a complete period at or after ``t``."""
     whole = F.floor(F.datediff(F.lit(cut.execution_date), t) / F.lit(spec.step_days)) - 1
     return F.date_add(t, (whole * spec.step_days).cast("int"))

@@ -12,7 +12,12 @@ from panelcast.spec import PanelSpec
 
 
 def score_join(test: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Actual and ``prediction`` side by side for the days both frames have."""
+    """Actual and ``prediction`` side by side for the days both frames have.
+
+    As in any equality join a null key matches nothing, so a series with a null
+    key gets no score and no champion here; the one-plan backtest, which needs
+    no join, scores it.
+    """
     predicted = forecast.select("model", *spec.keys, spec.time, F.col(spec.value).alias("prediction"))
     actual = test.select(*spec.columns)
     return actual.join(predicted, [*spec.keys, spec.time], "inner")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.operators.panel import _last_point, on_grid
+from panelcast.operators.panel import last_point, on_grid
 from panelcast.spec import Cutoffs, PanelSpec
 
 
@@ -28,7 +28,7 @@ def series_vectors(daily: DataFrame, spec: PanelSpec, cut: Cutoffs, tasks: int |
     cells = F.sort_array(F.collect_list(F.struct(F.col(spec.time).alias("t"), F.col(spec.value).alias("y"))))
     gathered = on_grid(daily, spec, cut).groupBy(*spec.keys).agg(cells.alias("cells"))
     start = F.col("cells")[0]["t"]
-    stop = F.date_add(_last_point(start, spec, cut), spec.step_days)
+    stop = F.date_add(last_point(start, spec, cut), spec.step_days)
     n_train = F.floor(F.datediff(F.lit(cut.train_end), start) / step) + 1
 
     def with_zeros(cell: Column, i: Column) -> Column:
