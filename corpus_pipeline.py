@@ -10,9 +10,14 @@ from panelcast.llm.common import table
 from panelcast.llm.exact_dedup import without_exact_duplicates
 from panelcast.llm.mixing import mix
 from panelcast.llm.packing import Capacity, pack
+from panelcast.llm.quality import accepted
 from panelcast.sources.spool import shared_folder
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_exact_duplicates(docs)
 
@@ -25,7 +30,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, Capacity(tokens=2048))
 
 
-STAGES = [("exact dedup", exact_dedup), ("mixing", mixing), ("best-fit packing", packing)]
+STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("mixing", mixing), ("best-fit packing", packing)]
 
 ORACLE_SQL = None  # a trained classifier and a tokenizer are beyond SQL; the tests use brute force
 

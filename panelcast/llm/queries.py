@@ -11,6 +11,7 @@ from panelcast.llm.common import table
 from panelcast.llm.exact_dedup import exact_duplicates
 from panelcast.llm.mixing import mix
 from panelcast.llm.packing import Capacity, pack
+from panelcast.llm.quality import score_quality
 from panelcast.llm.sharding import byte_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +25,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars_whole")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -35,4 +40,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op9_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op6_quality_classifier, op9_sharding, op10_mixing)}
