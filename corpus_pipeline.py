@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelcast.llm.common import table
 from panelcast.llm.exact_dedup import without_exact_duplicates
 from panelcast.llm.mixing import mix
+from panelcast.llm.near_dedup import without_near_duplicates
 from panelcast.llm.packing import Capacity, pack
 from panelcast.llm.quality import accepted
 from panelcast.sources.spool import shared_folder
@@ -22,6 +23,10 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_near_duplicates(docs)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mix(docs, alpha=0.5, epochs=1.0, seed=17).select(docs.columns)
 
@@ -30,7 +35,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, Capacity(tokens=2048))
 
 
-STAGES = [("quality classifier", quality), ("exact dedup", exact_dedup), ("mixing", mixing), ("best-fit packing", packing)]
+STAGES = [
+    ("quality classifier", quality),
+    ("exact dedup", exact_dedup),
+    ("MinHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mixing),
+    ("best-fit packing", packing),
+]
 
 ORACLE_SQL = None  # a trained classifier and a tokenizer are beyond SQL; the tests use brute force
 

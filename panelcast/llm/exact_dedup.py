@@ -68,25 +68,34 @@ def exact_duplicates(docs: DataFrame, hash_of: Callable[[Column], Column] = cont
 
 def without_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns unchanged."""
-    d = exact_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("__keep"), F.unhex("text_sha256").alias("__sha"), F.col("n_chars_whole").alias("__chars")
+    decided = exact_duplicates(docs).select(
+        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"), F.col("n_chars_whole").alias("__chars"), "kept"
     )
+    decided = spool(decided)
+    chosen = decided.filter("kept").drop("kept")
     text = whole_text()
     rows = docs.withColumns({"__sha_own": F.unhex(F.sha2(squeezed(text), 256)), "__chars_own": F.length(text).cast("long")})
     same = (
-        rows["doc_id"].eqNullSafe(d["__keep"]) & (rows["__sha_own"] == d["__sha"]) & (rows["__chars_own"] == d["__chars"])
+        rows["doc_id"].eqNullSafe(chosen["__id"])
+        & (rows["__sha_own"] == chosen["__sha"])
+        & (rows["__chars_own"] == chosen["__chars"])
     )
-    kept = rows.join(d, same, "left_semi")
-    return settled(kept, docs, ["__sha_own"])
-
-
-def settled(kept: DataFrame, docs: DataFrame, key: list[str]) -> DataFrame:
-    """``kept`` with one row per key; only keys met by several rows are grouped."""
-    kept = kept.withColumn("__key", F.struct(*key) if len(key) > 1 else F.col(key[0]))
-    many = kept.groupBy("__key").count().filter("count > 1").select(F.col("__key").alias("__many"))
-    many = spool(many)
-    if many.isEmpty():
-        return kept.select(docs.columns)
-    alone = kept.join(many, kept["__key"] == many["__many"], "left_anti")
-    rest = kept.join(many, kept["__key"] == many["__many"], "left_semi")
+    found = rows.join(chosen, same, "left_semi")
+    repeated = decided.groupBy("__id", "__sha", "__chars").count().filter("count > 1")
+    return settled(found, docs, {"doc_id": "__id", "__sha_own": "__sha", "__chars_own": "__chars"}, repeated.drop("count"))
+
+
+def settled(found: DataFrame, docs: DataFrame, key: dict[str, str], repeated: DataFrame) -> DataFrame:
+    """``found`` with one row for each key of ``repeated``; rows with other keys pass as they are.
+
+    ``key`` names the columns of ``found`` and their counterparts in ``repeated``.
+    """
+    repeated = spool(repeated)
+    if repeated.isEmpty():
+        return found.select(docs.columns)
+    same = F.lit(True)
+    for mine, other in key.items():
+        same = same & found[mine].eqNullSafe(repeated[other])
+    alone = found.join(repeated, same, "left_anti")
+    rest = found.join(repeated, same, "left_semi").withColumn("__key", F.struct(*key))
     return alone.select(docs.columns).unionByName(one_row_each(rest, "__key", "text").select(docs.columns))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import table
 from panelcast.llm.exact_dedup import exact_duplicates
 from panelcast.llm.mixing import mix
+from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.packing import Capacity, pack
 from panelcast.llm.quality import score_quality
 from panelcast.llm.sharding import byte_shards
@@ -25,6 +26,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars_whole")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "group_key")
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,4 +45,4 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op6_quality_classifier, op9_sharding, op10_mixing)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op5_minhash_near_dedup, op6_quality_classifier, op9_sharding, op10_mixing)}

@@ -139,10 +139,10 @@ def shingle_set(words: np.ndarray, width: int = 5) -> np.ndarray:
     if not len(words):
         return words
     if len(words) < width:
-        whole = np.uint64(len(words))
-        for w in words:
-            whole = mix64(np.array([whole * _BASE + w]))[0]
-        return np.array([whole], dtype=np.uint64)
+        whole = np.array([len(words)], dtype=np.uint64)
+        for i in range(len(words)):
+            whole = mix64(whole * _BASE + words[i : i + 1])
+        return whole
     n = len(words) - width + 1
     total = np.zeros(n, dtype=np.uint64)
     for i in range(width):
