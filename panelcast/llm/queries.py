@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import table
 from panelcast.llm.exact_dedup import exact_duplicates
+from panelcast.llm.html_text import extract_main_text
 from panelcast.llm.mixing import mix
 from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.packing import Capacity, pack
@@ -22,6 +23,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Capacity(tokens=2048))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("n_chars_whole")
 
@@ -44,5 +49,16 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("mix_rate", F.round("mix_rate", 6))
 
 
+REGISTERED = (
+    op1_best_fit_packing,
+    op3_html_extraction,
+    op4_exact_dedup,
+    op5_minhash_near_dedup,
+    op6_quality_classifier,
+    op9_sharding,
+    op10_mixing,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op4_exact_dedup, op5_minhash_near_dedup, op6_quality_classifier, op9_sharding, op10_mixing)}
+    return {f.__name__: f for f in REGISTERED}
