@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import table
+from panelcast.llm.embedding_dedup import near_vectors
 from panelcast.llm.exact_dedup import exact_duplicates
 from panelcast.llm.html_text import extract_main_text
 from panelcast.llm.mixing import mix
@@ -23,6 +24,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), Capacity(tokens=2048))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -51,6 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTERED = (
     op1_best_fit_packing,
+    op2_embedding_near_dedup,
     op3_html_extraction,
     op4_exact_dedup,
     op5_minhash_near_dedup,
