@@ -16,6 +16,7 @@ from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.packing import Capacity, pack
 from panelcast.llm.quality import score_quality
 from panelcast.llm.sharding import byte_shards
+from panelcast.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +45,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), shards=16)
 
@@ -61,6 +66,7 @@ REGISTERED = (
     op4_exact_dedup,
     op5_minhash_near_dedup,
     op6_quality_classifier,
+    op8_toxicity,
     op9_sharding,
     op10_mixing,
 )

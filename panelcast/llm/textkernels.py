@@ -49,13 +49,20 @@ def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Sums from which the hash of any span of ``data`` follows."""
+    powers, _ = _grown(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * powers[: len(data)], out=sums[1:])
+    return sums
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, sums: np.ndarray | None = None) -> np.ndarray:
     """Mixed 64-bit hashes of the byte spans [start, end) of ``data``."""
     if not len(start):
         return np.zeros(0, dtype=np.uint64)
-    powers, inverses = _grown(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * powers[: len(data)], out=sums[1:])
+    sums = prefix_sums(data) if sums is None else sums
+    _, inverses = _grown(len(data) + 1)
     length = (end - start).astype(np.uint64)
     return mix64((sums[end] - sums[start]) * inverses[start] + length)
 
@@ -94,9 +101,9 @@ def slices(starts: np.ndarray, data: np.ndarray, limit: int = SLICE) -> Iterator
         row += 1
 
 
-def word_spans(part: np.ndarray, text_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words in ``part``; words end with white space or a text."""
-    inside = ~IS_SPACE[part]
+def word_spans(part: np.ndarray, text_starts: np.ndarray, apart: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words in ``part``; words end with a byte that is ``apart`` or with the text."""
+    inside = ~apart[part]
     edge = np.zeros(len(part) + 1, dtype=bool)
     edge[text_starts] = True
     edge[0] = edge[len(part)] = True

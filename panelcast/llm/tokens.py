@@ -10,13 +10,14 @@ it is full, words beyond it are encoded anew each time, which changes no id.
 from __future__ import annotations
 
 import os
+import sys
+from array import array
 from itertools import count
 
-import numpy as np
 import regex
 
 TOKENIZER = "byte_bpe_50k.json"
-WORD_LIMIT = 500_000
+WORD_LIMIT = 1_000_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -47,14 +48,17 @@ class WordEncoder:
     def _ids(self, text: str) -> bytes:
         """Ids of a text or word, piece by piece of the splitting pattern."""
         ids: list[int] = []
-        for piece in self.split(text):
+        for piece in [text] if text[1:].isalpha() and text[0] == " " else self.split(text):
             known = self.pieces.get(piece)
             if known is None:
                 known = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
                 if len(self.pieces) < self.word_limit // 5:
                     self.pieces[piece] = known
             ids += known
-        return np.array(ids, dtype="<u4").tobytes()
+        codes = array("I", ids)  # 4 bytes each
+        if sys.byteorder == "big":
+            codes.byteswap()
+        return codes.tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids of the whole text."""
