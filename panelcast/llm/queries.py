@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,9 @@ from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.packing import Capacity, pack
 from panelcast.llm.quality import score_quality
 from panelcast.llm.sharding import byte_shards
+from panelcast.llm.token_shards import token_shards
 from panelcast.llm.toxicity import score_toxicity
+from panelcast.sources.spool import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +48,11 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files go to a new folder in the shared one."""
+    return token_shards(table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -66,6 +74,7 @@ REGISTERED = (
     op4_exact_dedup,
     op5_minhash_near_dedup,
     op6_quality_classifier,
+    op7_token_shards,
     op8_toxicity,
     op9_sharding,
     op10_mixing,
