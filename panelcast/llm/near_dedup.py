@@ -10,8 +10,8 @@ Classes under one key are first compared with the smallest of them only, a
 star, which needs as many pairs as classes and joins most near copies.
 Connected classes need no further comparison. The keys whose classes are still
 apart are worked off in tiles of bounded size: a tile compares two blocks of a
-key's classes by their sketches and gives out the pairs that remain possible.
-No pair is left out for the size of its group.
+key's classes by their sketches, confirms what remains possible where it is and
+gives out links alone. No pair is left out for the size of its group.
 """
 
 from __future__ import annotations
@@ -211,20 +211,29 @@ def components(links: DataFrame) -> DataFrame:
     return spool(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
 
 
-def _tile_pairs(limit: int):
-    """For one tile: the pairs of classes in different components that sizes and sketches leave possible."""
+def _tile_links(limit: int):
+    """For one tile: links between classes of different components, confirmed on their full sets."""
 
-    def pairs(tile: pa.Table) -> pa.Table:
+    def links(tile: pa.Table) -> pa.Table:
         side = np.asarray(tile.column("side"))
         node = tile.column("node").to_pylist()
         group = np.unique(np.array(tile.column("root").to_pylist(), dtype=object), return_inverse=True)[1]
-        n = np.asarray(tile.column("n")).astype(np.int64)
         band = int(tile.column("band")[0].as_py())
         sketch = np.array(tile.column("sketch").to_pylist(), dtype=np.int64).view(np.uint64)
         keys = np.array(tile.column("bands").to_pylist(), dtype=np.int64)
+        sets = [np.sort(np.asarray(s.values)) for s in tile.column("shingles")]
+        n = np.array([len(s) for s in sets])
         first, second = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
         one = not len(second)
         second = first if one else second
+
+        def able(mine: np.ndarray, theirs: np.ndarray, least: int) -> np.ndarray:
+            """Those of ``mine`` of whose shingles enough occur in ``least`` sets of ``theirs``, itself included."""
+            known, times = np.unique(np.concatenate([sets[j] for j in theirs]), return_counts=True)
+            known = known[times >= least]
+            return np.array([i for i in mine if np.isin(sets[i], known).sum() * 100 >= n[i] * PERCENT], dtype=np.int64)
+
+        first, second = able(first, second, 1 + one), able(second, first, 1 + one)
         a, b = [], []
         for at, i in enumerate(first):
             other = second[at + 1 :] if one else second
@@ -232,19 +241,28 @@ def _tile_pairs(limit: int):
             other = other[ok]
             if not len(other):
                 continue
-            apart = np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1)
-            other = other[apart <= limit]
-            # A pair that meets under several keys is given out under the first of its bands.
+            other = other[np.bitwise_count(sketch[other] ^ sketch[i]).sum(axis=1) <= limit]
+            # A pair that meets under several keys is looked at under the first of its bands.
             other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
-            a += [min(node[i], node[j]) for j in other]
-            b += [max(node[i], node[j]) for j in other]
+            if not len(other):
+                continue
+            found = np.isin(np.concatenate([sets[j] for j in other]), sets[i])
+            shared = np.add.reduceat(found, np.concatenate([[0], np.cumsum(n[other])[:-1]]), dtype=np.int64)
+            for j in other[shared * 100 >= (n[other] + n[i] - shared) * PERCENT]:
+                if group[j] != group[i]:
+                    a.append(min(node[i], node[j]))
+                    b.append(max(node[i], node[j]))
+                    group[group == group[j]] = group[i]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
-    return pairs
+    return links
+
 
+def apart_links(members: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` between components whose classes share a band key, as many as connect what is connected.
 
-def apart_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Pairs ``a, b`` of classes under one band key that no link connects yet and that may still be links."""
+    Pairs are compared where they meet and are not given out unless they link.
+    """
     labelled = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("m"))
     mixed = mixed.filter("low <> high").select("key", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
@@ -253,8 +271,8 @@ def apart_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, block:
     tiled = rows.select("key", "band", "node", "root", "mine", F.explode(others).alias("other"))
     tiled = tiled.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
     tiled = tiled.withColumn("side", (F.col("mine") != F.col("x")).cast("int"))
-    full = tiled.join(classes.select("node", "n", "sketch", "bands"), "node")
-    made = full.groupBy("key", "x", "y").applyInArrow(_tile_pairs(differing_bits_limit()), "a binary, b binary")
+    full = tiled.join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
+    made = full.groupBy("key", "x", "y").applyInArrow(_tile_links(differing_bits_limit()), "a binary, b binary")
     return made.distinct()
 
 
@@ -286,7 +304,7 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) ->
     star = star.filter(_bits_apart(F.col("s_a"), F.col("s_b")) <= differing_bits_limit()).select("a", "b")
     links = spool(confirmed(star, sets))
     roots = components(links)
-    more = spool(confirmed(apart_pairs(members, classes, roots, block), sets))
+    more = spool(apart_links(members, classes, sets, roots, block))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
