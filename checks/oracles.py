@@ -311,6 +311,7 @@ METRIC_SQL = {
     "bias": "AVG(p - y)",
     "ope": "100 * ABS((SUM(y) - SUM(p)) / NULLIF(SUM(y), 0))",
     "rmsle": "CASE WHEN MIN(LEAST(y, p)) > -1 THEN SQRT(AVG(POW(LN(1 + y) - LN(1 + p), 2))) END",
+    "marre": "100 * AVG(ABS(y - p)) / NULLIF(MAX(y) - MIN(y), 0)",
     "r2_score": "CASE WHEN VAR_POP(y) > 0 THEN 1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)) END",
     "coefficient_of_variation": "100 * SQRT(AVG((y - p) * (y - p))) / NULLIF(AVG(y), 0)",
     "mape_eps": "AVG(CASE WHEN y + 1 <> 0 THEN ABS(y - p) / (y + 1) END)",
@@ -383,7 +384,7 @@ def oracle_sql() -> dict[str, str]:
             FROM joined""",
         "metrics_long": f"""{dense_scores}, {metrics(p, ['rmse', 'mae', 'mape'])}
             SELECT model, {p.keys}, metric, ROUND(value, 4) AS value FROM metrics""",
-        "metrics_extra": f"""{dense_scores}, {metrics(p, ['mse', 'smape', 'bias', 'ope', 'r2_score', 'rmsle', 'coefficient_of_variation'])}
+        "metrics_extra": f"""{dense_scores}, {metrics(p, ['mse', 'smape', 'bias', 'ope', 'r2_score', 'rmsle', 'coefficient_of_variation', 'marre'])}
             SELECT model, {p.keys}, metric, ROUND(value, 4) AS value FROM metrics""",
         "mape_epsilon": f"""{dense_scores}, {metrics(p, ['mape_eps'])}
             SELECT model, {p.keys}, metric, ROUND(value, 4) AS value FROM metrics""",
@@ -393,6 +394,12 @@ def oracle_sql() -> dict[str, str]:
         "champion_mean_error": f"{champion} SELECT ROUND(AVG(value), 4) AS mean_error, COUNT(*) AS n_series FROM best",
         "champion_forecast": f"{champion} {chosen}",
         "champion_plan": f"{champion} {chosen}",
+        "no_forecast": f"""WITH {panel(SPARSE)}
+          SELECT {SPARSE.keys}, CASE WHEN COUNT(*) FILTER (WHERE split = 'train') = 0
+              THEN 'too few training days for every model'
+              ELSE 'no model has a defined mape on the test days' END AS reason
+          FROM panel GROUP BY {SPARSE.keys}
+          HAVING COUNT(*) FILTER (WHERE split = 'train') = 0 OR COUNT(*) FILTER (WHERE split = 'test' AND y <> 0) = 0""",
         "workflow_tables": f"{champion} {chosen}",
         "forecast_on_test": f"""WITH RECURSIVE {champion_parts(p, STEPS)}
             SELECT model, {p.keys}, t AS {t}, ROUND(v, 4) AS {y} FROM tested""",

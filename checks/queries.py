@@ -37,7 +37,7 @@ def light_models() -> list[Model]:
 
 
 def usual_models() -> list[Model]:
-    """The eight models of a full run, the boosted trees with fewer rounds than by default."""
+    """The eight models of a full run."""
     return [
         make_model("NaiveMean"),
         make_model("NaiveMovingAverage", {"input_chunk_length": 7}),
@@ -45,7 +45,7 @@ def usual_models() -> list[Model]:
         make_model("ExponentialSmoothing", {"seasonal_periods": 7}),
         make_model("AutoARIMA", {"maxiter": 10}),
         make_model("Prophet"),
-        make_model("XGBModel", {"lags": 7, "max_depth": 6, "learning_rate": 0.3, "gamma": 0, "n_estimators": 5}),
+        make_model("XGBModel", {"lags": 7, "max_depth": 6, "learning_rate": 0.3, "gamma": 0}),
         make_model("RandomForest", {"lags": 7, "n_estimators": 100, "max_depth": 6}),
     ]
 
@@ -263,6 +263,12 @@ def forecast_on_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(champion.forecast_on_test(run, DENSE.spec), DENSE.spec.value)
 
 
+def no_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sparse series that get no champion, and why."""
+    run = tested(SPARSE, light_models(), spark, sf_dir)
+    return champion.no_forecast(run, SPARSE.spec)
+
+
 def champion_usual_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All eight usual models over the supplier series, tree models included."""
     run = tested(SUPPLIERS, usual_models(), spark, sf_dir)
@@ -354,19 +360,20 @@ def queries() -> dict[str, Query]:
         ),
         "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
         "tree_windows": tree_windows,
-        "fc_gbt_lags": forecast_of(SUPPLIERS, make_model("XGBModel", {"n_estimators": 5})),
+        "fc_gbt_lags": forecast_of(SUPPLIERS, make_model("XGBModel")),
         "fc_forest_lags": forecast_of(SUPPLIERS, make_model("RandomForest")),
         "fc_plugin": fc_plugin,
         "fc_plugin_report": fc_plugin_report,
         "score_join": score_join,
         "metrics_long": metrics_of("rmse", "mae", "mape"),
-        "metrics_extra": metrics_of("mse", "smape", "bias", "ope", "r2_score", "rmsle", "coefficient_of_variation"),
+        "metrics_extra": metrics_of("mse", "smape", "bias", "ope", "r2_score", "rmsle", "coefficient_of_variation", "marre"),
         "mape_epsilon": metrics_of(mape_eps(1.0)),
         "coverage": coverage,
         "best_model": best_model,
         "champion_mean_error": champion_mean_error,
         "champion_forecast": champion_forecast,
         "champion_plan": champion_plan,
+        "no_forecast": no_forecast,
         "forecast_on_test": forecast_on_test,
         "all_models_forecast": all_models_forecast,
         "champion_usual_models": champion_usual_models,

@@ -27,6 +27,12 @@ class Residuals(Protocol):
     def count(self, condition: Term) -> Column:
         """Number of points that satisfy a condition."""
 
+    def variation(self, term: Term) -> Column:
+        """Sum of squared deviations of a term from its mean, from the mean first; null terms do not count."""
+
+    def extent(self, term: Term) -> Column:
+        """Largest minus smallest value of a term; null terms do not count."""
+
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
         """Result of Python code over all points."""
 
@@ -45,6 +51,14 @@ class RowResiduals:
     def count(self, condition: Term) -> Column:
         return F.count_if(condition(self.actual, self.predicted))
 
+    def variation(self, term: Term) -> Column:
+        value = term(self.actual, self.predicted)
+        return F.var_pop(value) * F.count(value)
+
+    def extent(self, term: Term) -> Column:
+        value = term(self.actual, self.predicted)
+        return F.max(value) - F.min(value)
+
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
         # A group holds one horizon of points, so it may be gathered; a grouped
         # Python aggregate could not stand next to the built-in ones.
@@ -69,6 +83,21 @@ class ArrayResiduals:
         hits = F.filter(F.zip_with(self.actual, self.predicted, condition), lambda hit: hit)
         return F.size(hits).cast("bigint")
 
+    def _values(self, term: Term) -> Column:
+        return F.filter(F.zip_with(self.actual, self.predicted, term), lambda x: x.isNotNull())
+
+    def variation(self, term: Term) -> Column:
+        def squares(points: Column) -> Column:
+            n = F.nullif(F.size(points), F.lit(0))
+            mean = F.aggregate(points, F.lit(0.0), lambda acc, x: acc + x) / n
+            return F.aggregate(points, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
+
+        return squares(self._values(term))
+
+    def extent(self, term: Term) -> Column:
+        values = self._values(term)
+        return F.array_max(values) - F.array_min(values)
+
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
         @F.pandas_udf("double")
         def evaluate(ys: pd.Series, ps: pd.Series) -> pd.Series:
@@ -138,16 +167,20 @@ def bias(r: Residuals) -> Column:
 
 def ope(r: Residuals) -> Column:
     """Overall error in percent: difference of the sums over the sum of the actuals."""
-    total = r.total(lambda y, p: y)
-    return 100.0 * F.abs((total - r.total(lambda y, p: p)) / F.nullif(total, F.lit(0.0)))
+    total = r.total(lambda y, p: F.when(every(y, p), y))
+    return 100.0 * F.abs((total - r.total(lambda y, p: F.when(every(y, p), p))) / F.nullif(total, F.lit(0.0)))
+
+
+def marre(r: Residuals) -> Column:
+    """Mean absolute error in percent of the range of the actuals; null when they do not vary."""
+    extent = r.extent(lambda y, p: F.when(every(y, p), y))
+    return 100.0 * mae(r) / F.nullif(extent, F.lit(0.0))
 
 
 def r2(r: Residuals) -> Column:
     """Share of the variance explained; null when the actuals do not vary."""
-    n = r.count(every)
-    total = r.total(lambda y, p: y)
-    spread = r.total(lambda y, p: y * y) - total * total / F.nullif(n, F.lit(0))
-    return F.when((n > 0) & (spread > 0), 1.0 - r.total(squared) / spread)
+    spread = r.variation(lambda y, p: F.when(every(y, p), y))
+    return F.when(spread > 0, 1.0 - r.total(squared) / spread)
 
 
 def rmsle(r: Residuals) -> Column:
@@ -175,6 +208,7 @@ METRICS: dict[str, Metric] = {
     "r2": r2,
     "r2_score": r2,
     "coefficient_of_variation": cv,
+    "marre": marre,
 }
 
 

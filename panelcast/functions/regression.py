@@ -144,6 +144,18 @@ def settles(ar: np.ndarray) -> bool:
     return not len(ar) or np.abs(np.roots([1.0, *-ar])).max(initial=0.0) < 1.0
 
 
+def long_order(n: int, p_top: int, q_top: int) -> int:
+    """Lags of the regression that estimates the shocks of ``n`` values."""
+    return min(int(np.ceil(np.log(max(n, 2)) * 2)) + p_top + q_top, n // 4) if q_top else 0
+
+
+def arima_least_length(max_p: int, max_q: int, order: tuple[int, int, int] | None) -> int:
+    """Values from which on a series of any kind gets a forecast, one more for a difference if d is searched."""
+    p, d, q = order if order else (max_p, 1, max_q)
+    short = [n for n in range(2, 40 + 8 * (p + q)) if n - d - max(p, long_order(n - d, p, q) + q) < p + q + 3]
+    return max(short, default=1) + 1
+
+
 def arima_forecast(y: np.ndarray, steps: int, max_p: int, max_q: int, order: tuple[int, int, int] | None):
     """Two-stage least squares of Hannan and Rissanen (1982); the order with the least AICc wins.
 
@@ -155,7 +167,7 @@ def arima_forecast(y: np.ndarray, steps: int, max_p: int, max_q: int, order: tup
     w = np.diff(y, d) if d else y
     centre = w.mean()
     w = w - centre
-    ar = min(int(np.ceil(np.log(max(len(w), 2)) * 2)) + p_top + q_top, len(w) // 4) if q_top else 0
+    ar = long_order(len(w), p_top, q_top)
     first = max(p_top, ar + q_top)
     rows = len(w) - first
     if rows < p_top + q_top + 3:

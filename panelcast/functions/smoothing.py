@@ -53,7 +53,7 @@ def smooth(series: list[np.ndarray], season: int, params: np.ndarray):
     return sse, level, trend, pattern
 
 
-def forecast_block(series: list[np.ndarray], season: int, steps: int, fixed) -> np.ndarray:
+def forecast_block(series: list[np.ndarray], season: int, steps: int, fixed, coarse=COARSE, fine=FINE) -> np.ndarray:
     """Forecasts (series, steps) with given parameters or the best of two grid passes."""
     rows = np.arange(len(series))
 
@@ -69,8 +69,8 @@ def forecast_block(series: list[np.ndarray], season: int, steps: int, fixed) ->
     if fixed is not None:
         _, level, trend, pattern = best_of(spread([fixed]))
     else:
-        coarse, *_ = best_of(spread(COARSE))
-        around = np.clip(coarse[:, :, None] * spread(FINE), 0.0, 1.0)
+        found, *_ = best_of(spread(coarse))
+        around = np.clip(found[:, :, None] * spread(fine), 0.0, 1.0)
         _, level, trend, pattern = best_of(around)
     ahead = np.arange(1, steps + 1)
     n = np.array([len(y) for y in series])
@@ -78,11 +78,18 @@ def forecast_block(series: list[np.ndarray], season: int, steps: int, fixed) ->
     return level[:, None] + trend[:, None] * ahead + pattern[phase, rows[:, None]]
 
 
-def holt_winters(ys: Column, steps: int, seasonal_periods: int = 7, params=None) -> Column:
+def holt_winters(ys: Column, steps: int, seasonal_periods: int = 7, params=None, coarse=COARSE, fine=FINE) -> Column:
     """Forecast array; ``params`` fixes (level, trend, season) weights, else they are searched.
 
-    Series shorter than two seasons get a null array.
+    ``coarse`` are the weights that the search tries first, ``fine`` the factors
+    it tries around the best of them. Series shorter than two seasons get a
+    null array.
     """
+    for name, grid in (("coarse", coarse), ("fine", fine)):
+        if not len(grid) or any(len(c) != 3 or min(c) < 0 for c in grid):
+            raise ValueError(f"{name} must be a list of three numbers each, none below 0")
+    if any(max(c) > 1 for c in coarse):
+        raise ValueError("coarse weights must lie between 0 and 1")
     m = seasonal_periods
     if params is not None and (len(params) != 3 or not all(0 <= p <= 1 for p in params)):
         raise ValueError("params must be three weights between 0 and 1")
@@ -94,7 +101,7 @@ def holt_winters(ys: Column, steps: int, seasonal_periods: int = 7, params=None)
         usable.sort(key=lambda i: -len(batch.iloc[i]))
         for lo in range(0, len(usable), BLOCK):
             some = usable[lo : lo + BLOCK]
-            ahead = forecast_block([batch.iloc[i] for i in some], m, steps, params)
+            ahead = forecast_block([batch.iloc[i] for i in some], m, steps, params, coarse, fine)
             for i, row in zip(some, ahead):
                 result.iloc[i] = row
         return result

@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import baselines
-from panelcast.functions.regression import Decomposition, auto_arima, decomposed, holiday_pairs
-from panelcast.functions.smoothing import holt_winters
+from panelcast.functions.regression import Decomposition, arima_least_length, auto_arima, decomposed, holiday_pairs
+from panelcast.functions.smoothing import COARSE, FINE, holt_winters
 from panelcast.operators.trees import LagTrees, tree_model
 from panelcast.operators.vectors import next_day, train_part, unfold, unroll
 from panelcast.sources.spool import spool
@@ -131,15 +131,16 @@ def _croston(version: str = "classic", alpha_d: float = 0.1, alpha_p: float = 0.
     return 1, lambda ys, start, h, step: baselines.croston(ys, h, version, alpha_d, alpha_p)
 
 
-def _smoothing(seasonal_periods: int = 7, params: Sequence[float] | None = None) -> tuple[int, Callable]:
+def _smoothing(
+    seasonal_periods: int = 7, params: Sequence[float] | None = None, coarse: Sequence = COARSE, fine: Sequence = FINE
+) -> tuple[int, Callable]:
     m = positive("seasonal_periods", seasonal_periods)
-    return 2 * m, lambda ys, start, h, step: holt_winters(ys, h, m, params)
+    return 2 * m, lambda ys, start, h, step: holt_winters(ys, h, m, params, coarse, fine)
 
 
 def _auto_arima(max_p: int = 3, max_q: int = 3, order: Sequence[int] | None = None) -> tuple[int, Callable]:
     order = tuple(order) if order is not None else None
-    need = 8 if order is None else order[1] + 2 * order[0] + order[2] + 3
-    return need, lambda ys, start, h, step: auto_arima(ys, h, max_p, max_q, order)
+    return arima_least_length(max_p, max_q, order), lambda ys, start, h, step: auto_arima(ys, h, max_p, max_q, order)
 
 
 def _arima(p: int = 12, d: int = 1, q: int = 0) -> tuple[int, Callable]:
@@ -175,17 +176,35 @@ TREE_MODELS = ("XGBModel", "RandomForest")
 DROPPED_SETTINGS = {"AutoARIMA": {"maxiter"}, "XGBModel": {"nthread", "n_jobs"}, "RandomForest": {"n_jobs"}}
 
 
+# Settings of usual configurations that have no counterpart here.
+UNSUPPORTED = {"XGBModel": {"lambda", "alpha"}, "Prophet": {"country_holidays"}}
+
+
+def dropped_settings(model: str, params: dict | None) -> list[str]:
+    """The settings that ``unsupported="drop"`` leaves out."""
+    return sorted(UNSUPPORTED.get(model, set()) & set(params or {}))
+
+
 def model_names() -> list[str]:
     return sorted([*ARRAY_MODELS, *TREE_MODELS])
 
 
-def make_model(model: str | Callable[..., Any], params: dict | None = None, model_id: str | None = None) -> Model:
+def make_model(
+    model: str | Callable[..., Any], params: dict | None = None, model_id: str | None = None, unsupported: str = "raise"
+) -> Model:
     """A model from its name, or a plug-in from a class with ``fit`` and ``predict``.
 
     ``model_id`` names the results and defaults to the name, so two settings of
-    one model can run side by side under different ids.
+    one model can run side by side under different ids. Settings without a
+    counterpart here are errors; with ``unsupported="drop"`` those of
+    ``UNSUPPORTED`` are left out, and ``dropped_settings`` names them.
     """
+    if unsupported not in ("raise", "drop"):
+        raise ValueError(f"unsupported must be 'raise' or 'drop', got {unsupported!r}")
     params = dict(params or {})
+    if unsupported == "drop" and isinstance(model, str):
+        for name in dropped_settings(model, params):
+            params.pop(name)
     if not isinstance(model, str):
         return Plugin(model_id or getattr(model, "__name__", type(model).__name__), model, tuple(params.items()))
     if model not in ARRAY_MODELS and model not in TREE_MODELS:

@@ -11,16 +11,41 @@ from panelcast.functions.metrics import Metric, RowResiduals, resolve
 from panelcast.spec import PanelSpec
 
 
-def score_join(test: DataFrame, forecast: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Actual and ``prediction`` side by side for the days both frames have.
+def same_series(left: DataFrame, right: DataFrame, on: Sequence[str], keys: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """Inner join on ``on``; a null in one of the series ``keys`` is a key like any other.
 
-    As in any equality join a null key matches nothing, so a series with a null
-    key gets no score and no champion here; the one-plan backtest, which needs
-    no join, scores it.
+    Tables bucketed on the keys join without a shuffle only by plain equality,
+    so a caller that knows of no null keys may say so.
     """
+    if not null_keys:
+        return left.join(right, list(on), "inner")
+    renamed = right.withColumnsRenamed({c: f"__{c}" for c in on})
+    match = F.lit(True)
+    for c in on:
+        match = match & (F.col(c).eqNullSafe(F.col(f"__{c}")) if c in keys else F.col(c) == F.col(f"__{c}"))
+    return left.join(renamed, match, "inner").drop(*[f"__{c}" for c in on])
+
+
+def score_join(test: DataFrame, forecast: DataFrame, spec: PanelSpec, null_keys: bool = True) -> DataFrame:
+    """Actual and ``prediction`` side by side for the days both frames have."""
     predicted = forecast.select("model", *spec.keys, spec.time, F.col(spec.value).alias("prediction"))
     actual = test.select(*spec.columns)
-    return actual.join(predicted, [*spec.keys, spec.time], "inner")
+    return same_series(actual, predicted, [*spec.keys, spec.time], spec.keys, null_keys)
+
+
+def fully_scored(joined: DataFrame, test: DataFrame, spec: PanelSpec, null_keys: bool = True) -> DataFrame:
+    """The rows of ``joined`` whose (model, series) covers every test day of the series.
+
+    Forecasts left over from a run with other days reach a part of them at most.
+    """
+    wanted = test.groupBy(*spec.keys).agg(F.count(F.lit(1)).alias("__days"))
+    found = joined.groupBy("model", *spec.keys).agg(F.count(F.lit(1)).alias("__n"))
+    short = same_series(found, wanted, spec.keys, spec.keys, null_keys).filter("__n < __days")
+    keys = ["model", *spec.keys]
+    match = F.lit(True)
+    for c in keys:
+        match = match & (joined[c].eqNullSafe(short[c]) if null_keys else joined[c] == short[c])
+    return joined.join(short.select(*keys), match if null_keys else keys, "left_anti")
 
 
 def metrics_wide(joined: DataFrame, spec: PanelSpec, metrics: Sequence[str | Metric]) -> DataFrame:
@@ -51,12 +76,14 @@ def defined(value: Column) -> Column:
 def best_model(metrics: DataFrame, spec: PanelSpec, select_on: str = "mape") -> DataFrame:
     """The row of the lowest ``select_on`` per series; ties go to the first model name.
 
-    Undefined values cannot win, and a series that has no other gets no row.
+    Errors are compared to nine decimals, as sums differ beyond them with the
+    order of addition. Undefined values cannot win, and a series that has no
+    other gets no row.
     """
     return (
         metrics.filter((F.col("metric") == select_on) & defined(F.col("value")))
         .groupBy(*spec.keys)
-        .agg(F.min(F.struct("value", "model")).alias("best"))
+        .agg(F.min(F.struct(F.round("value", 9).alias("rank"), "model", "value")).alias("best"))
         .select("best.model", *spec.keys, F.lit(select_on).alias("metric"), "best.value")
     )
 
@@ -66,11 +93,11 @@ def champion_mean_error(best: DataFrame) -> DataFrame:
     return best.agg(F.avg("value").alias("mean_error"), F.count("value").alias("n_series"))
 
 
-def champion_forecast(forecasts: DataFrame, best: DataFrame, spec: PanelSpec) -> DataFrame:
+def champion_forecast(forecasts: DataFrame, best: DataFrame, spec: PanelSpec, null_keys: bool = True) -> DataFrame:
     """The forecast rows of the chosen model of each series.
 
     The chosen models grow with the number of series, so the join carries no
     broadcast hint; Spark decides from the measured size.
     """
     chosen = best.select("model", *spec.keys)
-    return forecasts.join(chosen, ["model", *spec.keys], "inner").select(*forecasts.columns)
+    return same_series(forecasts, chosen, ["model", *spec.keys], spec.keys, null_keys).select(*forecasts.columns)

@@ -103,6 +103,17 @@ def _unit(ys: str):
     return F.when(size > 0, size).otherwise(1.0)
 
 
+# Settings that MLlib knows under another name.
+MLLIB_SETTINGS = (
+    ("subsample", "subsamplingRate", float),
+    ("min_child_weight", "minInstancesPerNode", int),
+    ("min_samples_leaf", "minInstancesPerNode", int),
+    ("max_bin", "maxBins", int),
+    ("colsample_bynode", "featureSubsetStrategy", str),
+    ("max_features", "featureSubsetStrategy", str),
+)
+
+
 def tree_model(name: str, params: dict, model_id: str) -> LagTrees:
     """``XGBModel`` (gradient boosting) or ``RandomForest`` with MLlib's counterparts of the settings.
 
@@ -110,13 +121,14 @@ def tree_model(name: str, params: dict, model_id: str) -> LagTrees:
     """
     params = dict(params)
     lags = positive("lags", params.pop("lags", 7))
-    if lags < 2:
-        raise ValueError("tree models need at least 2 lags")
     common = {
         "maxDepth": params.pop("max_depth", 6),
         "minInfoGain": float(params.pop("gamma", 0.0)),
         "seed": params.pop("random_state", 7),
     }
+    for theirs, ours, kind in MLLIB_SETTINGS:
+        if theirs in params:
+            common[ours] = kind(params.pop(theirs))
     if name == "XGBModel":
         for penalty in ("lambda", "alpha"):
             if params.pop(penalty, 0):

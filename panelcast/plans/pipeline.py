@@ -13,12 +13,13 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.metrics import Metric, resolve
 from panelcast.operators.models import Model, forecast_rows, history
 from panelcast.operators.panel import filter_keys, make_panel, only
-from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, metrics_long, score_join
+from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, fully_scored, metrics_long, score_join
 from panelcast.operators.vectors import series_vectors
 from panelcast.sources import tables
 from panelcast.spec import Cutoffs, PanelSpec, positive
@@ -109,18 +110,29 @@ class Workflow:
     def evaluate(self, spark: SparkSession) -> float | None:
         """Forecast tables to ``metrics``, ``best_models`` and ``forecast``; returns the mean error.
 
-        Each table is written once and the next one is derived from what is stored.
+        Each table is written once and the next one is derived from what is
+        stored. Only models that cover every test day of a series are scored,
+        so forecasts of a run with other days do not compete, and only days
+        after the window are forecast.
         """
         spec = self.spec
         # Tables bucketed on the keys may be joined on (keys, day) without a shuffle.
         with tables.setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             test = only(self._read(spark, "split"), "test")
-            joined = score_join(test, self._read(spark, "forecast_on_test"), spec)
+            nulls = F.lit(False)
+            for key in spec.keys:
+                nulls = nulls | F.col(key).isNull()
+            null_keys = not test.filter(nulls).isEmpty()
+            joined = score_join(test, self._read(spark, "forecast_on_test"), spec, null_keys)
+            joined = fully_scored(joined, test, spec, null_keys)
             self._replace(metrics_long(joined, spec, self.metrics), "metrics", sort=False)
             best = best_model(self._read(spark, "metrics"), spec, self.select_on)
             self._replace(best, "best_models", sort=False)
             best = self._read(spark, "best_models")
-            self._replace(champion_forecast(self._read(spark, "all_models_forecast"), best, spec), "forecast")
+            ahead = self._read(spark, "all_models_forecast").filter(
+                F.col(spec.time) > F.date_sub(F.lit(self.cut.execution_date), spec.step_days)
+            )
+            self._replace(champion_forecast(ahead, best, spec, null_keys), "forecast")
         error = champion_mean_error(best).first()["mean_error"]
         self._log(spark, "evaluate", metric=self.select_on, value=error)
         return error

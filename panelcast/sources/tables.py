@@ -27,7 +27,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: st
 
 
 def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
-    return spark.read.table(f"{database}.{table}")
+    return spark.read.table(_full(database, table))
 
 
 def use_catalog(spark: SparkSession, catalog: str) -> None:
@@ -36,7 +36,8 @@ def use_catalog(spark: SparkSession, catalog: str) -> None:
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create the database if it is absent, in the warehouse or at ``location``."""
-    place = f" LOCATION '{location}'" if location else ""
+    text = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{text}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}{place}")
 
 
@@ -53,7 +54,7 @@ def create_table(
 ) -> None:
     """Create the table if it is absent, optionally partitioned and bucketed."""
     columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
-    ddl = f"CREATE TABLE IF NOT EXISTS {_quoted(database)}.{_quoted(table)} ({columns}) USING {source}"
+    ddl = f"CREATE TABLE IF NOT EXISTS {_full(database, table)} ({columns}) USING {source}"
     if partition_cols:
         ddl += f" PARTITIONED BY ({_names(partition_cols)})"
     if buckets:
@@ -78,7 +79,7 @@ def write_table(
     if buckets:
         writer = writer.bucketBy(buckets, *bucket_cols)
         writer = writer.sortBy(*sort_cols) if sort_cols else writer
-    writer.saveAsTable(f"{database}.{table}")
+    writer.saveAsTable(_full(database, table))
 
 
 def overwrite_partitions(df: DataFrame, database: str, table: str) -> None:
@@ -88,14 +89,14 @@ def overwrite_partitions(df: DataFrame, database: str, table: str) -> None:
     without a transaction log, so one writer at a time must own the table.
     """
     spark = df.sparkSession
-    columns = spark.read.table(f"{database}.{table}").columns
+    columns = read_table(spark, database, table).columns
     with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        df.select(*columns).write.insertInto(f"{database}.{table}", overwrite=True)
+        df.select(*columns).write.insertInto(_full(database, table), overwrite=True)
 
 
 def table_info(spark: SparkSession, database: str, table: str) -> dict[str, str]:
     """``DESCRIBE EXTENDED`` as a dict; section headings are left out."""
-    rows = spark.sql(f"DESCRIBE EXTENDED {_quoted(database)}.{_quoted(table)}").collect()
+    rows = spark.sql(f"DESCRIBE EXTENDED {_full(database, table)}").collect()
     return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] and not r["col_name"].startswith("#")}
 
 
@@ -111,7 +112,7 @@ def log_run(
     """Append one row about a finished step to ``<database>.run_log``."""
     create_table(spark, database, "run_log", RUN_LOG)
     row = (run_id, step, {k: str(v) for k, v in params.items()}, metric, value, datetime.now(timezone.utc))
-    spark.createDataFrame([row], RUN_LOG).coalesce(1).write.insertInto(f"{database}.run_log")
+    spark.createDataFrame([row], RUN_LOG).coalesce(1).write.insertInto(_full(database, "run_log"))
 
 
 @contextmanager
@@ -129,5 +130,9 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _full(database: str, table: str) -> str:
+    return f"{_quoted(database)}.{_quoted(table)}"
+
+
 def _names(columns: Sequence[str]) -> str:
     return ", ".join(map(_quoted, columns))

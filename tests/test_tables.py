@@ -135,12 +135,12 @@ def test_bucketed_tables_are_joined_without_a_shuffle(spark, database, tmp_path)
         tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"),
         tables.setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"),
     ):
-        joined = scoring.score_join(read("split").filter("split = 'test'"), read("forecast_on_test"), SPEC)
+        joined = scoring.score_join(read("split").filter("split = 'test'"), read("forecast_on_test"), SPEC, null_keys=False)
         for df in (
             series_vectors(read("split"), SPEC, cut),
             scoring.metrics_long(joined, SPEC, ["mae"]),
             scoring.best_model(read("metrics"), SPEC, "mae"),
-            scoring.champion_forecast(read("all_models_forecast"), read("best_models"), SPEC),
+            scoring.champion_forecast(read("all_models_forecast"), read("best_models"), SPEC, null_keys=False),
         ):
             assert "Exchange " not in df._jdf.queryExecution().executedPlan().toString()
 
