@@ -311,6 +311,7 @@ METRIC_SQL = {
     "bias": "AVG(p - y)",
     "ope": "100 * ABS((SUM(y) - SUM(p)) / NULLIF(SUM(y), 0))",
     "rmsle": "CASE WHEN MIN(LEAST(y, p)) > -1 THEN SQRT(AVG(POW(LN(1 + y) - LN(1 + p), 2))) END",
+    "worst_error": "MAX(ABS(y - p))",
     "marre": "100 * AVG(ABS(y - p)) / NULLIF(MAX(y) - MIN(y), 0)",
     "r2_score": "CASE WHEN VAR_POP(y) > 0 THEN 1 - SUM((y - p) * (y - p)) / (VAR_POP(y) * COUNT(*)) END",
     "coefficient_of_variation": "100 * SQRT(AVG((y - p) * (y - p))) / NULLIF(AVG(y), 0)",
@@ -394,6 +395,10 @@ def oracle_sql() -> dict[str, str]:
         "champion_mean_error": f"{champion} SELECT ROUND(AVG(value), 4) AS mean_error, COUNT(*) AS n_series FROM best",
         "champion_forecast": f"{champion} {chosen}",
         "champion_plan": f"{champion} {chosen}",
+        "metric_plugin": f"""{dense_scores}, {metrics(p, ['mae', 'worst_error'])}
+            SELECT model, {p.keys}, metric, ROUND(value, 4) AS value FROM metrics""",
+        "numbered_rows": f"""WITH {panel(p)} SELECT ROW_NUMBER() OVER (ORDER BY {p.keys}, t) - 1 AS row, {p.keys}, t AS {t}, y AS {y}
+            FROM daily""",
         "no_forecast": f"""WITH {panel(SPARSE)}
           SELECT {SPARSE.keys}, CASE WHEN COUNT(*) FILTER (WHERE split = 'train') = 0
               THEN 'too few training days for every model'

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.datasets import DENSE, RECENT, SHORT, SPARSE, SUPPLIERS, WEEKLY, Dataset
-from panelcast.functions.metrics import mape_eps
+from panelcast.functions.metrics import mape_eps, python_metric
 from panelcast.operators import panel as ops
 from panelcast.operators import scoring
-from panelcast.operators.compare import frame_diff
+from panelcast.operators.compare import frame_diff, numbered
 from panelcast.operators.models import Model, Plugin, forecast_rows, history, make_model, plugin_report
 from panelcast.operators.vectors import horizon, next_day
 from panelcast.plans import champion
@@ -212,6 +212,22 @@ def metrics_of(*metrics) -> Query:
     return query
 
 
+def metric_plugin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metric from Python code next to built-in ones."""
+
+    def worst_error(ys, ps):
+        return (ys - ps).abs().max()
+
+    return metrics_of("mae", python_metric(worst_error))(spark, sf_dir)
+
+
+def numbered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums numbered in order of series and day."""
+    d = DENSE
+    daily = cents(d, d.daily(spark, sf_dir)).orderBy(*d.spec.keys, d.spec.time)
+    return numbered(daily)
+
+
 def score_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scored(DENSE, spark, sf_dir), "prediction")
 
@@ -374,6 +390,8 @@ def queries() -> dict[str, Query]:
         "champion_forecast": champion_forecast,
         "champion_plan": champion_plan,
         "no_forecast": no_forecast,
+        "metric_plugin": metric_plugin,
+        "numbered_rows": numbered_rows,
         "forecast_on_test": forecast_on_test,
         "all_models_forecast": all_models_forecast,
         "champion_usual_models": champion_usual_models,

@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelcast.functions.metrics import Metric, resolve
-from panelcast.operators.models import Model, forecast_rows, history
+from panelcast.operators.models import Model
 from panelcast.operators.panel import filter_keys, make_panel, only
 from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, fully_scored, metrics_long, score_join
 from panelcast.operators.vectors import series_vectors
+from panelcast.plans import champion
 from panelcast.sources import tables
+from panelcast.sources.spool import spool
 from panelcast.spec import Cutoffs, PanelSpec, positive
 
 
@@ -92,15 +94,17 @@ class Workflow:
     def model(self, spark: SparkSession, models: Sequence[Model]) -> None:
         """Table ``split`` to ``forecast_on_test`` and ``all_models_forecast``.
 
-        Fits on the training days and on all days. All models share one pass;
-        only their own ``model`` partitions are replaced.
+        Fits on the training days and on all days. All models share one pass
+        over the arrays, whose results are kept in the shared folder for both
+        tables; only the models' own ``model`` partitions are replaced.
         """
         vectors = series_vectors(self._read(spark, "split"), self.spec, self.cut)
-        for table, which, ahead in (
-            ("forecast_on_test", "train", self.cut.test_size),
-            ("all_models_forecast", "full", self.steps),
+        tested = champion.backtest(vectors, self.spec, models, self.cut.test_size, self.steps, self.metrics, self.select_on)
+        tested = spool(tested.select(*self.spec.keys, "test_start", "future_start", "runs"))
+        for table, rows in (
+            ("forecast_on_test", champion.forecast_on_test(tested, self.spec)),
+            ("all_models_forecast", champion.all_models_forecast(tested, self.spec)),
         ):
-            rows = forecast_rows(history(vectors, self.spec, which), self.spec, models, ahead)
             tables.create_table(
                 spark, self.database, table, rows.schema, ["model"], self.spec.keys, [self.spec.time], self.buckets
             )
