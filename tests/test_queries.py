@@ -8,10 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from checks import oracles, queries
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables are missing")
-SQL = contract.oracle_sql()
+QUERIES, SQL = queries.queries(), oracles.oracle_sql()
 SLOW = {"champion_usual_models", "fc_gbt_lags", "fc_forest_lags"}  # fitted in test_models and test_scoring
 
 
@@ -37,12 +38,13 @@ def table(columns, records):
 
 
 def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(contract.queries())
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_its_sql(spark, duck, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     cursor = duck.execute(SQL[name])
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
@@ -50,9 +52,9 @@ def test_query_matches_its_sql(spark, duck, name):
     assert expected and got == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
 def test_query_without_sql_yields_whole_finite_forecasts(spark, name):
-    df = contract.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     values = [r["l_quantity"] for r in df.collect()]
     assert len(values) == 210 and all(map(math.isfinite, values))
 
