@@ -42,7 +42,7 @@ class WordEncoder:
         self.split = regex.compile(public_tokenizers.PATTERN).findall
         self.letters = _byte_letters()
         self.word_limit = word_limit
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {" ": b""}  # stands for a text's first word, which has no space before it
         self.pieces: dict[str, list[int]] = {}
 
     def _ids(self, text: str) -> bytes:
@@ -65,22 +65,18 @@ class WordEncoder:
         words = text.split(" ")
         known = self.known
         first = words[0]
-        words[0] = " "  # stands for the first word, which has no space before it
-        try:
-            found = [known[w] for w in words]
-        except KeyError:
-            missing = [w for w in dict.fromkeys(words) if w not in known and w != " "]
+        words[0] = " "
+        get = known.get
+        found = [get(w) for w in words]
+        if None in found:
+            missing = {w for w, ids in zip(words, found, strict=True) if ids is None}
             # A word with white space at an end, or an empty one: the cut before its space is not certain.
-            if any(not w or w[0].isspace() or w[-1].isspace() for w in missing) or not first or first[-1].isspace():
+            if any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
                 return self._ids(text)
             new = {w: self._ids(" " + w) for w in missing}
             if len(known) + len(new) <= self.word_limit:
                 known.update(new)
-                known[" "] = b""
-                new = known
-            else:
-                new[" "] = b""
-            found = [known[w] if w in known else new[w] for w in words]
+            found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
         if not first or first[-1].isspace():
             return self._ids(text)
         found[0] = self._ids(first)
