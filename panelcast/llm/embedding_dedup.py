@@ -8,9 +8,15 @@ list on either side are kept. Entries below the cosine of twice the threshold's
 angle are left out of lists: no neighbour's neighbour that is linked lies
 beyond. A list that is full of links is saturated and doubles, up to a bound;
 components in which lists hit the bound get their links counted by comparing
-all their members in tiles, which is the exact way for the rest. A sample of
-vectors is compared with all others to audit the recall, and more sorted passes
-follow where it is too low.
+all their members in tiles, which is the exact way for the rest. The number of
+sorted passes grows with the number of vectors, so that a pair that nothing
+else leads to is brought together as surely in large tables.
+
+Two samples of vectors are compared with all others to audit the recall: one of
+the vectors outside the tiled components and one of those inside. Each vector
+with links counts once, whatever their number, and the lower mean holds. Where
+it is too low more sorted passes follow, and at last all vectors are compared
+with all in blocks, which is exact and quadratic in the table.
 """
 
 from __future__ import annotations
@@ -31,22 +37,29 @@ from panelcast.sources.spool import spool
 @dataclass(frozen=True)
 class Descent:
     threshold: float = 0.95
-    tables: int = 12  # sorted passes
+    tables: int = 12  # sorted passes in one go, and at least
+    missed: float = 0.002  # chance that no first pass brings a pair at the threshold together
     window: int = 8  # followers in sorted order
     bits: int = 30
     lists: int = 16  # length of a list before it is enlarged
     longest: int = 64  # length of a list at most
     rounds: int = 4
-    audited: int = 512  # vectors compared with all others
+    audited: int = 2048  # vectors compared with all others, outside of tiled components and inside
     recall: float = 0.995
-    repeats: int = 2  # more sorted passes at most
+    repeats: int = 2  # more sorted passes at most, before all vectors are compared
     block: int = 1024  # vectors on a side of a tile
+    wide: int = 32768  # vectors on a side of a tile where all are compared
     seed: int = 11
 
     @property
     def floor(self) -> float:
         return max(0.0, 2 * self.threshold**2 - 1) - 1e-9
 
+    def passes(self, n: int) -> int:
+        """Sorted passes over ``n`` vectors: a pair meets where the codes share so many bits that a window holds the rest."""
+        meets = (1 - math.acos(self.threshold) / math.pi) ** math.log2(max(2.0, n / self.window))
+        return max(self.tables, math.ceil(math.log(self.missed) / math.log1p(-meets)))
+
 
 def _matrix(column: pa.Array) -> np.ndarray:
     """Unit vectors of a binary column, as rows."""
@@ -80,8 +93,8 @@ def unit_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
     return spool(placed), classes
 
 
-def sorted_neighbours(classes: DataFrame, how: Descent, turn: int) -> DataFrame:
-    """Pairs ``a, b, cosine`` of vectors near each other in the order of random sign codes."""
+def sorted_neighbours(classes: DataFrame, how: Descent, turn: int, tables: int) -> DataFrame:
+    """Pairs ``a, b, cosine`` of vectors near each other in the order of random sign codes, of ``tables`` passes."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,7 +102,7 @@ def sorted_neighbours(classes: DataFrame, how: Descent, turn: int) -> DataFrame:
             for dims in np.unique(all_dims):
                 part = batch.filter(pa.array(all_dims == dims))
                 x = _matrix(part.column("unit"))
-                for t in range(how.tables):
+                for t in range(tables):
                     planes = np.random.default_rng([how.seed, turn, t, int(dims)]).standard_normal((int(dims), how.bits))
                     code = ((x @ planes > 0) @ (1 << np.arange(how.bits, dtype=np.int64)[::-1])).astype(np.int64)
                     place = np.full(len(x), t, dtype=np.int32)
@@ -221,9 +234,54 @@ def tile_links(members: DataFrame, classes: DataFrame, how: Descent) -> DataFram
     return made.groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def true_links(classes: DataFrame, how: Descent) -> DataFrame:
-    """``node, truth``: links of at most ``audited`` vectors, by comparison with all, in blocks."""
-    chosen = classes.select("node", "unit").orderBy(F.xxhash64("node"), "node").limit(how.audited).collect()
+def all_links(classes: DataFrame, roots: DataFrame, how: Descent) -> tuple[DataFrame, DataFrame]:
+    """(links ``a, b`` that join the components ``roots``, ``node, links`` of all vectors), every vector compared with all."""
+    sizes = classes.groupBy("dims").agg(F.ceil(F.count(F.lit(1)) / how.wide).cast("int").alias("blocks"))
+    rows = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).join(sizes, "dims")
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tiled = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiled = tiled.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
+    full = tiled.select("dims", "x", "y", (F.col("mine") != F.col("x")).alias("second"), "root", "node", "copies", "unit")
+
+    def compared(tile: pa.Table) -> pa.Table:
+        node, copies = np.asarray(tile.column("node")), np.asarray(tile.column("copies"))
+        x, second = _matrix(tile.column("unit")), np.asarray(tile.column("second"))
+        group = np.unique(np.asarray(tile.column("root")), return_inverse=True)[1]
+        one = tile.column("x")[0] == tile.column("y")[0]
+        left = np.flatnonzero(~second)
+        right = left if one else np.flatnonzero(second)
+        links, a, b = np.zeros(len(node), dtype=np.int64), [], []
+        for s in range(0, len(left), how.block):
+            for t in range(s if one else 0, len(right), how.block):
+                i, j = left[s : s + how.block], right[t : t + how.block]
+                near = x[i] @ x[j].T >= how.threshold
+                if one and s == t:
+                    np.fill_diagonal(near, False)
+                links[i] += near @ copies[j]
+                if not (one and s == t):
+                    links[j] += near.T @ copies[i]
+                at, to = np.nonzero(near & (group[i][:, None] != group[j][None, :]))
+                # Of the links between two components one is enough.
+                first = np.unique(np.column_stack([group[i[at]], group[j[to]]]), axis=0, return_index=True)[1]
+                for u, v in zip(i[at[first]], j[to[first]], strict=True):
+                    if group[u] != group[v]:
+                        a.append(node[u])
+                        b.append(node[v])
+                        group[group == group[v]] = group[u]
+        some = np.flatnonzero(links)
+        none = pa.nulls(len(some), pa.int64())
+        counted = pa.table({"a": pa.array(node[some]), "b": none, "links": pa.array(links[some])})
+        joined = pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "links": pa.nulls(len(a), pa.int64())})
+        return pa.concat_tables([counted, joined])
+
+    made = spool(full.groupBy("dims", "x", "y").applyInArrow(compared, "a long, b long, links long"))
+    counts = made.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    return made.filter("b IS NOT NULL").select("a", "b"), counts
+
+
+def true_links(classes: DataFrame, of: DataFrame, how: Descent) -> DataFrame:
+    """``node, truth``: links of at most ``audited`` vectors among ``of``, by comparison with all, in blocks."""
+    chosen = of.select("node", "unit").orderBy(F.xxhash64("node"), "node").limit(how.audited).collect()
     by_size: dict[int, tuple[list[int], list[bytes]]] = {}
     for r in chosen:
         ids, raw = by_size.setdefault(len(r["unit"]), ([], []))
@@ -235,16 +293,28 @@ def true_links(classes: DataFrame, how: Descent) -> DataFrame:
             raw, node, copies = batch.column("unit").to_pylist(), np.asarray(batch.column("node")), np.asarray(batch.column("copies"))
             for size, (ids, theirs) in by_size.items():
                 mine = [i for i, r in enumerate(raw) if len(r) == size]
-                if mine:
-                    x = np.frombuffer(b"".join([raw[i] for i in mine]), dtype="<f8").reshape(len(mine), -1)
+                for s in range(0, len(mine), how.block):
+                    part = mine[s : s + how.block]
+                    x = np.frombuffer(b"".join([raw[i] for i in part]), dtype="<f8").reshape(len(part), -1)
                     q = np.frombuffer(b"".join(theirs), dtype="<f8").reshape(len(ids), -1)
-                    near = (q @ x.T >= how.threshold) & (np.array(ids)[:, None] != node[mine][None, :])
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(near @ copies[mine], pa.int64())], ["node", "truth"])
+                    near = (q @ x.T >= how.threshold) & (np.array(ids)[:, None] != node[part][None, :])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(near @ copies[part], pa.int64())], ["node", "truth"])
 
     made = classes.select("node", "copies", "unit").mapInArrow(counted, "node long, truth long")
     return spool(made.groupBy("node").agg(F.sum("truth").alias("truth")))
 
 
+def audited_recall(classes: DataFrame, members: DataFrame, counts: DataFrame, how: Descent) -> float:
+    """The mean share of a vector's links that was found, outside of ``members`` or inside, whichever is lower."""
+    lowest = 1.0
+    for side in ("left_anti", "left_semi"):
+        truth = true_links(classes, classes.join(members, "node", side), how).filter("truth > 0")
+        share = F.least(F.coalesce("links", F.lit(0)), F.col("truth")) / F.col("truth")
+        mean = truth.join(counts, "node", "left").agg(F.avg(share)).first()[0]
+        lowest = lowest if mean is None else min(lowest, float(mean))
+    return lowest
+
+
 def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` and ``audit_recall``, the same in all rows.
 
@@ -255,8 +325,11 @@ def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
     rows; other columns are not looked at.
     """
     placed, classes = unit_classes(vectors)
-    truth = true_links(classes, how)
-    pairs = merged(sorted_neighbours(classes, how, 0).withColumn("round", F.lit(0)))
+    goes, passes = 0, how.passes(classes.count())
+    pairs = None
+    while passes > goes * how.tables:  # a go at a time, to hold few copies of the vectors at once
+        found = sorted_neighbours(classes, how, goes, min(how.tables, passes - goes * how.tables)).withColumn("round", F.lit(0))
+        pairs, goes = merged(found if pairs is None else pairs.unionByName(found)), goes + 1
     last, recall = 0, 1.0
     for turn in range(how.repeats + 1):
         for _ in range(how.rounds):
@@ -277,15 +350,16 @@ def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
         members = roots.join(full, "root", "left_semi")
         outside = listed.join(members, "node", "left_anti")
         counts = spool(outside.unionByName(tile_links(members, classes, how)))
-        seen = truth.join(counts, "node", "left").agg(
-            F.sum("truth").alias("truth"), F.sum(F.least(F.coalesce("links", F.lit(0)), F.col("truth"))).alias("found")
-        )
-        row = seen.first()
-        recall = float(row["found"] / row["truth"]) if row["truth"] else 1.0
-        if recall >= how.recall or turn == how.repeats:
+        recall = audited_recall(classes, members, counts, how)
+        if recall >= how.recall:
+            break
+        if turn == how.repeats:
+            joined, counts = all_links(classes, roots, how)
+            roots, counts, recall = components(links.unionByName(joined)), spool(counts), 1.0
             break
         last += 1
-        pairs = merged(pairs.unionByName(sorted_neighbours(classes, how, turn + 1).withColumn("round", F.lit(last))))
+        pairs = merged(pairs.unionByName(sorted_neighbours(classes, how, goes, how.tables).withColumn("round", F.lit(last))))
+        goes += 1
     named = classes.select("node", "vec_id", "copies").join(roots, "node", "left").join(counts, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))

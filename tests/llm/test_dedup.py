@@ -168,6 +168,32 @@ def test_vectors_match_brute_force(spark, how):
     assert all(r.audit_recall >= 0.995 for r in got)
 
 
+def hot_group_and_pairs():
+    """One group that holds most links, and pairs at a cosine of about 0.951 that nothing leads to."""
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    center, one, other = unit(rng.normal(size=32)), unit(rng.normal(size=(150, 32))), rng.normal(size=(150, 32))
+    other = unit(other - (other * one).sum(axis=1, keepdims=True) * one)
+    pairs = np.concatenate([one, 0.951 * one + (1 - 0.951**2) ** 0.5 * other])
+    return np.concatenate([unit(center + 0.01 * rng.normal(size=(150, 32))), pairs])
+
+
+def test_links_of_a_hot_group_do_not_hide_lost_pairs(spark):
+    """A search that cannot find the pairs is noticed, and all vectors are compared."""
+    x = hot_group_and_pairs()
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = near_vectors(df, Descent(tables=1, window=1, bits=12, missed=0.9, repeats=0, wide=128)).collect()
+    near = x @ x.T >= 0.95
+    assert {r.vec_id: r.n_links for r in got} == {i: int(near[i].sum()) - 1 for i in range(len(x))}
+    assert {r.vec_id: r.component_id for r in got if r.vec_id >= 300} == {i: i - 150 for i in range(300, 450)}
+    assert {r.audit_recall for r in got} == {1.0}
+
+
+def test_sorted_passes_grow_with_the_table():
+    assert Descent().passes(0) == Descent().tables
+    assert Descent().passes(20_000) > 12 and Descent().passes(1_000_000) > 1.5 * Descent().passes(20_000)
+
+
 def test_empty_tables_give_no_rows(spark):
     docs = make_docs(spark, [(1, "a")]).limit(0)
     for frame in (exact_duplicates(docs), without_exact_duplicates(docs), near_duplicates(docs), without_near_duplicates(docs)):
