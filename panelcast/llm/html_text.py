@@ -7,8 +7,12 @@ characters per block, its punctuation ratio the marks of a sentence per block.
 Both ratios are laid over the blocks in page order, smoothed with a Gaussian,
 multiplied, and paths above a threshold, a share of the spread of the page's
 values, hold the content. Elements that never hold an article (scripts, forms,
-navigation and the like, by tag, role or the words of class and id) are left
-out before.
+navigation and the like, by tag or role, and what is hidden) are left out
+before. The words of class and id are a hint only: an element named like an
+advert or a sidebar is left out if it holds a small share of the page's
+unlinked text; in a larger one, which may be the layout around the article,
+ratios are lowered. Ids of headings and sections are their
+titles and name nothing.
 """
 
 from __future__ import annotations
@@ -44,7 +48,8 @@ SIBLINGS = {
     "th": ({"td", "th"}, {"tr"}),
     "option": ({"option"}, {"select"}),
 }
-# Words of class, id and role that name what is not the article.
+ROLES_APART = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
+# Words of class and id that name what is not the article.
 NAMED_APART = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus "
     "footer footnav header masthead login menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo "
@@ -53,7 +58,7 @@ NAMED_APART = frozenset(
 )
 ARTICLE_TAGS = frozenset("article main".split())
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>/\"']+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]*)))?|\"[^\"]*(?:\"|$)|'[^']*(?:'|$)")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _MARKS = re.compile(r"[.,;:!?、。，！？]")
 _SPACE = re.compile(r"[ \t\n\r\f\v ]+")
@@ -64,28 +69,61 @@ class Block:
     text: str
     path: tuple[str, ...]
     linked: int  # characters inside links
+    named: tuple[int, ...] = ()  # open elements whose names say that they are not the article
 
+    @property
+    def way(self) -> tuple:
+        """The path, apart from the same path in an element named otherwise."""
+        return (bool(self.named), *self.path) if self.named else self.path
 
-def _apart(tag: str, attributes: str) -> bool:
-    """Whether the element holds none of the article by its tag, role, class or id."""
-    if tag in APART:
+    @property
+    def unlinked(self) -> int:
+        return max(0, len(self.text) - self.linked)
+
+
+# Shares of a page's unlinked text above which an element is not left out for its name: named in part, named wholly.
+SMALL = (0.25, 0.5)
+LOWERED = 0.25  # of the fused ratio inside a larger element with such a name
+SLUGS = frozenset("section article main".split()) | HEADINGS
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by name in small letters, the first of each."""
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        if m[1]:
+            found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return found
+
+
+def _apart(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether the element holds none of the article by its tag or role, or is hidden."""
+    if tag in APART or "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
         return True
-    for m in _ATTRIBUTE.finditer(attributes) if attributes.strip() else ():
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-        elif tag not in ("html", "body", "article", "main") and any(p.lower() in NAMED_APART for p in _NAME_PARTS.findall(value)):
-            return True
-    return False
+    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
+        return True
+    return tag not in ARTICLE_TAGS and any(role in ROLES_APART for role in attributes.get("role", "").lower().split())
+
+
+def _named(tag: str, attributes: dict[str, str]) -> int:
+    """2 if class or id has a name made of listed words alone, 1 if a listed word is part of a name, else 0."""
+    if tag in ("html", "body", *ARTICLE_TAGS):
+        return 0
+    names = attributes.get("class", "").split()
+    if tag not in SLUGS and tag not in INLINE:
+        names += attributes.get("id", "").split()
+    level = 0
+    for name in names:
+        parts = [p.lower() in NAMED_APART for p in _NAME_PARTS.findall(name)]
+        level = max(level, 2 if parts and all(parts) else int(any(parts)))
+    return level
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order, outside of what is set apart."""
     found: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # block elements that are open, and whether each is apart
+    stack: list[tuple[str, bool, int]] = []  # block elements that are open, whether each is apart, its number if named so
+    levels: list[int] = [0]  # of named elements by number
     pieces: list[str] = []
     linked, in_link, apart = 0, False, 0
 
@@ -94,7 +132,7 @@ def blocks_of(page: str) -> list[Block]:
         if pieces:
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             if text and not apart:
-                found.append(Block(text, tuple(t for t, _ in stack), linked))
+                found.append(Block(text, tuple(t for t, _, _ in stack), linked, tuple(n for _, _, n in stack if n)))
             pieces.clear()
         linked = 0
 
@@ -125,7 +163,9 @@ def blocks_of(page: str) -> list[Block]:
         if tag in INLINE:
             if tag == "a":
                 in_link = not closing
-            if not closing and _apart(tag, attributes) and not attributes.endswith("/"):
+            held = {} if closing or not attributes.strip() else _attributes(attributes)
+            if held and (_apart(tag, held) or _named(tag, held) == 2) and not attributes.endswith("/"):
+                in_link = False if tag == "a" else in_link
                 end = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(page, at)
                 at = end.end() if end else at
             continue
@@ -145,8 +185,8 @@ def blocks_of(page: str) -> list[Block]:
                 flush()
             continue
         flush()
-        if tag in CLOSES_P and any(t == "p" for t, _ in stack[-3:]):
-            depth = max(i for i, (t, _) in enumerate(stack) if t == "p")
+        if tag in CLOSES_P and any(t == "p" for t, _, _ in stack[-3:]):
+            depth = max(i for i, (t, _, _) in enumerate(stack) if t == "p")
             close_to(depth)
         if tag in SIBLINGS:
             ends, within = SIBLINGS[tag]
@@ -159,13 +199,33 @@ def blocks_of(page: str) -> list[Block]:
         if stack and stack[-1][0] in HEADINGS and tag in HEADINGS:
             close_to(len(stack) - 1)
         if not attributes.endswith("/"):
-            out = tag != "body" and tag != "html" and _apart(tag, attributes)
-            if tag == "header" and any(t in ARTICLE_TAGS for t, _ in stack):
+            held = _attributes(attributes) if attributes.strip() else {}
+            out = tag != "body" and tag != "html" and _apart(tag, held)
+            if tag == "header" and any(t in ARTICLE_TAGS for t, _, _ in stack):
                 out = False  # an article's own heading
-            stack.append((tag, out))
+            level = _named(tag, held) if held else 0
+            if level:
+                levels.append(level)
+            stack.append((tag, out, len(levels) - 1 if level else 0))
             apart += out
     flush()
-    return found
+    return without_small_named(found, levels)
+
+
+def without_small_named(blocks: list[Block], levels: list[int]) -> list[Block]:
+    """``blocks`` outside of elements that are named apart and hold little of the text; larger ones may surround the article."""
+    inside = [0] * len(levels)
+    for b in blocks:
+        for n in b.named:
+            inside[n] += b.unlinked
+    total = sum(b.unlinked for b in blocks)
+    small = [n > 0 and inside[n] <= SMALL[levels[n] - 1] * total for n in range(len(levels))]
+    articles = [b for b in blocks if not ARTICLE_TAGS.isdisjoint(b.path)]
+    around = {n for b in articles for n in b.named}
+    for n in range(1, len(levels)):  # beside an article a whole name says enough
+        small[n] |= bool(articles) and levels[n] == 2 and n not in around
+    rest = [b for b in blocks if not any(small[n] for n in b.named)]
+    return rest
 
 
 def smoothed(values: np.ndarray, radius: int = 2) -> np.ndarray:
@@ -176,20 +236,21 @@ def smoothed(values: np.ndarray, radius: int = 2) -> np.ndarray:
     return np.convolve(values, kernel, mode="full")[radius : radius + len(values)] / weight
 
 
-def content_paths(blocks: list[Block], share: float = 0.5) -> set[tuple[str, ...]]:
+def content_paths(blocks: list[Block], share: float = 0.5) -> set[tuple]:
     """The paths whose fused ratio reaches ``share`` of the spread of all blocks' values."""
-    paths: dict[tuple[str, ...], list[float]] = {}
+    paths: dict[tuple, list[float]] = {}
     for b in blocks:
-        total = paths.setdefault(b.path, [0, 0.0, 0.0])
+        total = paths.setdefault(b.way, [0, 0.0, 0.0])
         total[0] += 1
         total[1] += len(b.text) - min(b.linked, len(b.text))
         total[2] += len(_MARKS.findall(b.text)) * (1 - min(1.0, b.linked / len(b.text)))
-    text = np.array([paths[b.path][1] / paths[b.path][0] for b in blocks])
-    marks = np.array([paths[b.path][2] / paths[b.path][0] for b in blocks])
+    text = np.array([paths[b.way][1] / paths[b.way][0] for b in blocks])
+    marks = np.array([paths[b.way][2] / paths[b.way][0] for b in blocks])
     fused = smoothed(text) * (smoothed(marks) + 0.1) * np.sqrt(text * (marks + 0.1))
-    level: dict[tuple[str, ...], list[float]] = {}
+    fused = fused * np.array([LOWERED if b.named else 1.0 for b in blocks])
+    level: dict[tuple, list[float]] = {}
     for b, v in zip(blocks, fused, strict=True):
-        level.setdefault(b.path, []).append(v)
+        level.setdefault(b.way, []).append(v)
     threshold = share * min(float(np.std(fused)), float(np.mean(fused))) if len(level) > 1 else 0.0
     return {path for path, v in level.items() if np.mean(v) >= threshold and np.mean(v) > 0}
 
@@ -204,11 +265,11 @@ def main_text(page: str) -> str:
         return ""
     chosen = content_paths(blocks)
     # What stands beside content belongs to it: headings, and in a marked article also lists, quotations and tables.
-    homes = {path[:-1] for path in chosen}
+    homes = {b.path[:-1] for b in blocks if b.way in chosen}
     marked = blocks is own
 
     def kept(b: Block) -> bool:
-        if b.path in chosen:
+        if b.way in chosen:
             return True
         if b.linked * 2 > len(b.text):
             return False

@@ -23,6 +23,32 @@ def test_content_paths_are_found_without_an_article_element():
     assert {p[-1] for p in content_paths(blocks)} == {"p"}
 
 
+LONG = "A paragraph of the story, with words that go on for a while; it ends here, at last."
+
+
+def test_listed_words_in_values_and_slugs_drop_nothing():
+    for start in ('<p title="the hidden cost">', '<p data-x="id=ad">', "<p data-class='ad'>", '<p class="lead" aria-label="role=search">'):
+        assert main_text(f"<article><p>{LONG}</p>{start}{LONG} Again.</p></article>") == f"{LONG}\n\n{LONG} Again."
+    link = '<a href="/the-hidden-valley">the valley</a>, <a href="/view?id=ad-7">the view</a>, <a id="search" href=x>found</a>'
+    assert "the valley, the view, found" in main_text(f"<article><p>{LONG} {link}</p></article>")
+    for start, end in (('<section id="related-work">', "</section>"), ('<h2 id="search-trees">Trees</h2>', ""), ('<h2 id="notice">Trees</h2>', "")):
+        got = main_text(f"<article><p>{LONG}</p>{start}<p>{LONG} More.</p>{end}<p>{LONG} End.</p><p>{LONG}</p></article>")
+        assert got.count("A paragraph") == 4 and ("Trees" in start) == ("Trees" in got)
+
+
+def test_a_named_layout_around_the_article_keeps_it():
+    story = f"<h1>The story</h1><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p>"
+    for name in ('class="layout with-sidebar"', 'id="post-with-comments"', 'class="ad"'):
+        for inner in (story, f"<article>{story}</article>"):
+            got = main_text(f'<body><div {name}>{inner}<div class="sidebar"><p>Short, and apart.</p></div></div></body>')
+            assert got.startswith("The story") and got.count(LONG) == 3 and "apart" not in got
+
+
+def test_what_is_hidden_is_left_out():
+    for start in ("<p hidden>", "<p HIDDEN=''>", '<p aria-hidden="true">', "<p style='display: none'>", '<div role="search">'):
+        assert "unseen" not in main_text(f"<article><p>{LONG}</p>{start}unseen</article>")
+
+
 def test_truncated_and_odd_pages():
     assert main_text("") == "" and main_text("<p") == "" and main_text("<div>a < b and c &am") == "a < b and c &am"
     assert main_text("no tags, only text.") == "no tags, only text."
