@@ -5,7 +5,7 @@ from the root to it. Blocks on one path are likely to be of one kind, so text
 length and punctuation are summed up per path: the text ratio of a path is its
 characters per block, its punctuation ratio the marks of a sentence per block.
 Both ratios are laid over the blocks in page order, smoothed with a Gaussian,
-multiplied, and paths above a threshold, a share of the spread of the page's
+multiplied, more under article or main, and paths above a threshold, a share of the spread of the page's
 values, hold the content. Elements that never hold an article (scripts, forms,
 navigation and the like, by tag or role, and what is hidden) are left out
 before. The words of class and id are a hint only: an element named like an
@@ -35,6 +35,7 @@ INLINE = frozenset(
     "sub sup time tt u var".split()
 )
 APART = frozenset("nav header footer aside form button select menu dialog fieldset head".split())
+PROSE = frozenset("ul ol dl blockquote pre table figure".split())  # what stands among paragraphs
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()
@@ -76,6 +77,10 @@ class Block:
         """The path, apart from the same path in an element named otherwise."""
         return (bool(self.named), *self.path) if self.named else self.path
 
+    @property
+    def marked(self) -> bool:
+        return not ARTICLE_TAGS.isdisjoint(self.path)
+
     @property
     def unlinked(self) -> int:
         return max(0, len(self.text) - self.linked)
@@ -84,6 +89,7 @@ class Block:
 # Shares of a page's unlinked text above which an element is not left out for its name: named in part, named wholly.
 SMALL = (0.25, 0.5)
 LOWERED = 0.25  # of the fused ratio inside a larger element with such a name
+MARKED = 10.0  # times the fused ratio under article or main
 SLUGS = frozenset("section article main".split()) | HEADINGS
 
 
@@ -220,7 +226,7 @@ def without_small_named(blocks: list[Block], levels: list[int]) -> list[Block]:
             inside[n] += b.unlinked
     total = sum(b.unlinked for b in blocks)
     small = [n > 0 and inside[n] <= SMALL[levels[n] - 1] * total for n in range(len(levels))]
-    articles = [b for b in blocks if not ARTICLE_TAGS.isdisjoint(b.path)]
+    articles = [b for b in blocks if b.marked]
     around = {n for b in articles for n in b.named}
     for n in range(1, len(levels)):  # beside an article a whole name says enough
         small[n] |= bool(articles) and levels[n] == 2 and n not in around
@@ -247,7 +253,7 @@ def content_paths(blocks: list[Block], share: float = 0.5) -> set[tuple]:
     text = np.array([paths[b.way][1] / paths[b.way][0] for b in blocks])
     marks = np.array([paths[b.way][2] / paths[b.way][0] for b in blocks])
     fused = smoothed(text) * (smoothed(marks) + 0.1) * np.sqrt(text * (marks + 0.1))
-    fused = fused * np.array([LOWERED if b.named else 1.0 for b in blocks])
+    fused = fused * np.array([(LOWERED if b.named else 1.0) * (MARKED if b.marked else 1.0) for b in blocks])
     level: dict[tuple, list[float]] = {}
     for b, v in zip(blocks, fused, strict=True):
         level.setdefault(b.way, []).append(v)
@@ -258,15 +264,11 @@ def content_paths(blocks: list[Block], share: float = 0.5) -> set[tuple]:
 def main_text(page: str) -> str:
     """The article of a page, blocks joined by an empty line."""
     blocks = blocks_of(page)
-    own = [b for b in blocks if any(t in ARTICLE_TAGS for t in b.path)]
-    if sum(len(b.text) for b in own) * 4 >= sum(len(b.text) for b in blocks):
-        blocks = own  # a marked article
     if not blocks:
         return ""
     chosen = content_paths(blocks)
-    # What stands beside content belongs to it: headings, and in a marked article also lists, quotations and tables.
+    # What stands beside content belongs to it: headings, and lists, quotations and tables.
     homes = {b.path[:-1] for b in blocks if b.way in chosen}
-    marked = blocks is own
 
     def kept(b: Block) -> bool:
         if b.way in chosen:
@@ -275,7 +277,9 @@ def main_text(page: str) -> str:
             return False
         if b.path and b.path[-1] in HEADINGS:
             return any(b.path[:-1][: len(home)] == home or home[: len(b.path) - 1] == b.path[:-1] for home in homes)
-        return marked or any(home and b.path[: len(home)] == home and home[-1] not in ("body", "html") for home in homes)
+        return any(
+            home and home[-1] not in ("body", "html") and b.path[: len(home)] == home and not PROSE.isdisjoint(b.path[len(home) :]) for home in homes
+        )
 
     return "\n\n".join(b.text for b in blocks if kept(b))
 

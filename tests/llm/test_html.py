@@ -49,6 +49,20 @@ def test_what_is_hidden_is_left_out():
         assert "unseen" not in main_text(f"<article><p>{LONG}</p>{start}unseen</article>")
 
 
+def test_ratios_decide_inside_a_marked_article_too():
+    story = f"<h1>The story</h1><p>{LONG}</p><p>{LONG}</p>"
+    for open_, close in (("<article>", "</article>"), ("<main>", "</main>"), ("<div>", "</div>")):
+        got = main_text(f"<body>{open_}{story}<div>Buy now</div><p>{LONG}</p><div>Reader, 3 May</div>{close}</body>")
+        assert got.count(LONG) == 3 and "Buy" not in got and "Reader" not in got
+    assert main_text(f"<article>{story}<ul><li>a point</li></ul><blockquote>Said so</blockquote><p>{LONG}</p></article>").count("\n\n") == 5
+
+
+def test_teasers_in_articles_do_not_hide_an_unmarked_story():
+    teasers = "".join(f'<article><h3>Other {i}</h3><span>Some words on it, <a href="/{i}">more</a></span></article>' for i in range(6))
+    got = main_text(f"<body><div><div><h1>The story</h1>{f'<p>{LONG}</p>' * 4}</div></div><div>{teasers}</div></body>")
+    assert got.startswith("The story") and got.count(LONG) == 4
+
+
 def test_truncated_and_odd_pages():
     assert main_text("") == "" and main_text("<p") == "" and main_text("<div>a < b and c &am") == "a < b and c &am"
     assert main_text("no tags, only text.") == "no tags, only text."
