@@ -29,8 +29,9 @@ from panelcast.llm.textkernels import mix64, shingle_set, word_hashes
 from panelcast.sources.spool import spool
 
 WIDTH = 5  # words in a shingle
-PERCENT = 85  # of the union that a link's intersection holds at least
+PERCENT = 85  # of the union that a link's intersection holds at least, unless the caller says otherwise
 BANDS, ROWS = 36, 8  # at a similarity of 0.85 a pair shares no band with a chance of 1e-5
+LEAST_MISS = 2e-5  # chance at most that a pair at the threshold shares no band, where rows are chosen for it
 SAMPLES = BANDS * ROWS
 SKETCH_BITS = 1024
 BLOCK = 512  # classes on a side of a tile
@@ -38,7 +39,7 @@ BLOCK = 512  # classes on a side of a tile
 _rng = np.random.default_rng(871)
 _FACTORS = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
 _MASKS = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
-_BAND_SALTS = mix64(np.arange(1, BANDS + 1, dtype=np.uint64))
+_BAND_SALTS = mix64(np.arange(1, SAMPLES + 1, dtype=np.uint64))
 _SAMPLE_SALTS = mix64(np.arange(1001, 1001 + SAMPLES, dtype=np.uint64))
 
 SIGNATURES = "doc_id long, text_key binary, set_key binary, n int, bands array<long>, sketch array<long>"
@@ -47,6 +48,14 @@ SIGNATURES = "doc_id long, text_key binary, set_key binary, n int, bands array<l
 FIELDS = [f.split()[0] for f in SIGNATURES.split(", ")]
 
 
+def rows_of_band(percent: int) -> int:
+    """Samples in a band: as many as leave a pair at the threshold a chance of ``LEAST_MISS`` to share no band."""
+    for rows in range(ROWS, 1, -1):
+        if (1 - (percent / 100) ** rows) ** (SAMPLES // rows) <= LEAST_MISS:
+            return rows
+    return 1
+
+
 def differing_bits_limit(percent: int = PERCENT, deviations: float = 4.5) -> int:
     """Bits in which the sketches of a pair at the threshold differ at most, but for chance beyond ``deviations``.
 
@@ -68,11 +77,12 @@ def min_samples(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(samples: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band."""
-    parts = samples.reshape(len(samples), BANDS, ROWS).astype(np.uint64)
-    key = np.broadcast_to(_BAND_SALTS, (len(samples), BANDS)).copy()
-    for r in range(ROWS):
+def band_keys(samples: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key per band of ``rows`` samples."""
+    bands = SAMPLES // rows
+    parts = samples[:, : bands * rows].reshape(len(samples), bands, rows).astype(np.uint64)
+    key = np.broadcast_to(_BAND_SALTS[:bands], (len(samples), bands)).copy()
+    for r in range(rows):
         key = mix64(key * np.uint64(31) + parts[:, :, r])
     return key.view(np.int64)
 
@@ -90,24 +100,25 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def _signature_batch(ids: list, texts: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+def _signature_batch(ids: list, texts: list, sets: list[np.ndarray], rows: int) -> pa.RecordBatch:
     flat = np.concatenate(sets)
     starts = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
     samples = min_samples(flat, starts)
-    bands, sketches = band_keys(samples), odd_sketches(samples)
+    bands, sketches = band_keys(samples, rows), odd_sketches(samples)
     columns = [
         pa.array(ids, pa.int64()),
         pa.array(texts, pa.binary()),
         pa.array([set_key(s) for s in sets], pa.binary()),
         pa.array([len(s) for s in sets], pa.int32()),
-        pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel(), pa.int64()), BANDS).cast(pa.list_(pa.int64())),
+        pa.FixedSizeListArray.from_arrays(pa.array(bands.ravel(), pa.int64()), bands.shape[1]).cast(pa.list_(pa.int64())),
         pa.FixedSizeListArray.from_arrays(pa.array(sketches.ravel(), pa.int64()), sketches.shape[1]).cast(pa.list_(pa.int64())),
     ]
     return pa.RecordBatch.from_arrays(columns, FIELDS)
 
 
-def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def signatures(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``SIGNATURES`` for every document; ``n`` is 0 and the rest null where a text has no words."""
+    in_band = rows_of_band(percent)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,7 +127,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             rows, sets, waiting, got = [], [], 0, set()
 
             def made(rows, sets, all_ids=all_ids, all_texts=all_texts):
-                return _signature_batch([all_ids[r] for r in rows], [all_texts[r] for r in rows], sets)
+                return _signature_batch([all_ids[r] for r in rows], [all_texts[r] for r in rows], sets, in_band)
 
             for row, words in word_hashes(batch.column("text")):
                 if not len(words):
@@ -170,18 +181,18 @@ def _bits_apart(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, v: s + v)
 
 
-def _sizes_allow(a: Column, b: Column) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _sizes_allow(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the threshold."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     both = pairs.join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - shared
-    return both.filter(shared * 100 >= union * PERCENT).select("a", "b")
+    return both.filter(shared * 100 >= union * percent).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -211,8 +222,9 @@ def components(links: DataFrame) -> DataFrame:
     return spool(edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots))
 
 
-def _tile_links(limit: int):
+def _tile_links(percent: int):
     """For one tile: links between classes of different components, confirmed on their full sets."""
+    limit = differing_bits_limit(percent)
 
     def links(tile: pa.Table) -> pa.Table:
         side = np.asarray(tile.column("side"))
@@ -231,13 +243,13 @@ def _tile_links(limit: int):
             """Those of ``mine`` of whose shingles enough occur in ``least`` sets of ``theirs``, itself included."""
             known, times = np.unique(np.concatenate([sets[j] for j in theirs]), return_counts=True)
             known = known[times >= least]
-            return np.array([i for i in mine if np.isin(sets[i], known).sum() * 100 >= n[i] * PERCENT], dtype=np.int64)
+            return np.array([i for i in mine if np.isin(sets[i], known).sum() * 100 >= n[i] * percent], dtype=np.int64)
 
         first, second = able(first, second, 1 + one), able(second, first, 1 + one)
         a, b = [], []
         for at, i in enumerate(first):
             other = second[at + 1 :] if one else second
-            ok = (group[other] != group[i]) & (np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * PERCENT)
+            ok = (group[other] != group[i]) & (np.minimum(n[other], n[i]) * 100 >= np.maximum(n[other], n[i]) * percent)
             other = other[ok]
             if not len(other):
                 continue
@@ -248,7 +260,7 @@ def _tile_links(limit: int):
                 continue
             found = np.isin(np.concatenate([sets[j] for j in other]), sets[i])
             shared = np.add.reduceat(found, np.concatenate([[0], np.cumsum(n[other])[:-1]]), dtype=np.int64)
-            for j in other[shared * 100 >= (n[other] + n[i] - shared) * PERCENT]:
+            for j in other[shared * 100 >= (n[other] + n[i] - shared) * percent]:
                 if group[j] != group[i]:
                     a.append(min(node[i], node[j]))
                     b.append(max(node[i], node[j]))
@@ -258,7 +270,7 @@ def _tile_links(limit: int):
     return links
 
 
-def apart_links(members: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, block: int = BLOCK) -> DataFrame:
+def apart_links(members: DataFrame, classes: DataFrame, sets: DataFrame, roots: DataFrame, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
     """Links ``a, b`` between components whose classes share a band key, as many as connect what is connected.
 
     Pairs are compared where they meet and are not given out unless they link.
@@ -272,20 +284,22 @@ def apart_links(members: DataFrame, classes: DataFrame, sets: DataFrame, roots:
     tiled = tiled.withColumns({"x": F.least("mine", "other"), "y": F.greatest("mine", "other")})
     tiled = tiled.withColumn("side", (F.col("mine") != F.col("x")).cast("int"))
     full = tiled.join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
-    made = full.groupBy("key", "x", "y").applyInArrow(_tile_links(differing_bits_limit()), "a binary, b binary")
+    made = full.groupBy("key", "x", "y").applyInArrow(_tile_links(percent), "a binary, b binary")
     return made.distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every document, ``text_key`` and ``group_key``.
 
+    Texts are linked if their shingle sets share at least ``percent`` of their union.
+
     Defined results: a null text or one without words has 0 shingles, is linked
     with nothing and is its own component; fewer words than ``width`` are one
     shingle; repeated rows are linked; null ids never name a component unless
     nothing else is in it, and such rows count as kept; an empty table gives no
     rows; other columns are not looked at.
     """
-    signed = spool(signatures(docs, width))
+    signed = spool(signatures(docs, width, percent))
     some = signed.filter("n > 0")
     classes = some.groupBy(F.col("set_key").alias("node")).agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
@@ -300,11 +314,11 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) ->
     star = members.filter("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     of_a = slim.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     of_b = slim.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
-    star = star.join(of_a, "a").join(of_b, "b").filter(_sizes_allow(F.col("n_a"), F.col("n_b")))
-    star = star.filter(_bits_apart(F.col("s_a"), F.col("s_b")) <= differing_bits_limit()).select("a", "b")
-    links = spool(confirmed(star, sets))
+    star = star.join(of_a, "a").join(of_b, "b").filter(_sizes_allow(F.col("n_a"), F.col("n_b"), percent))
+    star = star.filter(_bits_apart(F.col("s_a"), F.col("s_b")) <= differing_bits_limit(percent)).select("a", "b")
+    links = spool(confirmed(star, sets, percent))
     roots = components(links)
-    more = spool(apart_links(members, classes, sets, roots, block))
+    more = spool(apart_links(members, classes, sets, roots, block, percent))
     if not more.isEmpty():
         roots = components(links.unionByName(more))
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -322,9 +336,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) ->
     )
 
 
-def without_near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, width: int = WIDTH, block: int = BLOCK, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of linked texts, all columns unchanged; texts without words stay."""
-    kept = spool(near_duplicates(docs, width, block).filter("kept"))
+    kept = spool(near_duplicates(docs, width, block, percent).filter("kept"))
     alone = kept.filter("group_key IS NULL").select("doc_id", "text_key")
     grouped = kept.filter("group_key IS NOT NULL")
     one = grouped.groupBy("group_key").agg(F.min(F.struct("doc_id", "text_key")).alias("r"))

@@ -123,6 +123,28 @@ def test_near_filter_keeps_one_row_per_group(spark, words, awkward):
     assert sum(not s for s in sets) == sum(not shingles(t) for _, t in texts)
 
 
+def test_threshold_of_the_pipeline_links_what_85_percent_leaves(spark, words):
+    """Pairs between 80 and 85 percent alike go from the corpus; op5's contract leaves them apart."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(12)
+    texts = []
+    while len(texts) < 60:
+        base = list(rng.choice(words, 400))
+        other = list(base)
+        for at in rng.choice(400, 8, replace=False):
+            other[at] = words[rng.integers(len(words))]
+        a, b = shingles(" ".join(base)), shingles(" ".join(other))
+        if 0.80 <= len(a & b) / len(a | b) < 0.85:
+            texts += [(len(texts), " ".join(base)), (len(texts) + 1, " ".join(other))]
+    docs = make_docs(spark, texts)
+    assert corpus_pipeline.near_dedup(spark, docs, "").count() == 30
+    assert without_near_duplicates(docs).count() == 60
+    assert near_dedup.rows_of_band(85) == near_dedup.ROWS
+    rows = near_dedup.rows_of_band(80)
+    assert (1 - 0.8**rows) ** (near_dedup.SAMPLES // rows) < 2e-5
+
+
 def test_sketch_limit_never_falls_below_the_threshold():
     """Pairs at the threshold differ in fewer sketch bits than the limit."""
     rng = np.random.default_rng(5)
