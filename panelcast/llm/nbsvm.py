@@ -114,12 +114,14 @@ def fit(
     unit: bool = True,
     least_z: float = 0.0,
     epochs: int = 20,
+    unsure: np.ndarray | None = None,
 ) -> LinearModel:
     """The hinge model on four fifths of the rows, its sigmoid on the others.
 
     ``trust`` in 0..1 scales how far a row may pull; ``truth`` are the labels of
     the sigmoid where they differ from ``label``. Rarer labels weigh more, so
-    that both classes weigh the same.
+    that both classes weigh the same. ``unsure`` marks rows whose label nobody
+    gave: they train the hinge model and are kept from the sigmoid.
     """
     truth = label if truth is None else truth
     ones = int(np.sum(label == 1))
@@ -128,7 +130,7 @@ def fit(
     order = np.random.default_rng(3).permutation(len(rows))
     later = np.zeros(len(rows), dtype=bool)
     for y in (0, 1):
-        mine = order[label[order] == y]
+        mine = order[(label[order] == y) & (True if unsure is None else ~unsure[order])]
         later[mine[::5]] = True
     fitted = np.flatnonzero(~later)
     ratio = log_count_ratios([rows[i] for i in fitted], label[fitted], dims, least_z)

@@ -5,8 +5,9 @@ rows, and a few patterns. A generative model of the votes of all documents
 estimates by expectation maximisation how often each voter speaks up in toxic
 and in clean texts and, along a tree of the strongest dependencies, how voters
 follow each other, so that voters that repeat one another count once. Its
-posterior labels train a linear classifier over all mined terms, which scores
-every text in one pass. Labels serve to mine the terms and to fit the final
+posterior labels, of the labelled rows and of a bounded sample of documents
+without label, train a linear classifier over all mined terms, the words of
+abuse and the patterns, which scores every text in one pass. Labels serve to mine the terms and to fit the final
 sigmoid.
 
 Defined results: a null or empty text has no terms and gets the score of the
@@ -32,7 +33,10 @@ from panelcast.sources.spool import spool
 
 SAMPLE = 8000  # labelled rows that terms and classifier are fitted on at most
 FLAG = 0.7
-TERMS = 2000  # mined terms at most
+UNLABELLED = 8000  # documents without label that the classifier is fitted on, about
+TERMS = 20_000  # mined terms at most
+PURE = 9  # times as many toxic as clean rows with a mined term
+LEAST = 3  # toxic rows that a mined term occurs in at least, whatever the sample
 VOTERS = 40
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word's beginning
 _WORD = np.uint64(0xA5A5A5A55A5A5A5A)  # tells a whole word from a beginning
@@ -110,7 +114,7 @@ def _with_repeats(held: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([terms, terms[n > 1] | np.uint64(1)])
 
 
-def mined_terms(sample: DataFrame, limit: int = TERMS) -> tuple[np.ndarray, tuple[int, int]]:
+def mined_terms(sample: DataFrame, limit: int | None = None) -> tuple[np.ndarray, tuple[int, int]]:
     """Hashes of the terms that stand for label 1, at most ``limit``, and how many rows have label 0 and 1."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,9 +146,8 @@ def mined_terms(sample: DataFrame, limit: int = TERMS) -> tuple[np.ndarray, tupl
     rate = (F.col("ones") + 0.5) / F.lit(toxic + 1.0)
     other = (F.col("zeros") + 0.5) / F.lit(clean + 1.0)
     z = F.log(rate / other) / F.sqrt(1 / (F.col("ones") + 0.5) + 1 / (F.col("zeros") + 0.5))
-    least = max(3, toxic // 100)
-    strong = per.withColumn("z", z).filter((F.col("ones") >= least) & (F.col("z") >= 2.5) & (F.col("ones") >= 9 * F.col("zeros")))
-    found = strong.orderBy(F.desc("z"), "term").limit(limit).select("term").collect()
+    strong = per.withColumn("z", z).filter((F.col("ones") >= LEAST) & (F.col("z") >= 2.5) & (F.col("ones") >= PURE * F.col("zeros")))
+    found = strong.orderBy(F.desc("z"), "term").limit(limit or TERMS).select("term").collect()
     return np.array([r["term"] for r in found], dtype=np.int64).view(np.uint64), (clean, toxic)
 
 
@@ -321,28 +324,43 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, size: int = SAMPLE):
     if toxic < 3 or clean < 3 or not len(mined):
         model = nbsvm.constant_model((toxic + 1) / (clean + toxic + 2), 1)
         return lambda column: [model.score(np.zeros(0, dtype=np.int64))] * len(column)
-    terms, abuse = Lookup(mined), Lookup(_hash_words(list(ABUSE)))
+    mined, abuse = np.unique(mined), np.unique(_hash_words(list(ABUSE)))
+    terms = Lookup(np.concatenate([mined, abuse]))
+    both = np.union1d(mined, abuse)
+    place = np.full(terms.size, -1, dtype=np.int64)
+    place[np.searchsorted(both, mined)] = np.arange(len(mined))
+    abusive = np.isin(both, abuse)
+
+    def read(text: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+        """The mined terms of each text, and the votes of lexicon and patterns as bits."""
+        found = terms.rows(text)
+        votes = np.column_stack([[bool(abusive[r].any()) for r in found], pattern_votes(text)]) if len(text) else np.zeros((0, 4))
+        return [place[r][place[r] >= 0] for r in found], votes.astype(np.int64) @ (1 << np.arange(4))
+
+    def features(row: np.ndarray, extra: int) -> np.ndarray:
+        return np.concatenate([row, [len(mined) + k for k in range(4) if extra >> k & 1]]).astype(np.int64)
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("text")
-            rows = [r.astype("<i4").tobytes() for r in terms.rows(text)]
-            extra = np.column_stack([[len(r) > 0 for r in abuse.rows(text)], pattern_votes(text)])
-            bits = extra.astype(np.int64) @ (1 << np.arange(4))
-            columns = [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary()), pa.array(bits, pa.int64())]
+            found, extra = read(batch.column("text"))
+            packed = pa.array([r.astype("<i4").tobytes() for r in found], pa.binary())
+            columns = [batch.column("doc_id"), batch.column("label"), packed, pa.array(extra, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "label", "row", "extra"])
 
-    got = sample.select("doc_id", "label", "text").mapInArrow(matched, "doc_id long, label int, row binary, extra long").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["row"]))
-    rows = [np.frombuffer(r["row"], dtype="<i4").astype(np.int64) for r in got]
-    truth = np.array([r["label"] for r in got])
+    def brought(df: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        got = df.select("doc_id", "label", "text").mapInArrow(matched, "doc_id long, label int, row binary, extra long").collect()
+        got.sort(key=lambda r: (r["doc_id"], r["row"]))
+        found = [np.frombuffer(r["row"], dtype="<i4").astype(np.int64) for r in got]
+        return found, np.array([r["extra"] for r in got], dtype=np.int64), np.array([-1 if r["label"] is None else r["label"] for r in got], dtype=np.int64)
+
+    rows, extra, truth = brought(sample)
     voters = chosen_voters(rows, truth, len(mined), VOTERS)
     lexicon, count = len(voters), len(voters) + 4
     number = np.full(len(mined), -1, dtype=np.int64)
     number[voters] = np.arange(lexicon)
 
     def pattern(row: np.ndarray, extra: int) -> int:
-        bits = extra << lexicon
+        bits = int(extra) << lexicon
         for v in number[row]:
             if v >= 0:
                 bits |= 1 << int(v)
@@ -350,19 +368,28 @@ def toxicity_scorer(docs: DataFrame, labels: DataFrame, size: int = SAMPLE):
 
     def voted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = batch.column("text")
-            extra = np.column_stack([[len(r) > 0 for r in abuse.rows(text)], pattern_votes(text)]).astype(np.int64) @ (1 << np.arange(4))
-            bits = [pattern(r, int(e)) for r, e in zip(terms.rows(text), extra, strict=True)]
+            bits = [pattern(r, e) for r, e in zip(*read(batch.column("text")), strict=True)]
             kinds, n = np.unique(np.array(bits, dtype=np.int64), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(n)], ["bits", "n"])
 
-    patterns = docs.select("text").mapInArrow(voted, "bits long, n long").groupBy("bits").agg(F.sum("n").alias("n"))
-    bits = np.array([pattern(r, g["extra"]) for r, g in zip(rows, got, strict=True)], dtype=np.int64)
-    label_model = fitted_label_model(spool(patterns), count, lexicon, (bits, truth))
-    one = label_model.posterior(unpacked(bits, count))
+    patterns = spool(docs.select("text").mapInArrow(voted, "bits long, n long").groupBy("bits").agg(F.sum("n").alias("n")))
+    bits = np.array([pattern(r, e) for r, e in zip(rows, extra, strict=True)], dtype=np.int64)
+    label_model = fitted_label_model(patterns, count, lexicon, (bits, truth))
+    # Documents without label in the sample, by a hash of their ids: about as many in a table of any size.
+    total = patterns.agg(F.sum("n")).first()[0] or 0
+    share = int(min(1.0, UNLABELLED / max(1, total)) * (1 << 30))
+    others = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL").filter(remainder(3) != 1)
+    others = others.filter(F.pmod(F.xxhash64(F.lit(29), "doc_id"), F.lit(1 << 30)) < share)
+    others = others.join(sample.select("doc_id").distinct(), "doc_id", "left_anti").withColumn("label", F.lit(None).cast("int"))
+    more, more_extra, _ = brought(others)
+    more_bits = np.array([pattern(r, e) for r, e in zip(more, more_extra, strict=True)], dtype=np.int64)
+    one = label_model.posterior(unpacked(np.concatenate([bits, more_bits]), count))
     label = (one > 0.5).astype(int)
-    model = nbsvm.fit(rows, label, len(mined), trust=np.abs(2 * one - 1), truth=truth, unit=False)
-    return lambda column: [model.score(r) for r in terms.rows(column)]
+    unsure = np.arange(len(one)) >= len(rows)
+    every = [features(r, e) for r, e in zip([*rows, *more], np.concatenate([extra, more_extra]), strict=True)]
+    given = np.where(unsure, label, np.concatenate([truth, np.zeros(len(more), dtype=np.int64)]))
+    model = nbsvm.fit(every, label, len(mined) + 4, trust=np.abs(2 * one - 1), truth=given, unit=False, unsure=unsure)
+    return lambda column: [model.score(features(r, e)) for r, e in zip(*read(column), strict=True)]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:

@@ -8,7 +8,7 @@ from panelcast.llm.features import indicators
 from panelcast.llm.nbsvm import dual_coordinate_descent, fit, sigmoid_fit
 from panelcast.llm.quality import accepted, score_quality
 from panelcast.llm.textkernels import shingle_set, word_hashes
-from panelcast.llm.toxicity import LabelModel, Lookup, _hash_words, dependency_tree, score_toxicity
+from panelcast.llm.toxicity import LabelModel, Lookup, _hash_words, dependency_tree, mined_terms, score_toxicity
 
 from .conftest import make_docs
 
@@ -59,6 +59,20 @@ def test_toxicity_is_learnt_from_rows_outside_the_held_out_ones(spark, words):
     assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in rows}
 
 
+def test_a_word_of_few_toxic_rows_is_a_term_in_a_large_sample(spark):
+    rows = [(f"common w{i}", 0) for i in range(6000)] + [(f"common zzurk {'qqvexo' if i < 4 else ''}", 1) for i in range(600)]
+    mined, (clean, toxic) = mined_terms(spark.createDataFrame(rows, "text string, label int"))
+    assert (clean, toxic) == (6000, 600)
+    assert set(_hash_words(["zzurk", "qqvexo"])) <= set(mined) and not set(_hash_words(["common"])) & set(mined)
+
+
+def test_words_of_abuse_count_without_being_mined(spark, words):
+    texts, labels = corpus(spark, words)
+    texts += [(20_000, f"{words[1]} {words[2]} moron {words[3]}"), (20_001, f"{words[1]} {words[2]} {words[4]} {words[3]}")]
+    score = {r.doc_id: r.score for r in score_toxicity(make_docs(spark, texts), spark.createDataFrame(labels, LABELS)).collect()}
+    assert score[20_000] > score[20_001]
+
+
 def test_awkward_texts_get_scores_and_missing_labels_a_constant(spark, words, awkward):
     texts, labels = corpus(spark, words, 300)
     docs = make_docs(spark, [(i, t) for i, t in texts if i > 20] + awkward)
