@@ -7,8 +7,10 @@ and in clean texts and, along a tree of the strongest dependencies, how voters
 follow each other, so that voters that repeat one another count once. Its
 posterior labels, of the labelled rows and of a bounded sample of documents
 without label, train a linear classifier over all mined terms, the words of
-abuse and the patterns, which scores every text in one pass. Labels serve to mine the terms and to fit the final
-sigmoid.
+abuse and the patterns, which scores every text in one pass. Labels
+serve to mine the terms and to choose the voters; in every round of the
+maximisation the labelled rows weigh together as much as all documents, so that
+the label model is half supervised; and they fit the final sigmoid.
 
 Defined results: a null or empty text has no terms and gets the score of the
 bias; repeated rows score alike; without labels of both classes every text gets
