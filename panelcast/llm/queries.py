@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.llm.common import table
+from panelcast.llm.conversations import damaged, repair_report
 from panelcast.llm.embedding_dedup import near_vectors
 from panelcast.llm.exact_dedup import exact_duplicates
 from panelcast.llm.html_text import extract_main_text
+from panelcast.llm.merkle import document_leaves, manifest, verified
 from panelcast.llm.mixing import mix
 from panelcast.llm.near_dedup import near_duplicates
 from panelcast.llm.packing import Capacity, pack
@@ -67,6 +69,15 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.withColumn("mix_rate", F.round("mix_rate", 6))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(manifest(document_leaves(table(spark, sf_dir, "documents"))))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair_report(conversations, damaged(conversations))
+
+
 REGISTERED = (
     op1_best_fit_packing,
     op2_embedding_near_dedup,
@@ -78,6 +89,8 @@ REGISTERED = (
     op8_toxicity,
     op9_sharding,
     op10_mixing,
+    op11_merkle_manifest,
+    op13_conversation_repair,
 )
 
 

@@ -51,7 +51,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else frozenset([tuple(words)])
 
 
-def brute_near(texts):
+def brute_near(texts, percent=85):
     sets = [shingles(t) for _, t in texts]
     parent = list(range(len(texts)))
 
@@ -62,7 +62,7 @@ def brute_near(texts):
 
     for i in range(len(texts)):
         for j in range(i):
-            if sets[i] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
                 parent[root(i)] = root(j)
     groups = collections.defaultdict(list)
     for k in range(len(texts)):

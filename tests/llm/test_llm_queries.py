@@ -15,6 +15,8 @@ from .test_dedup import brute_exact, brute_near, shingles
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables are missing")
 
+TABLES = {"op2": "embeddings", "op3": "pages", "op13": "conversations"}
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -26,7 +28,7 @@ def duck():
 
 def test_all_are_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(contract.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(oracles.oracle_sql()) <= set(queries.queries())
 
 
@@ -41,10 +43,10 @@ def test_query_matches_its_sql(spark, duck, name):
     assert collections.Counter(tuple(r[c] for c in order) for r in df.collect()) == collections.Counter(expected)
 
 
-@pytest.mark.parametrize("name, table", [(n, "pages" if n.startswith("op3") else "embeddings" if n.startswith("op2") else "documents") for n in sorted(queries.queries())])
+@pytest.mark.parametrize("name, table", [(n, TABLES.get(n.split("_")[0], "documents")) for n in sorted(queries.queries())])
 def test_query_covers_its_table(spark, name, table):
     df = queries.queries()[name](spark, SF)
-    key = {"pages": "page_id", "embeddings": "vec_id", "documents": "doc_id"}[table]
+    key = {"pages": "page_id", "embeddings": "vec_id", "documents": "doc_id", "conversations": "conv_id"}[table]
     all_ids = {r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect()}
     got = {r[0] for r in df.select(key).collect()}
     assert got <= all_ids if name.startswith("op10") else got == all_ids
@@ -65,7 +67,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     pairs = [(r.doc_id, r.text) for r in good]
     assert sorted(r.doc_id for r in exact) == sorted({k for _, k, _, _ in brute_exact(pairs)})
     pairs = [(r.doc_id, r.text) for r in exact]
-    groups = {c for _, _, c in brute_near(pairs)} if all(shingles(t) for _, t in pairs) else None
+    groups = {c for _, _, c in brute_near(pairs, 80)} if all(shingles(t) for _, t in pairs) else None
     assert groups is None or sorted(r.doc_id for r in near) == sorted(groups)
     assert {r.doc_id for r in mixed} <= {r.doc_id for r in near}
     assert {r.doc_id for r in packed} == {r.doc_id for r in mixed}

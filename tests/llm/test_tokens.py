@@ -1,4 +1,5 @@
 import collections
+import functools
 import random
 import zlib
 
@@ -13,13 +14,18 @@ from panelcast.llm.tokens import TOKENIZER, WordEncoder, encoder
 from .conftest import make_docs
 
 
-def plain_ids(text):
+@functools.cache
+def whole_text_tokenizer():
     import public_tokenizers
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path(TOKENIZER))
     t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids
+    return t
+
+
+def plain_ids(text):
+    return whole_text_tokenizer().encode(text or "", add_special_tokens=False).ids
 
 
 def test_words_give_the_ids_of_the_whole_text(awkward):
