@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from panelcast.llm.common import table
 from panelcast.llm.conversations import damaged, repair_report
+from panelcast.llm.credentials import secret_report, secret_spans
 from panelcast.llm.embedding_dedup import near_vectors
 from panelcast.llm.exact_dedup import exact_duplicates
 from panelcast.llm.html_text import extract_main_text
@@ -73,6 +74,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verified(manifest(document_leaves(table(spark, sf_dir, "documents"))))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(secret_spans(table(spark, sf_dir, "documents")))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
     return repair_report(conversations, damaged(conversations))
@@ -90,6 +95,7 @@ REGISTERED = (
     op9_sharding,
     op10_mixing,
     op11_merkle_manifest,
+    op12_secret_scan,
     op13_conversation_repair,
 )
 
