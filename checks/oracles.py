@@ -266,6 +266,73 @@ def arma_11(d: Dataset, h: int, src: str, name: str) -> str:
     {name} AS (SELECT {d.keys}, s, w + centre AS v FROM {name}_r WHERE s > 0)"""
 
 
+def lag_trees(
+    d: Dataset, h: int, src: str, name: str, lags: int, rounds: int, depth: int, rate: float, penalty: float, l1: float, floor: float
+) -> str:
+    """``rounds`` trees of ``depth`` levels, every cut between two values tried: running sums over sorted lags.
+
+    Level by level a row moves from node ``o`` to ``2 o`` or ``2 o + 1``; a node
+    without a gaining cut sends all its rows left.
+    """
+    k = d.keys
+
+    def soft(g: str) -> str:
+        return f"SIGN({g}) * GREATEST(ABS({g}) - {l1}, 0)" if l1 else g
+
+    def score(g: str, n: str) -> str:
+        return f"POW({soft(g)}, 2) / ({n} + {penalty})"
+
+    parts = [
+        f"""{name}_v AS (
+      SELECT {k}, y AS x, (y + LEAD(y) OVER (PARTITION BY {k} ORDER BY y)) / 2 AS cut FROM (SELECT DISTINCT {k}, y FROM {src}))""",
+        f"""{name}_x AS (
+      SELECT {k}, i, y, AVG(y) OVER (PARTITION BY {k}) AS base, x FROM (
+        SELECT {k}, i, y, list_reverse(LIST(y) OVER (PARTITION BY {k} ORDER BY i ROWS BETWEEN {lags} PRECEDING AND 1 PRECEDING)) AS x
+        FROM {src}) WHERE i > {lags})""",
+        f"{name}_p0 AS (SELECT {k}, i, y, x, base AS p FROM {name}_x)",
+    ]
+    for r in range(1, rounds + 1):
+        t = f"{name}_{r}"
+        parts.append(f"{t}_0 AS (SELECT {k}, i, x, p - y AS g, CAST(1 AS BIGINT) AS o FROM {name}_p{r - 1})")
+        for level in range(depth):
+            parts.append(f"""{t}_c{level} AS (
+      SELECT {k}, o, j, x, SUM(g) OVER w AS gl, SUM(n) OVER w AS nl, SUM(g) OVER (PARTITION BY {k}, o, j) AS gt,
+        SUM(n) OVER (PARTITION BY {k}, o, j) AS nt, SUM(gg) OVER (PARTITION BY {k}, j) AS gg
+      FROM (SELECT {k}, o, j, x[j] AS x, SUM(g) AS g, COUNT(*) AS n, SUM(g * g) AS gg
+        FROM {t}_{level}, (SELECT UNNEST(range(1, {lags + 1})) AS j) GROUP BY ALL)
+      WINDOW w AS (PARTITION BY {k}, o, j ORDER BY x))""")
+            parts.append(f"""{t}_b{level} AS (
+      SELECT {k}, o, j, cut FROM (
+        SELECT *, MAX(gain) OVER (PARTITION BY {k}, o) AS top FROM (
+          SELECT *, {score('gl', 'nl')} + {score('(gt - gl)', '(nt - nl)')} - {score('gt', 'nt')} AS gain
+          FROM {t}_c{level} WHERE nl >= {floor} AND nt - nl >= {floor}) WHERE gain > 1e-9 * gg) JOIN {name}_v USING ({k}, x)
+      WHERE gain >= top - 1e-9 * gg QUALIFY ROW_NUMBER() OVER (PARTITION BY {k}, o ORDER BY j, x) = 1)""")
+            parts.append(f"""{t}_{level + 1} AS (
+      SELECT {k}, i, a.x, g, 2 * o + CASE WHEN a.x[j] > cut THEN 1 ELSE 0 END AS o FROM {t}_{level} a LEFT JOIN {t}_b{level} USING ({k}, o))""")
+        parts.append(f"{t}_w AS (SELECT {k}, o, -({soft('SUM(g)')}) / (COUNT(*) + {penalty}) * {rate} AS w FROM {t}_{depth} GROUP BY {k}, o)")
+        parts.append(f"""{name}_p{r} AS (
+      SELECT {k}, i, y, x, p + w AS p FROM {name}_p{r - 1} JOIN (SELECT {k}, i, o FROM {t}_{depth}) USING ({k}, i) JOIN {t}_w USING ({k}, o))""")
+    cuts = " UNION ALL ".join(f"SELECT {k}, {r} AS r, o, j, cut FROM {name}_{r}_b{lv}" for r in range(1, rounds + 1) for lv in range(depth))
+    leaves = " UNION ALL ".join(f"SELECT {k}, {r} AS r, o, w FROM {name}_{r}_w" for r in range(1, rounds + 1))
+    at = "CAST(1 AS BIGINT)"
+    for _ in range(depth):
+        at = f"(2 * {at} + CASE WHEN buf[t.j[{at}]] > t.cut[{at}] THEN 1 ELSE 0 END)"
+    parts.append(f"""{name}_t AS (
+      SELECT {k}, LIST({{'j': j, 'cut': cut, 'w': w}}) AS trees FROM (
+        SELECT {k}, r, LIST(COALESCE(j, 1) ORDER BY o) FILTER (o < {2**depth}) AS j,
+          LIST(COALESCE(cut, CAST('inf' AS DOUBLE)) ORDER BY o) FILTER (o < {2**depth}) AS cut,
+          LIST(COALESCE(w, 0) ORDER BY o) AS w
+        FROM (SELECT DISTINCT {k} FROM {src}) CROSS JOIN (SELECT UNNEST(range(1, {rounds + 1})) AS r)
+          CROSS JOIN (SELECT UNNEST(range(1, {2 ** (depth + 1)})) AS o) LEFT JOIN ({cuts}) USING ({k}, r, o) LEFT JOIN ({leaves}) USING ({k}, r, o) GROUP BY {k}, r) GROUP BY {k})""")
+    parts.append(f"""{name}_r AS (
+      SELECT {k}, CAST(0 AS BIGINT) AS s, LIST(y ORDER BY i DESC) FILTER (i > n - {lags}) AS buf FROM {src} GROUP BY {k}
+      UNION ALL
+      SELECT {k}, s + 1, list_prepend(base + list_sum(list_transform(trees, lambda t: t.w[{at}])), buf[:{lags - 1}])
+      FROM {name}_r JOIN {name}_t USING ({k}) JOIN (SELECT DISTINCT {k}, base FROM {name}_x) USING ({k}) WHERE s < {h})""")
+    parts.append(f"{name} AS (SELECT {k}, s, buf[1] AS v FROM {name}_r WHERE s > 0)")
+    return ", ".join(parts)
+
+
 def recent_mean(d: Dataset, h: int, src: str, name: str, last: int = 28) -> str:
     return f"""{name} AS (SELECT {d.keys}, s, v FROM (
       SELECT {d.keys}, AVG(y) AS v FROM {src} WHERE i > n - {last} GROUP BY {d.keys}), {steps(h)})"""
@@ -444,6 +511,9 @@ def oracle_sql() -> dict[str, str]:
         "fc_linear_trend": (q, "Prophet", linear_trend(q, STEPS, "h", "fc")),
         "fc_decomposed": (p, "Prophet", decomposed(p, STEPS, "h", "fc")),
         "fc_weekday_means": (s, "Prophet", weekday_means(s, STEPS, "h", "fc")),
+        "fc_boosted_stumps": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 7, 5, 1, 0.3, 1, 25, 1)),
+        "fc_boosted_trees": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 5, 3, 2, 0.5, 10, 0, 30)),
+        "fc_single_tree": (q, "RandomForest", lag_trees(q, STEPS, "h", "fc", 7, 1, 3, 1, 0, 0, 5)),
         "fc_plugin": (s, "RecentMean", recent_mean(s, STEPS, "h", "fc")),
     }
     return sql | {name: forecast_query(*parts) for name, parts in forecasts.items()}

@@ -45,7 +45,7 @@ def usual_models() -> list[Model]:
         make_model("ExponentialSmoothing", {"seasonal_periods": 7}),
         make_model("AutoARIMA", {"maxiter": 10}),
         make_model("Prophet"),
-        make_model("XGBModel", {"lags": 7, "max_depth": 6, "learning_rate": 0.3, "gamma": 0}),
+        make_model("XGBModel", {"lags": 7, "max_depth": 6, "learning_rate": 0.3, "gamma": 0, "lambda": 1, "alpha": 0}),
         make_model("RandomForest", {"lags": 7, "n_estimators": 100, "max_depth": 6}),
     ]
 
@@ -307,7 +307,7 @@ def tree_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and sums of the lag windows that the tree models learn from."""
     d = SUPPLIERS
     hist = history(d.vectors(spark, sf_dir), d.spec, "train")
-    windows = make_model("RandomForest", {"lags": 7}).windows(hist, "ys").withColumn("lags", vector_to_array("features"))
+    windows = make_model("PooledRandomForest", {"lags": 7}).windows(hist, "ys").withColumn("lags", vector_to_array("features"))
     oldest, newest = F.col("lags")[0], F.col("lags")[6]
     return windows.agg(
         F.count(F.lit(1)).alias("n_windows"),
@@ -334,6 +334,7 @@ def fc_plugin_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 NO_LIMIT = float("inf")
+EXACT_BINS = 32767  # more than a window has distinct values
 
 
 def queries() -> dict[str, Query]:
@@ -375,6 +376,19 @@ def queries() -> dict[str, Query]:
             make_model("Prophet", {"growth": "flat", "weekly": True, "yearly": False, "seasonality_prior_scale": NO_LIMIT}),
         ),
         "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
+        "fc_boosted_stumps": forecast_of(
+            DENSE, make_model("XGBModel", {"n_estimators": 5, "max_depth": 1, "lambda": 1, "alpha": 25, "max_bin": EXACT_BINS})
+        ),
+        "fc_boosted_trees": forecast_of(
+            DENSE,
+            make_model(
+                "XGBModel",
+                {"lags": 5, "n_estimators": 3, "max_depth": 2, "learning_rate": 0.5, "lambda": 10, "min_child_weight": 30, "max_bin": EXACT_BINS},
+            ),
+        ),
+        "fc_single_tree": forecast_of(
+            SPARSE, make_model("RandomForest", {"n_estimators": 1, "bootstrap": False, "max_depth": 3, "min_samples_leaf": 5, "max_bin": EXACT_BINS})
+        ),
         "tree_windows": tree_windows,
         "fc_gbt_lags": forecast_of(SUPPLIERS, make_model("XGBModel")),
         "fc_forest_lags": forecast_of(SUPPLIERS, make_model("RandomForest")),

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from panelcast.functions import baselines
 from panelcast.functions.regression import Decomposition, arima_least_length, auto_arima, decomposed, holiday_pairs
 from panelcast.functions.smoothing import COARSE, FINE, holt_winters
+from panelcast.functions.trees import TreeSettings, boosting_settings, forest_settings, lag_trees
 from panelcast.operators.trees import LagTrees, tree_model
 from panelcast.operators.vectors import next_day, train_part, unfold, unroll
 from panelcast.sources.spool import spool
@@ -159,6 +160,18 @@ def _decomposed(holidays: Sequence | None = None, **settings: Any) -> tuple[int,
     return 2, lambda ys, start, h, step: decomposed(ys, start, h, step, model)
 
 
+def _trees(settings: TreeSettings) -> tuple[int, Callable]:
+    return settings.lags + 1, lambda ys, start, h, step: lag_trees(ys, h, settings)
+
+
+def _boosted_trees(**settings: Any) -> tuple[int, Callable]:
+    return _trees(boosting_settings(settings))
+
+
+def _forest(**settings: Any) -> tuple[int, Callable]:
+    return _trees(forest_settings(settings))
+
+
 # Public names of the models, and settings that only steer local threads or optimisers.
 ARRAY_MODELS: dict[str, Callable[..., tuple[int, Callable]]] = {
     "NaiveMean": _naive_mean,
@@ -171,13 +184,16 @@ ARRAY_MODELS: dict[str, Callable[..., tuple[int, Callable]]] = {
     "AutoARIMA": _auto_arima,
     "LinearRegressionModel": _linear_lags,
     "Prophet": _decomposed,
+    "XGBModel": _boosted_trees,
+    "RandomForest": _forest,
 }
-TREE_MODELS = ("XGBModel", "RandomForest")
-DROPPED_SETTINGS = {"AutoARIMA": {"maxiter"}, "XGBModel": {"nthread", "n_jobs"}, "RandomForest": {"n_jobs"}}
+POOLED_MODELS = ("PooledXGBModel", "PooledRandomForest")
+THREADS = {"nthread", "n_jobs"}
+DROPPED_SETTINGS = {"AutoARIMA": {"maxiter"}} | {name: THREADS for name in ("XGBModel", "RandomForest", *POOLED_MODELS)}
 
 
 # Settings of usual configurations that have no counterpart here.
-UNSUPPORTED = {"XGBModel": {"lambda", "alpha"}, "Prophet": {"country_holidays"}}
+UNSUPPORTED = {"PooledXGBModel": {"lambda", "alpha"}, "Prophet": {"country_holidays"}}
 
 
 def dropped_settings(model: str, params: dict | None) -> list[str]:
@@ -186,7 +202,7 @@ def dropped_settings(model: str, params: dict | None) -> list[str]:
 
 
 def model_names() -> list[str]:
-    return sorted([*ARRAY_MODELS, *TREE_MODELS])
+    return sorted([*ARRAY_MODELS, *POOLED_MODELS])
 
 
 def make_model(
@@ -207,12 +223,12 @@ def make_model(
             params.pop(name)
     if not isinstance(model, str):
         return Plugin(model_id or getattr(model, "__name__", type(model).__name__), model, tuple(params.items()))
-    if model not in ARRAY_MODELS and model not in TREE_MODELS:
+    if model not in ARRAY_MODELS and model not in POOLED_MODELS:
         raise ValueError(f"unknown model {model!r}; known: {', '.join(model_names())}")
     for name in DROPPED_SETTINGS.get(model, ()):
         params.pop(name, None)
-    if model in TREE_MODELS:
-        return tree_model(model, params, model_id or model)
+    if model in POOLED_MODELS:
+        return tree_model(model.removeprefix("Pooled"), params, model_id or model)
     try:
         min_length, forecast = ARRAY_MODELS[model](**params)
     except TypeError as error:

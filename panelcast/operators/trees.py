@@ -1,10 +1,9 @@
-"""Boosted trees and random forests on lagged values, fitted by MLlib.
+"""One boosted or bagged ensemble over the lag windows of all series, fitted by MLlib.
 
-One model is fitted over the lag windows of all series, each series divided by
-the mean size of its own training values; this is the form MLlib distributes.
-(One model per series, the other reading of this method, would be a separate
-local fit for every key.) The forecast then feeds its own values back, step by
-step, as a chain of narrow projections.
+Each series is divided by the mean size of its own training values; this is the
+form MLlib distributes, for many short series that are alike. (One ensemble per
+series is in ``functions.trees``.) The forecast then feeds its own values back,
+step by step, as a chain of narrow projections.
 """
 
 from __future__ import annotations
@@ -115,7 +114,7 @@ MLLIB_SETTINGS = (
 
 
 def tree_model(name: str, params: dict, model_id: str) -> LagTrees:
-    """``XGBModel`` (gradient boosting) or ``RandomForest`` with MLlib's counterparts of the settings.
+    """Pooled ``XGBModel`` (gradient boosting) or ``RandomForest`` with MLlib's counterparts of the settings.
 
     Leaf penalties have no counterpart in MLlib; a non-zero one is an error.
     """

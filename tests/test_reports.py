@@ -99,16 +99,17 @@ def test_least_length_is_enough_for_any_series(max_p, max_q, order):
 
 
 def test_settings_without_a_counterpart_can_be_dropped():
-    for name, params in (("XGBModel", {"lags": 1, "lambda": 1, "alpha": 0, "subsample": 0.8, "min_child_weight": 2, "max_bin": 64}), ("Prophet", {"country_holidays": "CL"})):
+    for name, params in (("PooledXGBModel", {"lags": 1, "lambda": 1, "alpha": 0, "subsample": 0.8, "min_child_weight": 2, "max_bin": 64}), ("Prophet", {"country_holidays": "CL"})):
         with pytest.raises(ValueError):
             make_model(name, params)
         assert make_model(name, params, unsupported="drop").model_id == name
-    assert dropped_settings("XGBModel", {"lambda": 1, "lags": 7}) == ["lambda"]
+    assert dropped_settings("PooledXGBModel", {"lambda": 1, "lags": 7}) == ["lambda"]
 
 
-def test_one_lag_is_enough_for_trees(spark):
+@pytest.mark.parametrize("name", ["XGBModel", "PooledXGBModel"])
+def test_one_lag_is_enough_for_trees(spark, name):
     vectors = vectors_of(spark, days(FIRST, [float(i % 2) for i in range(40)]))
-    ahead = forecast_rows(history(vectors, SPEC, "full"), SPEC, [make_model("XGBModel", {"lags": 1, "n_estimators": 5})], 4)
+    ahead = forecast_rows(history(vectors, SPEC, "full"), SPEC, [make_model(name, {"lags": 1, "n_estimators": 5})], 4)
     assert [round(r.sales) for r in ahead.orderBy("date").collect()] == [0, 1, 0, 1]
 
 

@@ -180,11 +180,11 @@ def test_one_plan_shuffles_only_to_build_the_series(spark):
 
 def test_one_plan_with_tree_models(spark):
     vec = vectors_of(spark, days(FIRST, [i % 7 for i in range(60)]), days(FIRST, [5] * 60, store=2))
-    models = [make_model("NaiveMean"), make_model("RandomForest", {"n_estimators": 5}), make_model("XGBModel", {"n_estimators": 2})]
+    models = [make_model("NaiveMean"), make_model("RandomForest", {"n_estimators": 5}), make_model("PooledXGBModel", {"n_estimators": 2})]
     tested = champion.backtest(vec, SPEC, models, 7, 3, select_on="mae")
     assert champion.metrics_table(tested, SPEC).count() == 18
     got = {r["store"]: r["model"] for r in champion.best_models(tested, SPEC, "mae").collect()}
-    assert got[1] in ("RandomForest", "XGBModel")
+    assert got[1] in ("RandomForest", "PooledXGBModel")
     assert champion.best_forecast(tested, SPEC).filter("sales > -100 AND model IS NOT NULL").count() == 6
 
 
