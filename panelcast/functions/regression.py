@@ -1,4 +1,4 @@
-"""Least-squares models: trend-and-season decomposition and ARIMA order search.
+"""Trend-and-season decomposition by penalised least squares.
 
 Spark gathers and spreads the series; what runs in a Python worker is a small
 dense solve per series, fed by Arrow batches of arrays.
@@ -113,109 +113,3 @@ def decomposed(ys: Column, start: Column, steps: int, step_days: int, model: Dec
 
 def holiday_pairs(holidays: Iterable[tuple[date, str]]) -> tuple[tuple[date, str], ...]:
     return tuple(sorted(set(holidays)))
-
-
-# ------------------------------------------------------------------------ ARIMA
-
-KPSS_5_PERCENT = 0.463
-
-
-def needs_difference(y: np.ndarray) -> bool:
-    """Level-stationarity test of Kwiatkowski et al. (1992) at 5 percent."""
-    n = len(y)
-    e = y - y.mean()
-    lags = min(int(12 * (n / 100) ** 0.25), n - 1)
-    variance = e @ e / n
-    for k in range(1, lags + 1):
-        variance += 2 * (1 - k / (lags + 1)) * (e[k:] @ e[:-k]) / n
-    if variance <= 1e-12 * max(1.0, float(y @ y) / n):
-        return False
-    return float((np.cumsum(e) ** 2).sum() / (n * n * variance)) > KPSS_5_PERCENT
-
-
-def lagged(values: np.ndarray, lags: int, first: int) -> np.ndarray:
-    """Matrix whose column ``j`` holds ``values`` shifted by ``j + 1``, from index ``first`` on."""
-    n = len(values)
-    return np.column_stack([values[first - j : n - j] for j in range(1, lags + 1)]) if lags else np.empty((n - first, 0))
-
-
-def settles(ar: np.ndarray) -> bool:
-    """Whether an autoregression returns to its mean."""
-    return not len(ar) or np.abs(np.roots([1.0, *-ar])).max(initial=0.0) < 1.0
-
-
-def long_order(n: int, p_top: int, q_top: int) -> int:
-    """Lags of the regression that estimates the shocks of ``n`` values."""
-    return min(int(np.ceil(np.log(max(n, 2)) * 2)) + p_top + q_top, n // 4) if q_top else 0
-
-
-def arima_least_length(max_p: int, max_q: int, order: tuple[int, int, int] | None) -> int:
-    """Values from which on a series of any kind gets a forecast, one more for a difference if d is searched."""
-    p, d, q = order if order else (max_p, 1, max_q)
-    short = [n for n in range(2, 40 + 8 * (p + q)) if n - d - max(p, long_order(n - d, p, q) + q) < p + q + 3]
-    return max(short, default=1) + 1
-
-
-def arima_forecast(y: np.ndarray, steps: int, max_p: int, max_q: int, order: tuple[int, int, int] | None):
-    """Two-stage least squares of Hannan and Rissanen (1982); the order with the least AICc wins.
-
-    All orders are compared on the same rows, so one cross-product matrix
-    serves every candidate. Returns None for a series that is too short.
-    """
-    p_top, q_top = (order[0], order[2]) if order else (max_p, max_q)
-    d = order[1] if order else int(needs_difference(y))
-    w = np.diff(y, d) if d else y
-    centre = w.mean()
-    w = w - centre
-    ar = long_order(len(w), p_top, q_top)
-    first = max(p_top, ar + q_top)
-    rows = len(w) - first
-    if rows < p_top + q_top + 3:
-        return None
-    shocks = np.zeros(len(w))
-    if q_top:
-        z = np.column_stack([np.ones(len(w) - ar), lagged(w, ar, ar)])
-        shocks[ar:] = w[ar:] - z @ np.linalg.lstsq(z.T @ z, z.T @ w[ar:], rcond=None)[0]
-    x = np.column_stack([np.ones(rows), lagged(w, p_top, first), lagged(shocks, q_top, first)])
-    target = w[first:]
-    gram, cross, power = x.T @ x, x.T @ target, target @ target
-    pairs = [(order[0], order[2])] if order else [(p, q) for p in range(max_p + 1) for q in range(max_q + 1)]
-    fits = []
-    for p, q in pairs:
-        use = [0, *range(1, p + 1), *range(1 + p_top, 1 + p_top + q)]
-        beta = np.linalg.lstsq(gram[np.ix_(use, use)], cross[use], rcond=None)[0]
-        k = len(use) + 1
-        variance = max(float(power - beta @ cross[use]) / rows, 1e-12 * (1.0 + power / rows))
-        score = rows * np.log(variance) + 2 * k + 2 * k * (k + 1) / max(rows - k - 1, 1)
-        fits.append((score, p, q, beta))
-    fits.sort(key=lambda fit: fit[:3])
-    # A searched order must not explode; without autoregression it never does.
-    _, p, q, beta = next(fit for fit in fits if order or settles(fit[3][1 : fit[1] + 1]))
-    path, noise = list(w[len(w) - p :]) if p else [], list(shocks[len(w) - q :]) if q else []
-    ahead = []
-    for _ in range(steps):
-        value = beta[0]
-        value += sum(beta[1 + j] * path[-1 - j] for j in range(p))
-        value += sum(beta[1 + p + j] * noise[-1 - j] for j in range(q))
-        ahead.append(value)
-        path.append(value)
-        noise.append(0.0)
-    levels = np.array(ahead) + centre
-    return y[-1] + np.cumsum(levels) if d else levels
-
-
-def auto_arima(
-    ys: Column, steps: int, max_p: int = 3, max_q: int = 3, order: tuple[int, int, int] | None = None
-) -> Column:
-    """Forecast array of the best (p, d, q), or of the given ``order``; d is 0 or 1."""
-    if order is not None and (len(order) != 3 or min(order) < 0 or order[1] > 1):
-        raise ValueError("order must be (p, d, q) with d 0 or 1")
-
-    @F.pandas_udf("array<double>")
-    def fit_and_forecast(batch: pd.Series) -> pd.Series:
-        return pd.Series(
-            [None if y is None or len(y) < 2 else arima_forecast(np.asarray(y), steps, max_p, max_q, order) for y in batch],
-            dtype=object,
-        )
-
-    return fit_and_forecast(ys)

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions import baselines
-from panelcast.functions.regression import Decomposition, arima_least_length, auto_arima, decomposed, holiday_pairs
+from panelcast.functions.arima import ArimaSettings, arima
+from panelcast.functions.regression import Decomposition, decomposed, holiday_pairs
 from panelcast.functions.smoothing import COARSE, FINE, holt_winters
 from panelcast.functions.trees import TreeSettings, boosting_settings, forest_settings, lag_trees
 from panelcast.operators.trees import LagTrees, tree_model
@@ -139,18 +140,25 @@ def _smoothing(
     return 2 * m, lambda ys, start, h, step: holt_winters(ys, h, m, params, coarse, fine)
 
 
-def _auto_arima(max_p: int = 3, max_q: int = 3, order: Sequence[int] | None = None) -> tuple[int, Callable]:
-    order = tuple(order) if order is not None else None
-    return arima_least_length(max_p, max_q, order), lambda ys, start, h, step: auto_arima(ys, h, max_p, max_q, order)
+def arima_settings(
+    order: Sequence[int] | None = None, seasonal_order: Sequence[int] | None = None, information_criterion: str = "aicc", **tops: int
+) -> ArimaSettings:
+    """``max_p, max_q, max_d``, and with a season ``m`` also ``max_P, max_Q, max_D``; or the orders themselves."""
+    fixed = {"order": order, "seasonal_order": seasonal_order}
+    return ArimaSettings(criterion=information_criterion, **{k: None if v is None else tuple(v) for k, v in fixed.items()}, **tops)
 
 
-def _arima(p: int = 12, d: int = 1, q: int = 0) -> tuple[int, Callable]:
-    return _auto_arima(order=(p, d, q))
+def _auto_arima(**settings: Any) -> tuple[int, Callable]:
+    chosen = arima_settings(**settings)
+    return chosen.least_length, lambda ys, start, h, step: arima(ys, h, chosen)["values"]
+
+
+def _arima(p: int = 12, d: int = 1, q: int = 0, seasonal_order: Sequence[int] | None = None, m: int = 1) -> tuple[int, Callable]:
+    return _auto_arima(order=(p, d, q), seasonal_order=seasonal_order, m=m)
 
 
 def _linear_lags(lags: int = 7) -> tuple[int, Callable]:
-    order = (positive("lags", lags), 0, 0)
-    return 2 * lags + 3, lambda ys, start, h, step: auto_arima(ys, h, order=order)
+    return _auto_arima(order=(positive("lags", lags), 0, 0))
 
 
 def _decomposed(holidays: Sequence | None = None, **settings: Any) -> tuple[int, Callable]:
@@ -302,6 +310,12 @@ def forecast_rows(hist: DataFrame, spec: PanelSpec, models: Sequence[Model], ste
     return unroll(forecast_arrays(hist, spec, models, steps), spec, "first", "forecast", "model")
 
 
+def arima_orders(hist: DataFrame, spec: PanelSpec, settings: dict | None = None) -> DataFrame:
+    """The orders that ``AutoARIMA`` chooses: ``keys…, ar, diff, ma, season_ar, season_diff, season_ma``, null for short series."""
+    found = hist.select(*spec.keys, arima(F.col("ys"), 1, arima_settings(**(settings or {}))).alias("run"))
+    return found.select(*spec.keys, *[f"run.{c}" for c in ("ar", "diff", "ma", "season_ar", "season_diff", "season_ma")])
+
+
 def plugin_report(hist: DataFrame, spec: PanelSpec, plugin: Plugin, steps: int) -> DataFrame:
     """One row per series: ``keys…, forecast, error``."""
     ran = plugin.attach(hist, spec, "ys", "start", steps, "forecast")

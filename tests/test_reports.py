@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelcast import Cutoffs, Workflow, make_model
 from panelcast.functions.metrics import METRICS
-from panelcast.functions.regression import arima_forecast, arima_least_length
+from panelcast.functions.arima import ArimaSettings, forecast_block
 from panelcast.operators import scoring
 from panelcast.operators.models import dropped_settings, forecast_rows, history
 from panelcast.operators.panel import label_split, only
@@ -88,14 +88,16 @@ def test_near_ties_go_to_the_first_name(spark):
     assert scoring.best_model(metrics, SPEC, "mae").first().model == "a"
 
 
-@pytest.mark.parametrize("max_p, max_q, order", [(3, 3, None), (1, 1, (1, 0, 1)), (2, 0, (2, 1, 0)), (5, 2, None)])
-def test_least_length_is_enough_for_any_series(max_p, max_q, order):
+@pytest.mark.parametrize("settings", [{}, {"order": (1, 0, 1)}, {"order": (2, 1, 0)}, {"max_p": 5, "max_q": 2}, {"m": 7}, {"m": 4, "order": (1, 1, 1), "seasonal_order": (1, 1, 1)}])
+def test_least_length_is_enough_for_any_series(settings):
     import numpy as np
 
-    n = arima_least_length(max_p, max_q, order)
+    n = ArimaSettings(**settings).least_length
     for seed in range(5):
         for y in (np.random.default_rng(seed).normal(size=n), np.cumsum(np.random.default_rng(seed).normal(size=n + 1))):
-            assert arima_forecast(y, 3, max_p, max_q, order) is not None
+            ahead, _ = forecast_block(y[None], 3, ArimaSettings(**settings))
+            assert np.isfinite(ahead).all()
+    assert forecast_block(np.zeros((1, n - 1)), 3, ArimaSettings(**settings)) is None
 
 
 def test_settings_without_a_counterpart_can_be_dropped():
