@@ -266,6 +266,139 @@ def arma_11(d: Dataset, h: int, src: str, name: str) -> str:
     {name} AS (SELECT {d.keys}, s, w + centre AS v FROM {name}_r WHERE s > 0)"""
 
 
+def arima_orders(d: Dataset, src: str, name: str) -> str:
+    """``<name>_pick``: difference by the KPSS test, then 16 orders solved one by one; the least AICc that settles.
+
+    The long order of the first regression is the one for 1,809 to 2,980 values.
+    """
+    k, long, top = d.keys, 22, 3
+    lags = "LEAST(CAST(FLOOR(12 * POW(n / 100.0, 0.25)) AS BIGINT), n - 1)"
+
+    def solid(phi: str) -> str:
+        """Step-down of one to three coefficients."""
+        two = "(ABS({1}) < 1 AND ABS({0} / (1 - {1})) < 1)"
+        third = [f"(({phi}[{i}] + {phi}[3] * {phi}[{3 - i}]) / (1 - POW({phi}[3], 2)))" for i in (1, 2)]
+        return f"""CASE len({phi}) WHEN 0 THEN TRUE WHEN 1 THEN ABS({phi}[1]) < 1 WHEN 2 THEN {two.format(f'{phi}[1]', f'{phi}[2]')}
+          ELSE ABS({phi}[3]) < 1 AND {two.format(*third)} END"""
+
+    return f"""{name}_c AS (SELECT {k}, i, n, y, y - AVG(y) OVER (PARTITION BY {k}) AS e FROM {src}),
+    {name}_v AS (
+      SELECT a.*, {lags} AS top, lag FROM {name}_c a JOIN (SELECT UNNEST(range(0, 41)) AS lag) ON lag <= {lags}),
+    {name}_a AS (
+      SELECT {k}, lag, a.n, a.top, SUM(a.e * b.e) AS c FROM {name}_v a JOIN (SELECT {k}, i + 0 AS j, e FROM {name}_c) b USING ({k})
+      WHERE b.j = a.i - lag GROUP BY ALL),
+    {name}_s AS (
+      SELECT {k}, (SUM(CASE WHEN lag = 0 THEN c ELSE 2 * (1 - lag / (top + 1)) * c END)) / n AS variance FROM {name}_a GROUP BY {k}, n),
+    {name}_q AS (
+      SELECT {k}, n, SUM(cum * cum) AS cums, SUM(y * y) AS power FROM (
+        SELECT {k}, n, y, SUM(e) OVER (PARTITION BY {k} ORDER BY i) AS cum FROM {name}_c) GROUP BY {k}, n),
+    {name}_d AS (
+      SELECT {k}, CASE WHEN variance > 1e-12 * GREATEST(1, power / n) AND cums / (CAST(n AS DOUBLE) * n * variance) > 0.463 THEN 1 ELSE 0 END AS d
+      FROM {name}_s JOIN {name}_q USING ({k})),
+    {name}_z AS (
+      SELECT {k}, d, i - d AS i, n - d AS n, y, CASE d WHEN 0 THEN y ELSE y - LAG(y) OVER (PARTITION BY {k} ORDER BY i) END AS z
+      FROM {src} JOIN {name}_d USING ({k})),
+    {name}_w AS (
+      SELECT {k}, d, i, n, y, centre, size, (z - centre) / size AS w FROM (
+        SELECT *, AVG(z) OVER (PARTITION BY {k}) AS centre, STDDEV_POP(z) OVER (PARTITION BY {k}) AS size FROM {name}_z WHERE i >= 1)),
+    {name}_1 AS (
+      SELECT {k}, i, n, w AS y, list_concat([1.0], list_reverse(LIST(w) OVER (
+        PARTITION BY {k} ORDER BY i ROWS BETWEEN {long} PRECEDING AND 1 PRECEDING))) AS v
+      FROM {name}_w QUALIFY i > {long}),
+    {least_squares(d, f"{name}_1", f"{name}_1b", long + 1)},
+    {name}_e AS (
+      SELECT {k}, i, n, y, y - list_dot_product(v, beta) AS e FROM {name}_1 JOIN {name}_1b USING ({k})),
+    {name}_2 AS (
+      SELECT {k}, i, n, y, list_concat([1.0], list_concat(list_reverse(LIST(y) OVER w), list_reverse(LIST(e) OVER w))) AS v FROM {name}_e
+      WINDOW w AS (PARTITION BY {k} ORDER BY i ROWS BETWEEN {top} PRECEDING AND 1 PRECEDING) QUALIFY i > {long + top}),
+    {name}_g AS (
+      SELECT {k}, a, b, SUM(v[a] * CASE WHEN b <= 7 THEN v[b] ELSE y END) AS g
+      FROM {name}_2, (SELECT UNNEST(range(1, 8)) AS a), (SELECT UNNEST(range(1, 9)) AS b) GROUP BY {k}, a, b),
+    {name}_m AS (
+      SELECT {k}, LIST(r ORDER BY a) AS m FROM (SELECT {k}, a, LIST(g ORDER BY b) AS r FROM {name}_g GROUP BY {k}, a) GROUP BY {k}),
+    {name}_o AS (
+      SELECT *, list_concat(range(1, p + 2), range({top + 2}, {top + 2} + q)) AS use
+      FROM {name}_m, (SELECT UNNEST(range(0, {top + 1})) AS p), (SELECT UNNEST(range(0, {top + 1})) AS q)),
+    {name}_x AS (
+      SELECT {k}, p, q, use, m AS whole, 1 AS turn,
+        list_transform(use, lambda a: list_append(list_transform(use, lambda b: m[a][b]), m[a][8])) AS m FROM {name}_o
+      UNION ALL
+      SELECT {k}, p, q, use, whole, turn + 1, list_transform(m, lambda r, a: CASE WHEN a = turn
+          THEN list_transform(r, lambda e: e / m[turn][turn])
+          ELSE list_transform(r, lambda e, b: e - r[turn] / m[turn][turn] * m[turn][b]) END)
+      FROM {name}_x WHERE turn <= len(use)),
+    {name}_y AS (
+      SELECT {k}, p, q, beta, beta[2:p + 1] AS phi, rows, power,
+        GREATEST((power - list_dot_product(beta, list_transform(use, lambda a: whole[a][8]))) / rows, 1e-12 * (1 + power / rows)) AS variance
+      FROM (SELECT *, list_transform(m, lambda r: r[len(use) + 1]) AS beta FROM {name}_x WHERE turn = len(use) + 1)
+        JOIN (SELECT {k}, COUNT(*) AS rows, SUM(y * y) AS power FROM {name}_2 GROUP BY {k}) USING ({k})),
+    {name}_pick AS (
+      SELECT {k}, d, p, q, beta FROM (
+        SELECT *, rows * LN(variance) + 2 * (p + q + 2) + 2 * (p + q + 2) * (p + q + 3) / GREATEST(rows - p - q - 3, 1) AS score
+        FROM {name}_y) JOIN {name}_d USING ({k}) WHERE {solid("phi")}
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY score, p, q) = 1)"""
+
+
+def auto_arima(d: Dataset, h: int, src: str, name: str) -> str:
+    """The chosen order carried on with shocks of 0."""
+    k = d.keys
+    return f"""{arima_orders(d, src, name)},
+    {name}_l AS (
+      SELECT {k}, MAX(CASE WHEN i = n THEN y END) AS last, MAX(centre) AS centre, MAX(size) AS size, LIST(w ORDER BY i DESC) FILTER (i > n - 3) AS wb
+      FROM {name}_w GROUP BY {k}),
+    {name}_r AS (
+      SELECT {k}, 0 AS s, wb, eb, CAST(0 AS DOUBLE) AS total FROM {name}_l
+        JOIN (SELECT {k}, LIST(e ORDER BY i DESC) FILTER (i > n - 3) AS eb FROM {name}_e GROUP BY {k}) USING ({k})
+      UNION ALL
+      SELECT {k}, s + 1, list_prepend(w, wb[:2]), list_prepend(CAST(0 AS DOUBLE), eb[:2]), total + w * size + centre FROM (
+        SELECT {k}, s, wb, eb, total, size, centre, beta[1] + list_sum(list_append(list_transform(range(1, p + 1), lambda j: beta[1 + j] * wb[j]), 0))
+          + list_sum(list_append(list_transform(range(1, q + 1), lambda j: beta[1 + p + j] * eb[j]), 0)) AS w
+        FROM {name}_r r JOIN {name}_pick USING ({k}) JOIN (SELECT {k}, centre, size FROM {name}_l) USING ({k}) WHERE s < {h})),
+    {name} AS (
+      SELECT {k}, s, CASE d WHEN 0 THEN wb[1] * size + centre ELSE last + total END AS v
+      FROM (SELECT {k}, s, wb, total FROM {name}_r WHERE s > 0) JOIN {name}_pick USING ({k})
+        JOIN (SELECT {k}, last, centre, size FROM {name}_l) USING ({k}))"""
+
+
+def seasonal_arima(d: Dataset, h: int, src: str, name: str, m: int = 7, turns: int = 12) -> str:
+    """(1, 0, 0)(1, 1, 0) on the seasonal differences: the two coefficients solved in turn."""
+    k = d.keys
+    lags = (0, 1, m, m + 1)
+    sums = [f"SUM(w{a}) AS s{a}" for a in lags] + [f"SUM(w{a} * w{b}) AS p{a}_{b}" for a in lags for b in lags if a <= b]
+
+    def slope(held: str, near: int, far: int) -> tuple[str, str]:
+        """Slope and constant of w0 - held w_far on w_near - held w_(near + far)."""
+        both, x, t = m + 1, f"(s{near} - {held} * s{m + 1})", f"(s0 - {held} * s{far})"
+        xx = f"(p{near}_{near} - 2 * {held} * p{near}_{both} + {held} * {held} * p{both}_{both})"
+        xt = f"(p0_{near} - {held} * p{min(near, far)}_{max(near, far)} - {held} * p0_{both} + {held} * {held} * p{far}_{both})"
+        b = f"((rows * {xt} - {x} * {t}) / (rows * {xx} - {x} * {x}))"
+        return b, f"(({t} - {b} * {x}) / rows)"
+
+    return f"""{name}_z AS (
+      SELECT {k}, i - {m} AS i, n - {m} AS n, y, y - LAG(y, {m}) OVER (PARTITION BY {k} ORDER BY i) AS z FROM {src}),
+    {name}_w AS (
+      SELECT {k}, i, n, y, centre, size, (z - centre) / size AS w FROM (
+        SELECT *, AVG(z) OVER (PARTITION BY {k}) AS centre, STDDEV_POP(z) OVER (PARTITION BY {k}) AS size FROM {name}_z WHERE i >= 1)),
+    {name}_g AS (
+      SELECT {k}, COUNT(*) AS rows, {', '.join(sums)} FROM (
+        SELECT {k}, i, w AS w0, {', '.join(f'LAG(w, {a}) OVER o AS w{a}' for a in lags if a)} FROM {name}_w WINDOW o AS (PARTITION BY {k} ORDER BY i))
+      WHERE i > {m + 1} GROUP BY {k}),
+    {name}_t AS (
+      SELECT *, 0 AS turn, CAST(0 AS DOUBLE) AS c, CAST(0 AS DOUBLE) AS f, CAST(0 AS DOUBLE) AS g FROM {name}_g
+      UNION ALL
+      SELECT * REPLACE ({slope('f', m, 1)[1]} AS c, {slope('f', m, 1)[0]} AS g) FROM (
+        SELECT * REPLACE (turn + 1 AS turn, {slope('g', 1, m)[0]} AS f) FROM {name}_t WHERE turn < {turns})),
+    {name}_r AS (
+      SELECT {k}, CAST(0 AS BIGINT) AS s, MAX(centre) AS centre, MAX(size) AS size,
+        LIST(w ORDER BY i DESC) FILTER (i > n - {m + 1}) AS wb, LIST(y ORDER BY i DESC) FILTER (i > n - {m}) AS yb
+      FROM {name}_w GROUP BY {k}
+      UNION ALL
+      SELECT {k}, s + 1, centre, size, list_prepend(w, wb[:{m}]), list_prepend(w * size + centre + yb[{m}], yb[:{m - 1}]) FROM (
+        SELECT r.*, c + f * wb[1] + g * wb[{m}] - f * g * wb[{m + 1}] AS w
+        FROM {name}_r r JOIN (SELECT {k}, c, f, g FROM {name}_t WHERE turn = {turns}) USING ({k}) WHERE s < {h})),
+    {name} AS (SELECT {k}, s, yb[1] AS v FROM {name}_r WHERE s > 0)"""
+
+
 def lag_trees(
     d: Dataset, h: int, src: str, name: str, lags: int, rounds: int, depth: int, rate: float, penalty: float, l1: float, floor: float
 ) -> str:
@@ -481,6 +614,9 @@ def oracle_sql() -> dict[str, str]:
               CAST(1 AS BIGINT) AS copies FROM panel WHERE y = 0
               AND NOT EXISTS (SELECT 1 FROM daily WHERE {' AND '.join(f'daily.{k} = panel.{k}' for k in q.spec.keys)}
                 AND daily.t = panel.t)""",
+        "arima_orders": f"""WITH RECURSIVE {panel(s)}, {history(s, 'full')}, {arima_orders(s, 'h', 'o')}
+            SELECT {s.keys}, CAST(p AS INTEGER) AS ar, d AS diff, CAST(q AS INTEGER) AS ma, 0 AS season_ar, 0 AS season_diff, 0 AS season_ma
+            FROM o_pick""",
         "tree_windows": f"""WITH {panel(s)}, {history(s, 'train')},
             scaled AS (SELECT {s.keys}, i, y / AVG(ABS(y)) OVER (PARTITION BY {s.keys}) AS y FROM h)
             SELECT COUNT(*) AS n_windows, ROUND(SUM(y), 3) AS labels, ROUND(SUM(l7), 3) AS oldest,
@@ -511,6 +647,8 @@ def oracle_sql() -> dict[str, str]:
         "fc_linear_trend": (q, "Prophet", linear_trend(q, STEPS, "h", "fc")),
         "fc_decomposed": (p, "Prophet", decomposed(p, STEPS, "h", "fc")),
         "fc_weekday_means": (s, "Prophet", weekday_means(s, STEPS, "h", "fc")),
+        "fc_auto_arima": (s, "AutoARIMA", auto_arima(s, STEPS, "h", "fc")),
+        "fc_seasonal_arima": (p, "ARIMA", seasonal_arima(p, STEPS, "h", "fc")),
         "fc_boosted_stumps": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 7, 5, 1, 0.3, 1, 25, 1)),
         "fc_boosted_trees": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 5, 3, 2, 0.5, 10, 0, 30)),
         "fc_single_tree": (q, "RandomForest", lag_trees(q, STEPS, "h", "fc", 7, 1, 3, 1, 0, 0, 5)),

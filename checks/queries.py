@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from checks.datasets import DENSE, RECENT, SHORT, SPARSE, SUPPLIERS, WEEKLY, Dataset
 from panelcast.functions.metrics import mape_eps, python_metric
+from panelcast.operators import models, scoring
 from panelcast.operators import panel as ops
-from panelcast.operators import scoring
 from panelcast.operators.compare import frame_diff, numbered
 from panelcast.operators.models import Model, Plugin, forecast_rows, history, make_model, plugin_report
 from panelcast.operators.vectors import horizon, next_day
@@ -318,6 +318,11 @@ def tree_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arima_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order that the search chooses for each supplier."""
+    return models.arima_orders(history(SUPPLIERS.vectors(spark, sf_dir), SUPPLIERS.spec, "full"), SUPPLIERS.spec)
+
+
 # ----------------------------------------------------------------- plug-in queries
 
 
@@ -368,6 +373,8 @@ def queries() -> dict[str, Query]:
         "fc_arma_11": forecast_of(DENSE, make_model("AutoARIMA", {"order": (1, 0, 1)}, "ARMA11")),
         "fc_ar1": forecast_of(DENSE, make_model("LinearRegressionModel", {"lags": 1})),
         "fc_auto_arima": forecast_of(SUPPLIERS, make_model("AutoARIMA")),
+        "fc_seasonal_arima": forecast_of(DENSE, make_model("ARIMA", {"p": 1, "d": 0, "q": 0, "m": 7, "seasonal_order": (1, 1, 0)})),
+        "arima_orders": arima_orders,
         "fc_linear_trend": forecast_of(
             SPARSE, make_model("Prophet", {"n_changepoints": 0, "weekly": False, "yearly": False})
         ),
