@@ -33,6 +33,9 @@ class Residuals(Protocol):
     def extent(self, term: Term) -> Column:
         """Largest minus smallest value of a term; null terms do not count."""
 
+    def warped(self) -> Column:
+        """Mean absolute error along the cheapest warping path of the two courses."""
+
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
         """Result of Python code over all points."""
 
@@ -59,13 +62,18 @@ class RowResiduals:
         value = term(self.actual, self.predicted)
         return F.max(value) - F.min(value)
 
-    def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
+    def gathered(self) -> ArrayResiduals:
         # A group holds one horizon of points, so it may be gathered; a grouped
         # Python aggregate could not stand next to the built-in ones.
         point = F.struct(self.order.alias("t"), self.actual.alias("y"), self.predicted.alias("p"))
         points = F.sort_array(F.collect_list(point))
-        ys, ps = F.transform(points, lambda c: c["y"]), F.transform(points, lambda c: c["p"])
-        return ArrayResiduals(ys, ps).apply(function)
+        return ArrayResiduals(F.transform(points, lambda c: c["y"]), F.transform(points, lambda c: c["p"]))
+
+    def warped(self) -> Column:
+        return self.gathered().warped()
+
+    def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
+        return self.gathered().apply(function)
 
 
 @dataclass(frozen=True)
@@ -98,6 +106,31 @@ class ArrayResiduals:
         values = self._values(term)
         return F.array_max(values) - F.array_min(values)
 
+    def warped(self) -> Column:
+        """Row by row through the table of path costs; a cell is (cost, steps of the path), the least of its three ways in."""
+        pairs = F.filter(F.arrays_zip(self.actual.alias("y"), self.predicted.alias("p")), lambda c: every(c["y"], c["p"]))
+
+        def cell(cost: Column, steps: Column) -> Column:
+            return F.struct(cost.cast("double").alias("cost"), steps.cast("int").alias("steps"))
+
+        def way(points: Column) -> Column:
+            none = cell(F.lit(float("inf")), F.lit(0))
+            columns = F.sequence(F.lit(1), F.size(points))
+            first = F.concat(F.array(cell(F.lit(0), F.lit(0))), F.array_repeat(none, F.size(points)))
+
+            def next_row(above: Column, here: Column) -> Column:
+                def next_cell(row: Column, j: Column) -> Column:
+                    before = F.array_min(F.array(F.get(row, j - 1), F.get(above, j), F.get(above, j - 1)))
+                    cost = before["cost"] + F.abs(here["y"] - F.get(points, j - 1)["p"])
+                    return F.concat(row, F.array(cell(cost, before["steps"] + 1)))
+
+                return F.aggregate(columns, F.array(none), next_cell)
+
+            last = F.element_at(F.aggregate(points, first, next_row), -1)
+            return last["cost"] / last["steps"]
+
+        return F.when(F.size(pairs) > 0, way(pairs))
+
     def apply(self, function: Callable[[pd.Series, pd.Series], float]) -> Column:
         @F.pandas_udf("double")
         def evaluate(ys: pd.Series, ps: pd.Series) -> pd.Series:
@@ -194,6 +227,11 @@ def cv(r: Residuals) -> Column:
     return 100.0 * rmse(r) / F.nullif(mean_of(r, lambda y, p: y), F.lit(0.0))
 
 
+def dtw_metric(r: Residuals) -> Column:
+    """Mean absolute error along the cheapest warping path, the shortest of equal ones; the days must be in order."""
+    return r.warped()
+
+
 Metric = Callable[[Residuals], Column]
 
 METRICS: dict[str, Metric] = {
@@ -209,6 +247,7 @@ METRICS: dict[str, Metric] = {
     "r2_score": r2,
     "coefficient_of_variation": cv,
     "marre": marre,
+    "dtw_metric": dtw_metric,
 }
 
 

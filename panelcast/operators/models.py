@@ -16,11 +16,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions import baselines
+from panelcast.functions import baselines, ets, kalman, waves
+from panelcast.functions import theta as theta_kernel
 from panelcast.functions.arima import ArimaSettings, arima
 from panelcast.functions.regression import Decomposition, decomposed, holiday_pairs
 from panelcast.functions.smoothing import COARSE, FINE, holt_winters
+from panelcast.functions.stacks import stacked, stacked_named
 from panelcast.functions.trees import TreeSettings, boosting_settings, forest_settings, lag_trees
+from panelcast.operators.ensemble import Ensemble
 from panelcast.operators.trees import LagTrees, tree_model
 from panelcast.operators.vectors import next_day, train_part, unfold, unroll
 from panelcast.sources.spool import spool
@@ -180,6 +183,62 @@ def _forest(**settings: Any) -> tuple[int, Callable]:
     return _trees(forest_settings(settings))
 
 
+def _listed(value: Any) -> tuple:
+    return tuple(value) if isinstance(value, (list, tuple)) else (value,)
+
+
+def theta_settings(theta: float | Sequence[float] = 2.0, seasonality_period: int | None = 7, **settings: Any) -> theta_kernel.ThetaSettings:
+    """One theta or several, ``trend_mode`` and ``model_mode`` likewise; of several forms the best is taken per series."""
+    lists = {f"{name}s": _listed(settings.pop(name)) for name in ("trend_mode", "model_mode") if name in settings}
+    return theta_kernel.ThetaSettings(thetas=_listed(theta), season=seasonality_period or 1, **lists, **settings)
+
+
+def _theta_model(**settings: Any) -> tuple[int, Callable]:
+    s = theta_settings(**settings)
+    width = 2 + len(s.alphas)
+    return s.least_length, lambda ys, start, h, step: stacked_named(ys, s.least_length, lambda y: theta_kernel.forecast_block(y, h, s), width)["values"]
+
+
+# What FourTheta chooses from unless settings say otherwise.
+FOUR_THETA = {"theta": (1.0, 2.0, 3.0), "trend_mode": ("linear", "exponential"), "model_mode": ("additive", "multiplicative")}
+
+
+def _four_theta(**settings: Any) -> tuple[int, Callable]:
+    return _theta_model(**(FOUR_THETA | settings))
+
+
+def ets_settings(seasonal_periods: int | None = 7, forms: Sequence[str] = (), weights: Sequence[float] | None = None, refine: bool = True) -> ets.EtsSettings:
+    return ets.EtsSettings(seasonal_periods or 1, tuple(forms), None if weights is None else tuple(weights), refine)
+
+
+def _auto_ets(**settings: Any) -> tuple[int, Callable]:
+    s = ets_settings(**settings)
+    return s.least_length, lambda ys, start, h, step: stacked_named(ys, s.least_length, lambda y: ets.forecast_block(y, h, s), ETS_WIDTH)["values"]
+
+
+def _kalman(trend: bool = False, rounds: int = 10, noise: Sequence[float] | None = None, zeros_missing: bool = False) -> tuple[int, Callable]:
+    s = kalman.KalmanSettings(trend, rounds, None if noise is None else tuple(noise), zeros_missing)
+    return 3, lambda ys, start, h, step: stacked(ys, 3, lambda y: kalman.forecast_block(y, h, s), 16 * s.size**2)
+
+
+def _waves(nr_freqs_to_keep: int = 10, trend_poly_degree: int = 1) -> tuple[int, Callable]:
+    s = waves.WaveSettings(nr_freqs_to_keep, trend_poly_degree)
+    return s.least_length, lambda ys, start, h, step: stacked(ys, s.least_length, lambda y: waves.strongest_waves(y, h, s), 8)
+
+
+def _complex(weights: Sequence[float] | None = None, **grid: Sequence[float]) -> tuple[int, Callable]:
+    s = waves.ComplexSettings(None if weights is None else tuple(weights), **{k: tuple(v) for k, v in grid.items()})
+    return 3, lambda ys, start, h, step: stacked(ys, 3, lambda y: waves.complex_smoothing(y, h, s))
+
+
+def _ensemble(model_id: str, forecasting_models: Sequence = (), origins: int = 3, horizon: int = 21) -> Ensemble:
+    """Members are models, or names, or pairs of a name and its settings."""
+    made = [make_model(m) if isinstance(m, str) else make_model(*m) if isinstance(m, (tuple, list)) else m for m in forecasting_models]
+    return Ensemble(model_id, tuple(distinct_ids(made)), positive("origins", origins), positive("horizon", horizon))
+
+
+ETS_WIDTH = 64  # candidate weights that are carried side by side, for the size of a stack
+
 # Public names of the models, and settings that only steer local threads or optimisers.
 ARRAY_MODELS: dict[str, Callable[..., tuple[int, Callable]]] = {
     "NaiveMean": _naive_mean,
@@ -194,7 +253,14 @@ ARRAY_MODELS: dict[str, Callable[..., tuple[int, Callable]]] = {
     "Prophet": _decomposed,
     "XGBModel": _boosted_trees,
     "RandomForest": _forest,
+    "Theta": _theta_model,
+    "FourTheta": _four_theta,
+    "AutoETS": _auto_ets,
+    "KalmanForecaster": _kalman,
+    "FFT": _waves,
+    "AutoCES": _complex,
 }
+COMBINED_MODELS = ("RegressionEnsembleModel",)
 POOLED_MODELS = ("PooledXGBModel", "PooledRandomForest")
 THREADS = {"nthread", "n_jobs"}
 DROPPED_SETTINGS = {"AutoARIMA": {"maxiter"}} | {name: THREADS for name in ("XGBModel", "RandomForest", *POOLED_MODELS)}
@@ -210,7 +276,7 @@ def dropped_settings(model: str, params: dict | None) -> list[str]:
 
 
 def model_names() -> list[str]:
-    return sorted([*ARRAY_MODELS, *POOLED_MODELS])
+    return sorted([*ARRAY_MODELS, *COMBINED_MODELS, *POOLED_MODELS])
 
 
 def make_model(
@@ -231,13 +297,15 @@ def make_model(
             params.pop(name)
     if not isinstance(model, str):
         return Plugin(model_id or getattr(model, "__name__", type(model).__name__), model, tuple(params.items()))
-    if model not in ARRAY_MODELS and model not in POOLED_MODELS:
+    if model not in model_names():
         raise ValueError(f"unknown model {model!r}; known: {', '.join(model_names())}")
     for name in DROPPED_SETTINGS.get(model, ()):
         params.pop(name, None)
     if model in POOLED_MODELS:
         return tree_model(model.removeprefix("Pooled"), params, model_id or model)
     try:
+        if model in COMBINED_MODELS:
+            return _ensemble(model_id or model, **params)
         min_length, forecast = ARRAY_MODELS[model](**params)
     except TypeError as error:
         raise ValueError(f"bad settings for {model}: {error}") from None
@@ -316,6 +384,19 @@ def arima_orders(hist: DataFrame, spec: PanelSpec, settings: dict | None = None)
     return found.select(*spec.keys, *[f"run.{c}" for c in ("ar", "diff", "ma", "season_ar", "season_diff", "season_ma")])
 
 
+def chosen_forms(hist: DataFrame, spec: PanelSpec, model: str, settings: dict | None = None) -> DataFrame:
+    """The form that ``AutoETS``, ``Theta`` or ``FourTheta`` gives each series: ``keys…, form``, null for short series."""
+    if model == "AutoETS":
+        s = ets_settings(**(settings or {}))
+        run = stacked_named(F.col("ys"), s.least_length, lambda y: ets.forecast_block(y, 1, s), ETS_WIDTH)
+    elif model in ("Theta", "FourTheta"):
+        s = theta_settings(**((FOUR_THETA if model == "FourTheta" else {}) | (settings or {})))
+        run = stacked_named(F.col("ys"), s.least_length, lambda y: theta_kernel.forecast_block(y, 1, s), 2 + len(s.alphas))
+    else:
+        raise ValueError(f"{model!r} has no forms to choose from")
+    return hist.select(*spec.keys, run["name"].alias("form"))
+
+
 def plugin_report(hist: DataFrame, spec: PanelSpec, plugin: Plugin, steps: int) -> DataFrame:
     """One row per series: ``keys…, forecast, error``."""
     ran = plugin.attach(hist, spec, "ys", "start", steps, "forecast")
