@@ -8,9 +8,12 @@ meet actuals in a join.
 from __future__ import annotations
 
 from checks.datasets import DENSE, RECENT, SHORT, SPARSE, SUPPLIERS, WEEKLY, Dataset
+from panelcast.functions.ets import EtsSettings
 from panelcast.functions.smoothing import COARSE, FINE
 
 STEPS = 21
+DAMPED = EtsSettings(forms=("AAdA",), weights=(0.3, 0.05, 0.1, 0.9))
+SEARCHED = EtsSettings(refine=False)
 
 
 def panel(d: Dataset) -> str:
@@ -399,6 +402,192 @@ def seasonal_arima(d: Dataset, h: int, src: str, name: str, m: int = 7, turns: i
     {name} AS (SELECT {k}, s, yb[1] AS v FROM {name}_r WHERE s > 0)"""
 
 
+def theta(d: Dataset, h: int, src: str, name: str, thetas: tuple, modes: tuple, m: int = 7) -> str:
+    """Additive season where its autocorrelation stands out, theta lines smoothed by recursion, the least one-step error."""
+    k, half = d.keys, m // 2
+    forms = " UNION ALL ".join(
+        f"SELECT {i} AS form, CAST({q} AS DOUBLE) AS q, '{mode}' AS mode" for i, (mode, q) in enumerate((mode, q) for mode in modes for q in thetas)
+    )
+    lagged = ", ".join(f"SUM(e * LAG_{j}) / SUM(e * e) AS r{j}" for j in range(1, m + 1))
+    return f"""{name}_e AS (SELECT {k}, i, n, y, y - AVG(y) OVER (PARTITION BY {k}) AS e FROM {src}),
+    {name}_a AS (
+      SELECT {k}, n, {lagged} FROM (
+        SELECT *, {', '.join(f'COALESCE(LAG(e, {j}) OVER w, 0) AS LAG_{j}' for j in range(1, m + 1))} FROM {name}_e WINDOW w AS (PARTITION BY {k} ORDER BY i))
+      GROUP BY {k}, n),
+    {name}_s AS (
+      SELECT {k}, r{m} > 1.645 * SQRT((1 + 2 * ({' + '.join(f'r{j} * r{j}' for j in range(1, m))})) / n) AS seasonal FROM {name}_a),
+    {name}_p AS (
+      SELECT {k}, place, CASE WHEN seasonal THEN p - AVG(p) OVER (PARTITION BY {k}) ELSE 0 END AS p FROM (
+        SELECT {k}, (i - 1) % {m} AS place, AVG(y - trend) AS p FROM (
+          SELECT {k}, i, n, y, AVG(y) OVER (PARTITION BY {k} ORDER BY i ROWS BETWEEN {half} PRECEDING AND {half} FOLLOWING) AS trend FROM {src})
+        WHERE i > {half} AND i <= n - {half} GROUP BY {k}, (i - 1) % {m}) JOIN {name}_s USING ({k})),
+    {name}_z AS (
+      SELECT {k}, i, n, y - p AS z FROM (SELECT *, (i - 1) % {m} AS place FROM {src}) JOIN {name}_p USING ({k}, place)),
+    {name}_l AS (
+      SELECT {k}, n, MIN(z) > 0 AS above, REGR_SLOPE(z, i) AS b, REGR_INTERCEPT(z, i) AS a,
+        REGR_SLOPE(CASE WHEN z > 0 THEN LN(z) END, i) AS lb, REGR_INTERCEPT(CASE WHEN z > 0 THEN LN(z) END, i) AS la
+      FROM {name}_z GROUP BY {k}, n),
+    {name}_f AS (
+      SELECT {k}, n, form, q, CASE WHEN mode = 'exponential' AND above THEN 1 ELSE 0 END AS bent, a, b, la, lb FROM {name}_l, ({forms})),
+    {name}_t AS (
+      SELECT {k}, i, n, form, q, z, trend, q * z + (1 - q) * trend AS away FROM (
+        SELECT {k}, i, n, form, q, z, CASE bent WHEN 1 THEN EXP(la + lb * i) ELSE a + b * i END AS trend
+        FROM {name}_z JOIN (SELECT {k}, form, q, bent, a, b, la, lb FROM {name}_f) USING ({k}))),
+    {name}_r AS (
+      SELECT {k}, form, n, i, alpha, away AS level, CAST(0 AS DOUBLE) AS sse, ABS(z - ((1 - 1 / q) * trend + away / q)) AS off
+      FROM {name}_t, (SELECT CAST(UNNEST([{', '.join(str(round(0.05 * j, 2)) for j in range(1, 20))}]) AS DOUBLE) AS alpha) WHERE i = 1
+      UNION ALL
+      SELECT {k}, form, x.n, x.i, r.alpha, r.level + r.alpha * (x.away - r.level), r.sse + POW(x.away - r.level, 2),
+        r.off + ABS(x.z - ((1 - 1 / x.q) * x.trend + r.level / x.q))
+      FROM {name}_r r JOIN {name}_t x USING ({k}, form) WHERE x.i = r.i + 1),
+    {name}_b AS (
+      SELECT * FROM (SELECT * FROM {name}_r WHERE i = n QUALIFY ROW_NUMBER() OVER (PARTITION BY {k}, form ORDER BY sse, alpha) = 1)
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY ROUND(off / n, 9), form) = 1),
+    {name} AS (
+      SELECT {k}, s, (1 - 1 / q) * CASE bent WHEN 1 THEN EXP(la + lb * (n + s)) ELSE a + b * (n + s) END + level / q + p AS v
+      FROM (SELECT {k}, form, n, level, s, (n + s - 1) % {m} AS place FROM {name}_b, {steps(h)}) JOIN (SELECT {k}, form, q, bent, a, b, la, lb FROM {name}_f) USING ({k}, form)
+        JOIN {name}_p USING ({k}, place))"""
+
+
+def state_space(d: Dataset, src: str, name: str, settings: EtsSettings) -> str:
+    """``<name>_b``: form and final states with the least AICc; every form and every weight in one recursion."""
+    k, m = d.keys, settings.season
+    rows = []
+    for j, (error, trend, season) in enumerate(settings.wanted):
+        for a, b, g, phi in settings.grid(trend, season).T:
+            size = 3 + 2 * (trend != "N") + (trend == "Ad") + m * (season != "N")
+            rows.append(f"({j}, 'ETS({error},{trend},{season})', '{error}', '{trend[:1]}', '{season}', {a}, {b}, {g}, {phi}, {size})")
+    ratio = "CASE season WHEN 'M' THEN"
+    return f"""{name}_w AS (
+      SELECT * FROM (VALUES {', '.join(rows)}) AS w(form, label, error, trend, season, wa, wb, wg, phi, size)),
+    {name}_0 AS (
+      SELECT {k}, n, LIST(y ORDER BY i) FILTER (i <= {m}) AS ys, MIN(y) > 0 AS above,
+        AVG(y) FILTER (i <= {m}) AS s1, AVG(y) FILTER (i > {m} AND i <= {2 * m}) AS s2,
+        AVG(y) FILTER (i <= 5) AS p1, AVG(y) FILTER (i > 5 AND i <= 10) AS p2
+      FROM {src} GROUP BY {k}, n),
+    {name}_r AS (
+      SELECT {k}, n, CAST(0 AS BIGINT) AS i, above, form, season, CAST(wa AS DOUBLE) AS wa, CAST(wb AS DOUBLE) AS wb, CAST(wg AS DOUBLE) AS wg, CAST(phi AS DOUBLE) AS phi,
+        CASE season WHEN 'N' THEN p1 ELSE s1 END AS l,
+        CASE WHEN trend = 'N' THEN 0 WHEN season = 'N' THEN (p2 - p1) / 5 ELSE (s2 - s1) / {m} END AS b,
+        list_transform(ys, lambda y: CASE season WHEN 'N' THEN 0 WHEN 'A' THEN y - s1 ELSE y / s1 END) AS c,
+        CAST(0 AS DOUBLE) AS sse, CAST(0 AS DOUBLE) AS rel, CAST(0 AS DOUBLE) AS logs, CAST('inf' AS DOUBLE) AS low
+      FROM {name}_0, {name}_w WHERE above OR (error = 'A' AND season <> 'M')
+      UNION ALL
+      SELECT {k}, n, i, above, form, season, wa, wb, wg, phi, base + wa * step, growth + wb * step,
+        list_append(c[2:], CASE season WHEN 'N' THEN 0 WHEN 'M' THEN c[1] + wg * e / base ELSE c[1] + wg * e END),
+        sse + e * e, rel + POW(e / fit, 2), logs + LN(ABS(fit)), LEAST(low, fit) FROM (
+          SELECT *, y - fit AS e, {ratio} (y - fit) / c[1] ELSE y - fit END AS step FROM (
+            SELECT *, {ratio} base * c[1] ELSE base + c[1] END AS fit FROM (
+              SELECT r.*, x.y, r.phi * r.b AS growth, r.l + r.phi * r.b AS base, x.i AS at_i
+              FROM {name}_r r JOIN {src} x USING ({k}) WHERE x.i = r.i + 1))))""".replace(
+        f"SELECT {k}, n, i, above, form, season, wa, wb, wg, phi, base + wa", f"SELECT {k}, n, at_i, above, form, season, wa, wb, wg, phi, base + wa"
+    ) + f""",
+    {name}_b AS (
+      SELECT {k}, n, label, season, l, b, c, phi FROM (
+        SELECT r.*, label, error, size, CASE error WHEN 'A' THEN n * LN(sse / n) WHEN 'M' THEN n * LN(rel / n) + 2 * logs END
+          + 2 * size + 2 * size * (size + 1) / GREATEST(n - size - 1, 1) AS score
+        FROM {name}_r r JOIN (SELECT DISTINCT form, label, error, size FROM {name}_w) USING (form)
+        WHERE i = n AND (error = 'A' OR low > 0))
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY score, form) = 1)"""
+
+
+def auto_ets(d: Dataset, h: int, src: str, name: str, settings: EtsSettings) -> str:
+    m = settings.season
+    total = "list_sum(list_transform(range(1, s + 1), lambda j: POW(phi, j)))"
+    return f"""{state_space(d, src, name, settings)},
+    {name} AS (
+      SELECT {d.keys}, s, CASE season WHEN 'M' THEN (l + b * {total}) * c[(s - 1) % {m} + 1] ELSE l + b * {total} + c[(s - 1) % {m} + 1] END AS v
+      FROM {name}_b, {steps(h)})"""
+
+
+def local_level(d: Dataset, h: int, src: str, name: str, r: float, q: float) -> str:
+    """The filter of a level that walks at random, with given variances of the scaled values."""
+    k = d.keys
+    return f"""{name}_z AS (
+      SELECT {k}, i, n, centre, size, (y - centre) / size AS z FROM (
+        SELECT *, AVG(y) OVER (PARTITION BY {k}) AS centre, STDDEV_POP(y) OVER (PARTITION BY {k}) AS size FROM {src})),
+    {name}_r AS (
+      SELECT {k}, i, n, centre, size, 1e6 / (1e6 + {r}) * z AS x, 1e6 - 1e6 / (1e6 + {r}) * 1e6 AS p FROM {name}_z WHERE i = 1
+      UNION ALL
+      SELECT {k}, i, n, centre, size, x + wide / (wide + {r}) * (z - x), wide - wide / (wide + {r}) * wide FROM (
+        SELECT {k}, z.i, z.n, z.centre, z.size, z.z, r.x, r.p + {q} AS wide FROM {name}_r r JOIN {name}_z z USING ({k}) WHERE z.i = r.i + 1)),
+    {name} AS (SELECT {k}, s, centre + size * x AS v FROM {name}_r, {steps(h)} WHERE i = n)"""
+
+
+def strongest_waves(d: Dataset, h: int, src: str, name: str, keep: int) -> str:
+    """The largest terms of the discrete Fourier sum of what a line leaves, added up again past the end."""
+    k = d.keys
+    angle = "2 * PI() * f * (i - 1) / n"
+    return f"""{name}_l AS (SELECT {k}, REGR_SLOPE(y, i) AS slope, REGR_INTERCEPT(y, i) AS start FROM {src} GROUP BY {k}),
+    {name}_z AS (SELECT {k}, i, n, y - start - slope * i AS z FROM {src} JOIN {name}_l USING ({k})),
+    {name}_f AS (
+      SELECT {k}, n, f, SUM(z * COS({angle})) AS a, SUM(z * SIN({angle})) AS b
+      FROM (SELECT *, UNNEST(range(1, n // 2 + 1)) AS f FROM {name}_z) GROUP BY {k}, n, f),
+    {name}_k AS (
+      SELECT *, CASE WHEN 2 * f = n THEN 1 ELSE 2 END AS twice FROM {name}_f
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY SQRT(a * a + b * b) * CASE WHEN 2 * f = n THEN 1 ELSE 2 END DESC) <= {keep}),
+    {name} AS (
+      SELECT {k}, s, start + slope * (n + s) + wave AS v FROM (
+        SELECT {k}, n, s, SUM(twice / n * (a * COS(2 * PI() * f * (s - 1) / n) + b * SIN(2 * PI() * f * (s - 1) / n))) AS wave
+        FROM {name}_k, {steps(h)} GROUP BY {k}, n, s) JOIN {name}_l USING ({k}))"""
+
+
+def complex_smoothing(d: Dataset, h: int, src: str, name: str, a0: float, a1: float) -> str:
+    """Level and potential as two real numbers, over the values and then past them."""
+    k = d.keys
+    return f"""{name}_r AS (
+      SELECT {k}, CAST(0 AS BIGINT) AS i, n, y AS l, y / 2 AS c FROM {src} WHERE i = 1
+      UNION ALL
+      SELECT {k}, i, n, l - (1 - {a1}) * c + ({a0} - {a1}) * e, l + (1 - {a0}) * c + ({a0} + {a1}) * e FROM (
+        SELECT {k}, x.i, x.n, r.l, r.c, x.y - r.l AS e FROM {name}_r r JOIN {src} x USING ({k}) WHERE x.i = r.i + 1)),
+    {name}_a AS (
+      SELECT {k}, 1 AS s, l, c FROM {name}_r WHERE i = n
+      UNION ALL SELECT {k}, s + 1, l - (1 - {a1}) * c, l + (1 - {a0}) * c FROM {name}_a WHERE s < {h}),
+    {name} AS (SELECT {k}, s, l AS v FROM {name}_a)"""
+
+
+def ensemble_weights(d: Dataset, src: str, name: str, origins: int, horizon: int, m: int = 7) -> str:
+    """``<name>_w(keys, w1, w2)``: naive seasonal and naive mean from earlier origins, solved in closed form."""
+    k = d.keys
+    return f"""{name}_o AS (SELECT *, n - j * {horizon} AS o FROM {src}, (SELECT UNNEST(range(1, {origins + 1})) AS j)),
+    {name}_x AS (
+      SELECT {k}, j, t.i, t.y, f1.y AS f1, mean AS f2
+      FROM {name}_o t JOIN (SELECT {k}, j, AVG(y) AS mean FROM {name}_o WHERE i <= o GROUP BY {k}, j) USING ({k}, j)
+        JOIN (SELECT {k}, j, i, y FROM {name}_o) f1 USING ({k}, j)
+      WHERE t.i > o AND t.i <= o + {horizon} AND f1.i = o - {m} + 1 + (t.i - o - 1) % {m}),
+    {name}_g AS (
+      SELECT {k}, SUM(f1 * f1) AS aa, SUM(f1 * f2) AS ab, SUM(f2 * f2) AS bb, SUM(f1 * y) AS ay, SUM(f2 * y) AS b_y
+      FROM {name}_x GROUP BY {k}),
+    {name}_w AS (
+      SELECT {k}, CASE WHEN u1 > 0 AND u2 > 0 THEN u1 WHEN ay > 0 AND (b_y <= 0 OR ay * ay / aa > b_y * b_y / bb) THEN ay / aa
+          WHEN b_y > 0 THEN 0 ELSE 0.5 END AS w1,
+        CASE WHEN u1 > 0 AND u2 > 0 THEN u2 WHEN ay > 0 AND (b_y <= 0 OR ay * ay / aa > b_y * b_y / bb) THEN 0
+          WHEN b_y > 0 THEN b_y / bb ELSE 0.5 END AS w2
+      FROM (SELECT *, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS u1, (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS u2 FROM {name}_g))"""
+
+
+def ensemble(d: Dataset, h: int, src: str, name: str, origins: int, horizon: int) -> str:
+    return f"""{ensemble_weights(d, src, name, origins, horizon)},
+    {naive_seasonal(d, h, src, f"{name}_1")}, {naive_mean(d, h, src, f"{name}_2")},
+    {name} AS (
+      SELECT {d.keys}, s, w1 * a.v + w2 * b.v AS v FROM {name}_1 a JOIN {name}_2 b USING ({d.keys}, s) JOIN {name}_w USING ({d.keys}))"""
+
+
+def warped(d: Dataset) -> str:
+    """``warp(model, keys, value)``: the table of path costs cell by cell, the last ``m + 1`` cells kept as [cost, steps]."""
+    k = f"model, {d.keys}"
+    none = "[CAST('inf' AS DOUBLE), 0]"
+    return f"""pairs AS (SELECT {k}, LIST(y ORDER BY t) AS ys, LIST(p ORDER BY t) AS ps, COUNT(*) AS m FROM joined GROUP BY {k}),
+    warp_r AS (
+      SELECT {k}, ys, ps, m, CAST(0 AS BIGINT) AS cell, list_append(list_transform(range(1, m + 1), lambda j: {none}), [CAST(0 AS DOUBLE), 0]) AS buf FROM pairs
+      UNION ALL
+      SELECT {k}, ys, ps, m, cell + 1, list_prepend([low[1] + ABS(ys[cell // m + 1] - ps[cell % m + 1]), low[2] + 1], buf[:m]) FROM (
+        SELECT *, list_min([CASE WHEN cell % m > 0 THEN buf[1] ELSE {none} END, CASE WHEN cell >= m THEN buf[m] ELSE {none} END,
+          CASE WHEN cell = 0 THEN buf[m + 1] WHEN cell > m AND cell % m > 0 THEN buf[m + 1] ELSE {none} END]) AS low
+        FROM warp_r WHERE cell < m * m)),
+    warp AS (SELECT {k}, buf[1][1] / buf[1][2] AS value FROM warp_r WHERE cell = m * m)"""
+
+
 def lag_trees(
     d: Dataset, h: int, src: str, name: str, lags: int, rounds: int, depth: int, rate: float, penalty: float, l1: float, floor: float
 ) -> str:
@@ -617,6 +806,12 @@ def oracle_sql() -> dict[str, str]:
         "arima_orders": f"""WITH RECURSIVE {panel(s)}, {history(s, 'full')}, {arima_orders(s, 'h', 'o')}
             SELECT {s.keys}, CAST(p AS INTEGER) AS ar, d AS diff, CAST(q AS INTEGER) AS ma, 0 AS season_ar, 0 AS season_diff, 0 AS season_ma
             FROM o_pick""",
+        "ets_forms": f"""WITH RECURSIVE {panel(p)}, {history(p, 'full')}, {state_space(p, 'h', 'e', SEARCHED)}
+            SELECT {p.keys}, label AS form FROM e_b""",
+        "ensemble_weights": f"""WITH {panel(s)}, {history(s, 'full')}, {ensemble_weights(s, 'h', 'e', 3, STEPS)}
+            SELECT {s.keys}, 'NaiveSeasonal' AS member, ROUND(w1, 6) AS weight FROM e_w
+            UNION ALL SELECT {s.keys}, 'NaiveMean', ROUND(w2, 6) FROM e_w""",
+        "metric_warped": f"""{dense_scores}, {warped(p)} SELECT model, {p.keys}, 'dtw_metric' AS metric, ROUND(value, 4) AS value FROM warp""",
         "tree_windows": f"""WITH {panel(s)}, {history(s, 'train')},
             scaled AS (SELECT {s.keys}, i, y / AVG(ABS(y)) OVER (PARTITION BY {s.keys}) AS y FROM h)
             SELECT COUNT(*) AS n_windows, ROUND(SUM(y), 3) AS labels, ROUND(SUM(l7), 3) AS oldest,
@@ -649,6 +844,14 @@ def oracle_sql() -> dict[str, str]:
         "fc_weekday_means": (s, "Prophet", weekday_means(s, STEPS, "h", "fc")),
         "fc_auto_arima": (s, "AutoARIMA", auto_arima(s, STEPS, "h", "fc")),
         "fc_seasonal_arima": (p, "ARIMA", seasonal_arima(p, STEPS, "h", "fc")),
+        "fc_theta": (p, "Theta", theta(p, STEPS, "h", "fc", (2.0,), ("linear",))),
+        "fc_four_theta": (p, "FourTheta", theta(p, STEPS, "h", "fc", (1.0, 2.0, 3.0), ("linear", "exponential"))),
+        "fc_damped": (p, "AutoETS", auto_ets(p, STEPS, "h", "fc", DAMPED)),
+        "fc_auto_ets": (p, "AutoETS", auto_ets(p, STEPS, "h", "fc", SEARCHED)),
+        "fc_local_level": (p, "KalmanForecaster", local_level(p, STEPS, "h", "fc", 0.8, 0.05)),
+        "fc_waves": (p, "FFT", strongest_waves(p, STEPS, "h", "fc", 10)),
+        "fc_complex_smoothing": (p, "AutoCES", complex_smoothing(p, STEPS, "h", "fc", 1.3, 0.98)),
+        "fc_ensemble": (s, "Ensemble", ensemble(s, STEPS, "h", "fc", 3, STEPS)),
         "fc_boosted_stumps": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 7, 5, 1, 0.3, 1, 25, 1)),
         "fc_boosted_trees": (p, "XGBModel", lag_trees(p, STEPS, "h", "fc", 5, 3, 2, 0.5, 10, 0, 30)),
         "fc_single_tree": (q, "RandomForest", lag_trees(q, STEPS, "h", "fc", 7, 1, 3, 1, 0, 0, 5)),

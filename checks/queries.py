@@ -14,6 +14,8 @@ from panelcast.functions.metrics import mape_eps, python_metric
 from panelcast.operators import models, scoring
 from panelcast.operators import panel as ops
 from panelcast.operators.compare import frame_diff, numbered
+from panelcast.operators.ensemble import Ensemble
+from panelcast.operators.ensemble import ensemble_weights as member_weights
 from panelcast.operators.models import Model, Plugin, forecast_rows, history, make_model, plugin_report
 from panelcast.operators.vectors import horizon, next_day
 from panelcast.plans import champion
@@ -323,6 +325,21 @@ def arima_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.arima_orders(history(SUPPLIERS.vectors(spark, sf_dir), SUPPLIERS.spec, "full"), SUPPLIERS.spec)
 
 
+def ets_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The form that the search over state-space forms chooses."""
+    return models.chosen_forms(history(DENSE.vectors(spark, sf_dir), DENSE.spec, "full"), DENSE.spec, "AutoETS", {"refine": False})
+
+
+def naive_ensemble() -> Ensemble:
+    return make_model("RegressionEnsembleModel", {"forecasting_models": [("NaiveSeasonal", {"K": 7}), "NaiveMean"], "horizon": STEPS}, "Ensemble")
+
+
+def ensemble_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each member counts for each supplier."""
+    hist = history(SUPPLIERS.vectors(spark, sf_dir), SUPPLIERS.spec, "full")
+    return rounded(member_weights(hist, SUPPLIERS.spec, naive_ensemble()), "weight", digits=6)
+
+
 # ----------------------------------------------------------------- plug-in queries
 
 
@@ -383,6 +400,16 @@ def queries() -> dict[str, Query]:
             make_model("Prophet", {"growth": "flat", "weekly": True, "yearly": False, "seasonality_prior_scale": NO_LIMIT}),
         ),
         "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
+        "fc_theta": forecast_of(DENSE, make_model("Theta", {"season_mode": "additive"})),
+        "fc_four_theta": forecast_of(DENSE, make_model("FourTheta", {"season_mode": "additive", "model_mode": "additive"})),
+        "fc_damped": forecast_of(DENSE, make_model("AutoETS", {"forms": ["AAdA"], "weights": (0.3, 0.05, 0.1, 0.9)})),
+        "fc_auto_ets": forecast_of(DENSE, make_model("AutoETS", {"refine": False})),
+        "ets_forms": ets_forms,
+        "fc_local_level": forecast_of(DENSE, make_model("KalmanForecaster", {"noise": (0.8, 0.05)})),
+        "fc_waves": forecast_of(DENSE, make_model("FFT", {"nr_freqs_to_keep": 10, "trend_poly_degree": 1})),
+        "fc_complex_smoothing": forecast_of(DENSE, make_model("AutoCES", {"weights": (1.3, 0.98)})),
+        "fc_ensemble": forecast_of(SUPPLIERS, naive_ensemble()),
+        "ensemble_weights": ensemble_weights,
         "fc_boosted_stumps": forecast_of(
             DENSE, make_model("XGBModel", {"n_estimators": 5, "max_depth": 1, "lambda": 1, "alpha": 25, "max_bin": EXACT_BINS})
         ),
@@ -405,6 +432,7 @@ def queries() -> dict[str, Query]:
         "metrics_long": metrics_of("rmse", "mae", "mape"),
         "metrics_extra": metrics_of("mse", "smape", "bias", "ope", "r2_score", "rmsle", "coefficient_of_variation", "marre"),
         "mape_epsilon": metrics_of(mape_eps(1.0)),
+        "metric_warped": metrics_of("dtw_metric"),
         "coverage": coverage,
         "best_model": best_model,
         "champion_mean_error": champion_mean_error,
