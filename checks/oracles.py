@@ -8,8 +8,10 @@ meet actuals in a join.
 from __future__ import annotations
 
 from checks.datasets import DENSE, RECENT, SHORT, SPARSE, SUPPLIERS, WEEKLY, Dataset
+from checks.queries import profiled_models
 from panelcast.functions.ets import EtsSettings
 from panelcast.functions.smoothing import COARSE, FINE
+from panelcast.operators.models import least_lengths
 
 STEPS = 21
 DAMPED = EtsSettings(forms=("AAdA",), weights=(0.3, 0.05, 0.1, 0.9))
@@ -588,6 +590,22 @@ def warped(d: Dataset) -> str:
     warp AS (SELECT {k}, buf[1][1] / buf[1][2] AS value FROM warp_r WHERE cell = m * m)"""
 
 
+def holiday_means(d: Dataset, h: int, src: str, name: str) -> str:
+    """Means of the plain days and of each kind of holiday, put on the days to come."""
+
+    def kind(t: str) -> str:
+        return f"""CASE WHEN day({t}) = c_nationkey % 24 + 1 THEN 'payday'
+          WHEN c_nationkey < 12 AND month({t}) = 12 AND day({t}) > 24 THEN 'year end' ELSE '' END"""
+
+    return f"""{name}_m AS (SELECT {d.keys}, {kind('t')} AS kind, AVG(y) AS v FROM {src} GROUP BY ALL),
+    {name}_d AS (
+      SELECT {d.keys}, s, {kind('t')} AS kind FROM (
+        SELECT DISTINCT {d.keys}, s, CAST(origin + CAST(s AS INTEGER) AS DATE) AS t FROM {src}, {steps(h)})),
+    {name} AS (
+      SELECT {d.keys}, s, COALESCE(m.v, p.v) AS v FROM {name}_d LEFT JOIN {name}_m m USING ({d.keys}, kind)
+        JOIN (SELECT {d.keys}, v FROM {name}_m WHERE kind = '') p USING ({d.keys}))"""
+
+
 def lag_trees(
     d: Dataset, h: int, src: str, name: str, lags: int, rounds: int, depth: int, rate: float, penalty: float, l1: float, floor: float
 ) -> str:
@@ -767,8 +785,7 @@ def oracle_sql() -> dict[str, str]:
               CAST(COUNT(*) FILTER (y <> 0) AS BIGINT) AS n_active, ROUND(SUM(y), 2) AS total,
               CAST(COUNT(*) AS BIGINT) AS n_points, CAST(COUNT(*) FILTER (split = 'train') AS BIGINT) AS n_train,
               ROUND(1 - COUNT(*) FILTER (y <> 0) / COUNT(*), 6) AS zero_share,
-              CONCAT_WS(',', CASE WHEN COUNT(*) FILTER (split = 'train') >= 2400 THEN 'long' END,
-                CASE WHEN COUNT(*) FILTER (split = 'train') >= 1 THEN 'short' END) AS eligible
+              CONCAT_WS(',', {', '.join(f"CASE WHEN COUNT(*) FILTER (split = 'train') >= {need} THEN '{m}' END" for m, need in sorted(least_lengths(profiled_models()).items()))}) AS eligible
             FROM panel GROUP BY {q.keys}, start""",
         "score_join": f"""{dense_scores} SELECT model, {p.keys}, t AS {t}, y AS {y}, ROUND(p, 4) AS prediction
             FROM joined""",
@@ -806,6 +823,10 @@ def oracle_sql() -> dict[str, str]:
         "arima_orders": f"""WITH RECURSIVE {panel(s)}, {history(s, 'full')}, {arima_orders(s, 'h', 'o')}
             SELECT {s.keys}, CAST(p AS INTEGER) AS ar, d AS diff, CAST(q AS INTEGER) AS ma, 0 AS season_ar, 0 AS season_diff, 0 AS season_ma
             FROM o_pick""",
+        "left_out": f"""WITH f AS (SELECT *, CAST({t} AS DATE) AS t, MIN(CAST({t} AS DATE)) OVER (PARTITION BY {w.keys}) AS start FROM lineitem
+              WHERE {t} >= DATE '{w.cut.start}' AND {t} < DATE '{w.cut.execution_date}')
+            SELECT {w.keys}, COUNT(*) AS n_rows, SUM({y}) AS total, MIN(t) AS first_day FROM f
+            WHERE t >= start + CAST((DATE '{w.cut.execution_date}' - start) // 7 * 7 AS INTEGER) GROUP BY {w.keys}""",
         "ets_forms": f"""WITH RECURSIVE {panel(p)}, {history(p, 'full')}, {state_space(p, 'h', 'e', SEARCHED)}
             SELECT {p.keys}, label AS form FROM e_b""",
         "ensemble_weights": f"""WITH {panel(s)}, {history(s, 'full')}, {ensemble_weights(s, 'h', 'e', 3, STEPS)}
@@ -844,6 +865,7 @@ def oracle_sql() -> dict[str, str]:
         "fc_weekday_means": (s, "Prophet", weekday_means(s, STEPS, "h", "fc")),
         "fc_auto_arima": (s, "AutoARIMA", auto_arima(s, STEPS, "h", "fc")),
         "fc_seasonal_arima": (p, "ARIMA", seasonal_arima(p, STEPS, "h", "fc")),
+        "fc_holidays": (q, "Prophet", holiday_means(q, STEPS, "h", "fc")),
         "fc_theta": (p, "Theta", theta(p, STEPS, "h", "fc", (2.0,), ("linear",))),
         "fc_four_theta": (p, "FourTheta", theta(p, STEPS, "h", "fc", (1.0, 2.0, 3.0), ("linear", "exponential"))),
         "fc_damped": (p, "AutoETS", auto_ets(p, STEPS, "h", "fc", DAMPED)),

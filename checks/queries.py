@@ -16,6 +16,7 @@ from panelcast.operators import panel as ops
 from panelcast.operators.compare import frame_diff, numbered
 from panelcast.operators.ensemble import Ensemble
 from panelcast.operators.ensemble import ensemble_weights as member_weights
+from panelcast.operators.holidays import with_holidays
 from panelcast.operators.models import Model, Plugin, forecast_rows, history, make_model, plugin_report
 from panelcast.operators.vectors import horizon, next_day
 from panelcast.plans import champion
@@ -170,8 +171,19 @@ def series_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.series_count(SPARSE.facts(spark, sf_dir), SPARSE.spec)
 
 
+def profiled_models() -> list[Model]:
+    """Models that need from one value to more than a series of the window has."""
+    return [
+        make_model("NaiveMean"),
+        make_model("ExponentialSmoothing"),
+        make_model("NaiveSeasonal", {"K": 2400}, "Long"),
+        make_model("AutoARIMA", {"m": 365, "seasonal_order": (6, 1, 1)}, "TooLong"),
+    ]
+
+
 def series_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    profile = ops.series_profile(SPARSE.daily(spark, sf_dir), SPARSE.spec, SPARSE.cut, {"short": 1, "long": 2400})
+    least = models.least_lengths(profiled_models())
+    profile = ops.series_profile(SPARSE.daily(spark, sf_dir), SPARSE.spec, SPARSE.cut, least)
     return profile.withColumns({"total": F.round("total", 2), "zero_share": F.round("zero_share", 6)})
 
 
@@ -325,6 +337,26 @@ def arima_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.arima_orders(history(SUPPLIERS.vectors(spark, sf_dir), SUPPLIERS.spec, "full"), SUPPLIERS.spec)
 
 
+def fc_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means of days and of holidays, which differ by nation: a day of each month, and the last week of the year for half of them."""
+    d = SPARSE
+    every = F.sequence(F.lit(d.cut.start), F.date_add(F.lit(d.cut.end), STEPS))
+    days = d.facts(spark, sf_dir).select("c_nationkey").distinct().select("c_nationkey", F.explode(every).alias("day"))
+    month_end = (F.col("c_nationkey") < 12) & (F.month("day") == 12) & (F.dayofmonth("day") > 24)
+    payday = F.dayofmonth("day") == F.col("c_nationkey") % 24 + 1
+    named = days.withColumn("name", F.when(payday, "payday").when(month_end, "year end")).filter("name IS NOT NULL")
+    vectors = with_holidays(d.vectors(spark, sf_dir), named, d.spec, d.cut, STEPS)
+    model = make_model(
+        "Prophet", {"growth": "flat", "weekly": False, "yearly": False, "holidays_prior_scale": NO_LIMIT, "holidays_column": "holidays"}
+    )
+    return rounded(forecast_rows(history(vectors, d.spec, "full", ["holidays"]), d.spec, [model], STEPS), d.spec.value)
+
+
+def left_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of the last, incomplete week of each series."""
+    return ops.left_out(WEEKLY.facts(spark, sf_dir), WEEKLY.spec, WEEKLY.cut)
+
+
 def ets_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The form that the search over state-space forms chooses."""
     return models.chosen_forms(history(DENSE.vectors(spark, sf_dir), DENSE.spec, "full"), DENSE.spec, "AutoETS", {"refine": False})
@@ -400,6 +432,8 @@ def queries() -> dict[str, Query]:
             make_model("Prophet", {"growth": "flat", "weekly": True, "yearly": False, "seasonality_prior_scale": NO_LIMIT}),
         ),
         "fc_decomposed": forecast_of(DENSE, make_model("Prophet")),
+        "fc_holidays": fc_holidays,
+        "left_out": left_out,
         "fc_theta": forecast_of(DENSE, make_model("Theta", {"season_mode": "additive"})),
         "fc_four_theta": forecast_of(DENSE, make_model("FourTheta", {"season_mode": "additive", "model_mode": "additive"})),
         "fc_damped": forecast_of(DENSE, make_model("AutoETS", {"forms": ["AAdA"], "weights": (0.3, 0.05, 0.1, 0.9)})),

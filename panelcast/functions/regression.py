@@ -32,6 +32,8 @@ class Decomposition:
     ``"auto"`` asks for two weeks of history for the weekly and 730 days for
     the yearly pattern. ``holidays`` holds (day, name) pairs, each name getting
     one effect of its own, and must reach into the forecast days to matter there.
+    ``holidays_column`` names an array column of such pairs, so that every series
+    has its own; each name is an effect of the series that has it.
     """
 
     growth: str = "linear"
@@ -46,6 +48,7 @@ class Decomposition:
     holidays_prior_scale: float = 10.0
     noise_scale: float = 0.1
     holidays: tuple[tuple[date, str], ...] = field(default=())
+    holidays_column: str | None = None
 
     def __post_init__(self) -> None:
         if self.growth not in ("linear", "flat"):
@@ -78,6 +81,33 @@ class Decomposition:
             add(np.isin(day, days).astype(float), self.holidays_prior_scale)
         return np.column_stack(columns), np.array(penalties)
 
+    def effects(self, first: int, n: int, step_days: int, days: list[list[tuple[int, str]]]) -> np.ndarray:
+        """Columns (series, steps, names) that are 1 in the steps that hold a holiday; series with fewer names have columns of 0."""
+        names = [sorted({name for _, name in own}) for own in days]
+        out = np.zeros((len(days), n, max(map(len, names), default=0)))
+        for i, own in enumerate(days):
+            for day, name in own:
+                at = (day - first) // step_days
+                if 0 <= at < n:
+                    out[i, at, names[i].index(name)] = 1.0
+        return out
+
+    def forecast_with(self, start: int, series: list[np.ndarray], days: list[list[tuple[int, str]]], steps: int, step_days: int) -> np.ndarray:
+        """As ``forecast``, each series with holidays of its own, whose effects are solved together with all others."""
+        n = len(series[0])
+        x, penalty = self.design(start + step_days * np.arange(n + steps, dtype=float), n)
+        own = self.effects(start, n + steps, step_days, days)
+        y = np.array(series, dtype=float)
+        scale = np.abs(y).max(axis=1, keepdims=True)
+        scale[scale == 0] = 1.0
+        whole = np.concatenate([np.broadcast_to(x, (len(y), *x.shape)), own], axis=2)
+        history = whole[:, :n].transpose(0, 2, 1)
+        ridge = np.concatenate([penalty, np.full(own.shape[2], (self.noise_scale / self.holidays_prior_scale) ** 2)])
+        gram = history @ history.transpose(0, 2, 1) + np.diag(ridge)
+        inverse = np.linalg.pinv(gram, rcond=gram.shape[-1] * np.finfo(float).eps, hermitian=True)
+        coefficients = inverse @ (history @ (y / scale)[..., None])
+        return (whole[:, n:] @ coefficients)[..., 0] * scale
+
     def forecast(self, start: int, series: list[np.ndarray], steps: int, step_days: int) -> np.ndarray:
         """Forecasts (series, steps) for series of one length that start on one epoch day."""
         n = len(series[0])
@@ -111,5 +141,28 @@ def decomposed(ys: Column, start: Column, steps: int, step_days: int, model: Dec
     return fit_and_forecast(ys, F.unix_date(start))
 
 
+def decomposed_with(ys: Column, start: Column, holidays: Column, steps: int, step_days: int, model: Decomposition) -> Column:
+    """Forecast array with each series' own holidays; series that share start and length share the other columns."""
+    plain = F.transform(holidays, lambda h: F.struct(F.unix_date(h["day"]).alias("day"), h["name"].alias("name")))
+
+    @F.pandas_udf("array<double>")
+    def fit_and_forecast(batch: pd.Series, first: pd.Series, days: pd.Series) -> pd.Series:
+        result = pd.Series([None] * len(batch), dtype=object)
+        alike: dict[tuple[int, int], list[int]] = {}
+        for i, (y, d) in enumerate(zip(batch, first)):
+            if y is not None and len(y) >= 2:
+                alike.setdefault((int(d), len(y)), []).append(i)
+        for (d, n), members in alike.items():
+            at_once = max(1, (1 << 22) // (80 * n))
+            for lo in range(0, len(members), at_once):
+                some = members[lo : lo + at_once]
+                own = [[(int(h["day"]), h["name"]) for h in (days.iloc[i] if days.iloc[i] is not None else ())] for i in some]
+                for i, row in zip(some, model.forecast_with(d, [batch.iloc[i] for i in some], own, steps, step_days)):
+                    result.iloc[i] = row
+        return result
+
+    return fit_and_forecast(ys, F.unix_date(start), plain)
+
+
 def holiday_pairs(holidays: Iterable[tuple[date, str]]) -> tuple[tuple[date, str], ...]:
     return tuple(sorted(set(holidays)))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from panelcast.functions import baselines, ets, kalman, waves
 from panelcast.functions import theta as theta_kernel
 from panelcast.functions.arima import ArimaSettings, arima
-from panelcast.functions.regression import Decomposition, decomposed, holiday_pairs
+from panelcast.functions.regression import Decomposition, decomposed, decomposed_with, holiday_pairs
 from panelcast.functions.smoothing import COARSE, FINE, holt_winters
 from panelcast.functions.stacks import stacked, stacked_named
 from panelcast.functions.trees import TreeSettings, boosting_settings, forest_settings, lag_trees
@@ -166,8 +166,10 @@ def _linear_lags(lags: int = 7) -> tuple[int, Callable]:
 
 def _decomposed(holidays: Sequence | None = None, **settings: Any) -> tuple[int, Callable]:
     if "country_holidays" in settings:
-        raise ValueError("no holiday calendar is built in: pass holidays=[(day, name), …] instead of country_holidays")
+        raise ValueError("no holiday calendar is built in: pass holidays=[(day, name), …] or holidays_column instead of country_holidays")
     model = Decomposition(holidays=holiday_pairs(holidays or ()), **settings)
+    if column := model.holidays_column:
+        return 2, lambda ys, start, h, step: decomposed_with(ys, start, F.col(column), h, step, model)
     return 2, lambda ys, start, h, step: decomposed(ys, start, h, step, model)
 
 
@@ -312,6 +314,11 @@ def make_model(
     return ArrayModel(model_id or model, min_length, forecast)
 
 
+def least_lengths(models: Sequence[Model]) -> dict[str, int]:
+    """Values that a series needs for each model."""
+    return {m.model_id: m.min_length for m in distinct_ids(models)}
+
+
 def distinct_ids(models: Sequence[Model]) -> Sequence[Model]:
     ids = [m.model_id for m in models]
     if not ids or len(set(ids)) != len(ids):
@@ -350,12 +357,12 @@ def attach_all(df: DataFrame, spec: PanelSpec, fits: Sequence[Fit]) -> DataFrame
     return df
 
 
-def history(vectors: DataFrame, spec: PanelSpec, which: str) -> DataFrame:
-    """``keys…, start, ys`` with the training values (``train``) or all of them (``full``)."""
+def history(vectors: DataFrame, spec: PanelSpec, which: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``keys…, start, ys, carry…`` with the training values (``train``) or all of them (``full``)."""
     if which not in ("train", "full"):
         raise ValueError(f"history must be 'train' or 'full', got {which!r}")
     ys = train_part() if which == "train" else F.col("ys")
-    return vectors.select(*spec.keys, "start", ys.alias("ys")).filter(F.size("ys") > 0)
+    return vectors.select(*spec.keys, "start", ys.alias("ys"), *carry).filter(F.size("ys") > 0)
 
 
 def forecast_arrays(hist: DataFrame, spec: PanelSpec, models: Sequence[Model], steps: int) -> DataFrame:

@@ -95,6 +95,23 @@ def on_grid(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     )
 
 
+def left_out(facts: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
+    """``keys…, n_rows, total, first_day``: the facts of each series that ``on_grid`` leaves out, series without any not listed.
+
+    They lie in the window, but in a period that reaches past the execution date.
+    """
+    day = F.col(spec.time).cast("date").alias(spec.time)
+    days = clip(facts, spec, cut).groupBy(*spec.keys, day).agg(F.count(F.lit(1)).alias("n"), F.sum(spec.value).alias(spec.value))
+    first = F.min(spec.time).over(Window.partitionBy(*spec.keys))
+    beyond = F.date_add(last_point(F.col("first_day"), spec, cut), spec.step_days)
+    return (
+        days.withColumn("first_day", first)
+        .filter(F.col(spec.time) >= beyond)
+        .groupBy(*spec.keys)
+        .agg(F.sum("n").alias("n_rows"), F.sum(spec.value).alias("total"), F.min(spec.time).alias("first_day"))
+    )
+
+
 def gap_fill(daily: DataFrame, spec: PanelSpec, cut: Cutoffs) -> DataFrame:
     """Give each series a row on every grid point from its own first day to the end.
 
