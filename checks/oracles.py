@@ -812,6 +812,20 @@ def oracle_sql() -> dict[str, str]:
           FROM panel GROUP BY {SPARSE.keys}
           HAVING COUNT(*) FILTER (WHERE split = 'train') = 0 OR COUNT(*) FILTER (WHERE split = 'test' AND y <> 0) = 0""",
         "workflow_tables": f"{champion} {chosen}",
+        "workflow_no_forecast": f"""WITH {panel(q)}, f AS (
+            SELECT {q.keys}, COUNT(*) FILTER (split = 'train') AS n_train, MAX(CASE WHEN i = n THEN y END) AS last,
+              COALESCE(MAX(CASE WHEN t = DATE '{q.cut.train_end}' THEN y END), 0) AS last_train, COUNT(*) FILTER (split = 'test' AND y <> 0) AS n_test
+            FROM panel GROUP BY {q.keys})
+          SELECT {q.keys}, CASE WHEN last = 0 THEN 'Picky: ValueError: ends idle' WHEN n_train = 0 THEN 'Picky: needs 1 values'
+            WHEN last_train = 0 THEN 'Picky: ValueError: ends idle' ELSE 'no model has a defined mape on the test days' END AS reason
+          FROM f WHERE last = 0 OR last_train = 0 OR n_test = 0""",
+        "workflow_log": f"""WITH RECURSIVE {champion_parts(p, STEPS)}, {metrics(p, ['mape'])}, {best(p, 'mape')}
+          SELECT step, CASE step WHEN 'evaluate' THEN 'mape' END AS metric, CASE step WHEN 'evaluate' THEN value END AS value, 21 AS test_size
+          FROM (SELECT UNNEST(['create_database', 'ingest', 'split', 'model', 'evaluate']) AS step), (SELECT ROUND(AVG(value), 4) AS value FROM best)""",
+        "table_description": f"""WITH {panel(p)}, counts AS (SELECT COUNT(l_returnflag) AS a, COUNT(l_linestatus) AS b, COUNT(t) AS c, COUNT(y) AS d FROM daily)
+          SELECT 'l_returnflag' AS "column", 'string' AS type, a AS n_values, TRUE AS in_place FROM counts
+          UNION ALL SELECT 'l_linestatus', 'string', b, TRUE FROM counts
+          UNION ALL SELECT '{t}', 'date', c, TRUE FROM counts UNION ALL SELECT '{y}', 'double', d, TRUE FROM counts""",
         "forecast_on_test": f"""WITH RECURSIVE {champion_parts(p, STEPS)}
             SELECT model, {p.keys}, t AS {t}, ROUND(v, 4) AS {y} FROM tested""",
         "all_models_forecast": f"""WITH RECURSIVE {champion_parts(s, STEPS)}

@@ -305,16 +305,45 @@ def champion_usual_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(champion.best_forecast(run, SUPPLIERS.spec), SUPPLIERS.spec.value)
 
 
-def workflow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ran_workflow(d: Dataset, models: list[Model], spark: SparkSession, sf_dir: str) -> Workflow:
     """The table-to-table workflow on bucketed tables in a database of its own."""
-    d = SUPPLIERS
     name = f"panelcast_{uuid.uuid4().hex}"
     folder = f"{shared_folder(spark)}/{name}"
     facts = d.facts(spark, sf_dir).withColumn(d.spec.time, F.col(d.spec.time).cast("date"))
     facts.write.csv(f"{folder}/facts", header=True)
     flow = Workflow(name, d.spec, d.cut, steps=STEPS, buckets=8, location=f"{folder}/db")
-    flow.run(spark, f"{folder}/facts", facts.schema, light_models())
-    return rounded(tables.read_table(spark, name, "forecast"), d.spec.value)
+    flow.run(spark, f"{folder}/facts", facts.schema, models)
+    return flow
+
+
+def workflow_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flow = ran_workflow(SUPPLIERS, light_models(), spark, sf_dir)
+    return rounded(tables.read_table(spark, flow.database, "forecast"), SUPPLIERS.spec.value)
+
+
+def workflow_no_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series that end without a forecast, with the plug-in's own words where it failed."""
+    flow = ran_workflow(SPARSE, [Plugin("Picky", picky_factory(), on_error="report")], spark, sf_dir)
+    return tables.read_table(spark, flow.database, "no_forecast")
+
+
+def workflow_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of a run, what each of them has logged and the mean error of the chosen models."""
+    flow = ran_workflow(DENSE, light_models(), spark, sf_dir)
+    log = tables.read_table(spark, flow.database, "run_log").filter(F.col("run_id") == flow.run_id)
+    return log.select("step", "metric", F.round("value", 4).alias("value"), F.col("params")["test_size"].cast("int").alias("test_size"))
+
+
+def table_description(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns, types and place of a table of daily sums, and the values that each column holds."""
+    d, name = DENSE, f"panelcast_{uuid.uuid4().hex}"
+    tables.create_database(spark, name, f"{shared_folder(spark)}/{name}")
+    tables.write_table(d.daily(spark, sf_dir), name, "daily")
+    info = tables.table_info(spark, name, "daily")
+    stored = tables.read_table(spark, name, "daily")
+    counts = stored.agg(*[F.count(c).alias(c) for c in stored.columns]).unpivot([], stored.columns, "column", "n_values")
+    kinds = F.create_map(*[F.lit(x) for c in stored.columns for x in (c, info[c])])
+    return counts.select("column", kinds[F.col("column")].alias("type"), "n_values", F.lit(info["Database"] == name).alias("in_place"))
 
 
 def tree_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -479,4 +508,7 @@ def queries() -> dict[str, Query]:
         "all_models_forecast": all_models_forecast,
         "champion_usual_models": champion_usual_models,
         "workflow_tables": workflow_tables,
+        "workflow_no_forecast": workflow_no_forecast,
+        "workflow_log": workflow_log,
+        "table_description": table_description,
     }

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators.scoring import series_join
 from panelcast.spec import Cutoffs, PanelSpec, positive
 
 COLUMN = "holidays"
@@ -32,8 +33,4 @@ def with_holidays(vectors: DataFrame, holidays: DataFrame, spec: PanelSpec, cut:
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set(pairs)).alias(COLUMN))
     )
-    renamed = known.withColumnsRenamed({k: f"__{k}" for k in keys})
-    match = F.lit(True)
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return vectors.join(renamed, match, "left").drop(*[f"__{k}" for k in keys])
+    return series_join(vectors, known, keys, "left")

@@ -26,6 +26,17 @@ def same_series(left: DataFrame, right: DataFrame, on: Sequence[str], keys: Sequ
     return left.join(renamed, match, "inner").drop(*[f"__{c}" for c in on])
 
 
+def series_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_keys: bool = True) -> DataFrame:
+    """Join of any kind on the series ``keys``, with the columns of ``left`` and the others of ``right``."""
+    if not null_keys:
+        return left.join(right, list(keys), how)
+    renamed = right.withColumnsRenamed({k: f"__{k}" for k in keys})
+    match = F.lit(True)
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    return left.join(renamed, match, how).drop(*[f"__{k}" for k in keys])
+
+
 def score_join(test: DataFrame, forecast: DataFrame, spec: PanelSpec, null_keys: bool = True) -> DataFrame:
     """Actual and ``prediction`` side by side for the days both frames have."""
     predicted = forecast.select("model", *spec.keys, spec.time, F.col(spec.value).alias("prediction"))

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from panelcast.functions.metrics import Metric, resolve
 from panelcast.operators.models import Model
 from panelcast.operators.panel import filter_keys, make_panel, only
-from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, fully_scored, metrics_long, score_join
+from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, fully_scored, metrics_long, score_join, series_join
 from panelcast.operators.vectors import series_vectors
 from panelcast.plans import champion
 from panelcast.sources import tables
@@ -92,10 +92,10 @@ class Workflow:
         self._log(spark, "split")
 
     def model(self, spark: SparkSession, models: Sequence[Model]) -> None:
-        """Table ``split`` to ``forecast_on_test`` and ``all_models_forecast``.
+        """Table ``split`` to ``forecast_on_test``, ``all_models_forecast`` and ``runs``.
 
         Fits on the training days and on all days. All models share one pass
-        over the arrays, whose results are kept in the shared folder for both
+        over the arrays, whose results are kept in the shared folder for all
         tables; only the models' own ``model`` partitions are replaced.
         """
         vectors = series_vectors(self._read(spark, "split"), self.spec, self.cut)
@@ -104,20 +104,21 @@ class Workflow:
         for table, rows in (
             ("forecast_on_test", champion.forecast_on_test(tested, self.spec)),
             ("all_models_forecast", champion.all_models_forecast(tested, self.spec)),
+            ("runs", champion.run_errors(tested, self.spec)),
         ):
-            tables.create_table(
-                spark, self.database, table, rows.schema, ["model"], self.spec.keys, [self.spec.time], self.buckets
-            )
+            sort = [self.spec.time] if self.spec.time in rows.columns else []
+            tables.create_table(spark, self.database, table, rows.schema, ["model"], self.spec.keys, sort, self.buckets)
             tables.overwrite_partitions(rows, self.database, table)
         self._log(spark, "model", models=",".join(m.model_id for m in models))
 
     def evaluate(self, spark: SparkSession) -> float | None:
-        """Forecast tables to ``metrics``, ``best_models`` and ``forecast``; returns the mean error.
+        """Forecast tables to ``metrics``, ``best_models``, ``forecast`` and ``no_forecast``; returns the mean error.
 
         Each table is written once and the next one is derived from what is
         stored. Only models that cover every test day of a series are scored,
         so forecasts of a run with other days do not compete, and only days
-        after the window are forecast.
+        after the window are forecast. ``no_forecast`` lists the series without
+        one, with the errors that plug-ins reported or what else is the reason.
         """
         spec = self.spec
         # Tables bucketed on the keys may be joined on (keys, day) without a shuffle.
@@ -137,6 +138,7 @@ class Workflow:
                 F.col(spec.time) > F.date_sub(F.lit(self.cut.execution_date), spec.step_days)
             )
             self._replace(champion_forecast(ahead, best, spec, null_keys), "forecast")
+            self._replace(self._without(spark, null_keys), "no_forecast", sort=False)
         error = champion_mean_error(best).first()["mean_error"]
         self._log(spark, "evaluate", metric=self.select_on, value=error)
         return error
@@ -153,6 +155,19 @@ class Workflow:
 
     # -------------------------------------------------------------- helpers
 
+    def _without(self, spark: SparkSession, null_keys: bool) -> DataFrame:
+        """Rows ``keys…, reason`` of the series in ``split`` that have no row in ``forecast``."""
+        keys = list(self.spec.keys)
+        failed = F.sort_array(F.collect_list(F.concat("model", F.lit(": "), "error")))
+        errors = self._read(spark, "runs").groupBy(*keys).agg(F.array_join(failed, "; ").alias("errors"))
+        scored = self._read(spark, "metrics").groupBy(*keys).agg(F.count(F.lit(1)).alias("scores"))
+        missing = self._read(spark, "split").select(*keys).distinct()
+        missing = series_join(missing, self._read(spark, "forecast").select(*keys).distinct(), keys, "left_anti", null_keys)
+        missing = series_join(missing, errors, keys, "left", null_keys)
+        missing = series_join(missing, scored, keys, "left", null_keys)
+        other = F.when(F.col("scores").isNull(), champion.TOO_FEW).otherwise(champion.undefined(self.select_on))
+        return missing.select(*keys, F.coalesce(F.nullif("errors", F.lit("")), other).alias("reason"))
+
     def _read(self, spark: SparkSession, table: str) -> DataFrame:
         return tables.read_table(spark, self.database, table)
 

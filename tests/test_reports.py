@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from panelcast import Cutoffs, Workflow, make_model
+from panelcast import Cutoffs, Plugin, Workflow, make_model
 from panelcast.functions.metrics import METRICS
 from panelcast.functions.arima import ArimaSettings, forecast_block
 from panelcast.operators import scoring
@@ -70,6 +70,53 @@ def test_series_without_a_champion_are_reported(spark):
     assert {r.store for r in champion.best_forecast(tested, SPEC).collect()} == {1}
 
 
+class Fussy:
+    def fit(self, series):
+        if series.iloc[-1] == 0:
+            raise ValueError("ends idle")
+        self.level = series.iloc[-1]
+
+    def predict(self, n):
+        return [self.level] * n
+
+
+@pytest.mark.parametrize("null_keys", [False, True])
+def test_workflow_lists_what_has_no_forecast(spark, tmp_path, null_keys):
+    database = f"missing_{int(null_keys)}"
+    series = [
+        days(FIRST, range(1, 31)),
+        days(FIRST, [5.0] * 29 + [0.0], store=2),
+        days(FIRST, [5.0] * 26 + [0.0] * 3 + [5.0], store=3),
+        days(FIRST + timedelta(days=27), [1, 2, 3], store=None if null_keys else 4),
+    ]
+    lines = ["store,item,date,sales"] + [f"{'' if s is None else s},{i},{t},{y}" for part in series for s, i, t, y in part]
+    (tmp_path / "facts.csv").write_text("\n".join(lines))
+    flow = Workflow(database, SPEC, Cutoffs(FIRST + timedelta(days=30), 400, 4), steps=2, metrics=("mape",), buckets=4)
+    models = [Plugin("Fussy", Fussy, on_error="report")]
+    flow.run(spark, str(tmp_path / "facts.csv"), "store int, item int, date date, sales double", models)
+    want = [(2, 1, "Fussy: ValueError: ends idle"), (None if null_keys else 4, 1, "Fussy: needs 1 values")]
+    assert rows(tables.read_table(spark, database, "no_forecast")) == sorted(want, key=repr)
+    assert tables.read_table(spark, database, "runs").filter("error IS NULL").count() == 2
+    # a run without the fault forgets it
+    flow.model(spark, [make_model("NaiveMean"), make_model("NaiveDrift", model_id="Fussy")])
+    flow.evaluate(spark)
+    left = rows(tables.read_table(spark, database, "no_forecast"))
+    assert left == [(None if null_keys else 4, 1, "too few training days for every model")]
+    if not null_keys:
+        with tables.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            assert "Exchange " not in flow._without(spark, False)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reports_give_the_errors_of_plugins(spark):
+    vectors = vectors_of(spark, days(FIRST, range(1, 31)), days(FIRST, [5.0] * 30 + [0.0], store=2), test_size=5)
+    tested = champion.backtest(vectors, SPEC, [Plugin("Fussy", Fussy, on_error="report")], 5, 3)
+    assert rows(champion.no_forecast(tested.withColumn("best", F.lit(None)), SPEC)) == [
+        (1, 1, "Fussy: ValueError: ends idle"),
+        (2, 1, "Fussy: ValueError: ends idle"),
+    ]
+    assert champion.metrics_table(tested, SPEC).select("metric").distinct().count() == 3
+
+
 def test_leftovers_of_a_run_with_other_days_do_not_compete(spark, tmp_path):
     database = "123"  # a name that only quoting lets through
     facts = tmp_path / "facts.csv"
