@@ -14,6 +14,7 @@ import sys
 from array import array
 from itertools import count
 
+import numpy as np
 import regex
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,6 +45,10 @@ class WordEncoder:
         self.word_limit = word_limit
         self.known: dict[str, bytes] = {" ": b""}  # stands for a text's first word, which has no space before it
         self.pieces: dict[str, list[int]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.with_space = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids whose token begins with a space
+        for token, i in vocabulary.items():
+            self.with_space[i] = token.startswith(self.letters[32])
 
     def _ids(self, text: str) -> bytes:
         """Ids of a text or word, piece by piece of the splitting pattern."""
@@ -60,6 +65,19 @@ class WordEncoder:
             codes.byteswap()
         return codes.tobytes()
 
+    def _new(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words that begin and end with a visible character and hold no space, each with the space before it.
+
+        They are encoded as one text: it is cut before each of its spaces, and
+        every token that begins with a space begins a word.
+        """
+        ids = np.array(self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        begins = np.flatnonzero(self.with_space[ids])
+        if len(begins) != len(words) or begins[0]:
+            return {w: self._ids(" " + w) for w in words}
+        raw, edges = ids.tobytes(), [*(4 * begins).tolist(), 4 * len(ids)]
+        return {w: raw[a:b] for w, a, b in zip(words, edges, edges[1:])}
+
     def encode(self, text: str) -> bytes:
         """Ids of the whole text."""
         words = text.split(" ")
@@ -73,7 +91,7 @@ class WordEncoder:
             # A word with white space at an end, or an empty one: the cut before its space is not certain.
             if any(not w or w[0].isspace() or w[-1].isspace() for w in missing):
                 return self._ids(text)
-            new = {w: self._ids(" " + w) for w in missing}
+            new = self._new(list(missing))
             if len(known) + len(new) <= self.word_limit:
                 known.update(new)
             found = [new[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
