@@ -8,11 +8,12 @@ Both ratios are laid over the blocks in page order, smoothed with a Gaussian,
 multiplied, more under article or main, and paths above a threshold, a share of the spread of the page's
 values, hold the content. Elements that never hold an article (scripts, forms,
 navigation and the like, by tag or role, and what is hidden) are left out
-before. The words of class and id are a hint only: an element named like an
-advert or a sidebar is left out if it holds a small share of the page's
-unlinked text; in a larger one, which may be the layout around the article,
-ratios are lowered. Ids of headings and sections are their
-titles and name nothing.
+before. An element whose class or id is a listed word, such as an advert, a
+sidebar or reader comments, is left out unless the article, or the page's title
+with most of its text, begins inside it. A name that has a listed word in it is a hint only: a small
+element goes, in a larger one, which may be the layout around the article,
+ratios are lowered. Ids of headings and sections are their titles and name
+nothing. A form goes unless it frames the layout of the page or is mostly text.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong "
     "sub sup time tt u var".split()
 )
-APART = frozenset("nav header footer aside form button select menu dialog fieldset head".split())
+APART = frozenset("nav header footer aside button select menu dialog fieldset head".split())
+LAYOUT = frozenset("article main nav header footer aside h1".split())  # a form around one of these is the frame of a page
+CONTROLS = frozenset("input select textarea button".split())
 PROSE = frozenset("ul ol dl blockquote pre table figure".split())  # what stands among paragraphs
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = frozenset(
@@ -58,11 +61,14 @@ NAMED_APART = frozenset(
     "teaser toc toolbar topbar tracking widget widgets alert contentinfo complementary search dialog".split()
 )
 ARTICLE_TAGS = frozenset("article main".split())
-_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|$)|'[^']*(?:'|$))*)(?:>|$))", re.S)
+# A quotation mark only opens a value right after the equals sign.
+_TAG = re.compile(
+    r"<(?:!--(?:-?>|.*?(?:--!?>|$))|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?>[^>=]|=\s*\"[^\"]*(?:\"|$)|=\s*'[^']*(?:'|$)|=)*+)(?:>|$))", re.S
+)
 _ATTRIBUTE = re.compile(r"([^\s=>/\"']+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|$)|'([^']*)(?:'|$)|([^\s>]*)))?|\"[^\"]*(?:\"|$)|'[^']*(?:'|$)")
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _MARKS = re.compile(r"[.,;:!?、。，！？]")
-_SPACE = re.compile(r"[ \t\n\r\f\v ]+")
+_SPACE = re.compile(r"\s+")
 
 
 @dataclass
@@ -70,7 +76,7 @@ class Block:
     text: str
     path: tuple[str, ...]
     linked: int  # characters inside links
-    named: tuple[int, ...] = ()  # open elements whose names say that they are not the article
+    named: tuple[int, ...] = ()  # open elements whose names say that they are not the article, and forms
 
     @property
     def way(self) -> tuple:
@@ -88,6 +94,7 @@ class Block:
 
 # Shares of a page's unlinked text above which an element is not left out for its name: named in part, named wholly.
 SMALL = (0.25, 0.5)
+WORDY = 400  # unlinked characters for each control from which on a form is text
 LOWERED = 0.25  # of the fused ratio inside a larger element with such a name
 MARKED = 10.0  # times the fused ratio under article or main
 SLUGS = frozenset("section article main".split()) | HEADINGS
@@ -125,11 +132,40 @@ def _named(tag: str, attributes: dict[str, str]) -> int:
     return level
 
 
+@dataclass
+class Doubtful:
+    """An element that may or may not be apart: by its name (``level`` 1 or 2), a form, or one that is never closed."""
+
+    level: int
+    form: bool = False
+    around: bool = False  # an article or main begins inside
+    title: bool = False  # an h1 begins inside
+    layout: bool = False  # parts of a page's layout begin inside
+    controls: int = 0
+
+
 def blocks_of(page: str) -> list[Block]:
-    """Text blocks in page order, outside of what is set apart."""
+    """Text blocks in page order, outside of what is set apart.
+
+    An element set apart by its tag that no tag of its own closes would take the
+    rest of the page with it; the page is then read again with the element in
+    doubt, like one set apart by its name.
+    """
+    unclosed: set[int] = set()
+    while True:
+        blocks, elements, more = _read(page, unclosed)
+        if more <= unclosed:
+            return without_apart(blocks, elements)
+        unclosed |= more
+
+
+def _read(page: str, unclosed: set[int]) -> tuple[list[Block], list[Doubtful], set[int]]:
+    """Blocks, the doubtful elements by number (from 1), and the places of apart elements that only the end of the page closes."""
     found: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # block elements that are open, whether each is apart, its number if named so
-    levels: list[int] = [0]  # of named elements by number
+    stack: list[tuple[str, bool, int]] = []  # block elements that are open, whether each is apart, its number if doubtful
+    starts: list[int] = []  # where each of them begins
+    elements = [Doubtful(0)]
+    open_ended: set[int] = set()
     pieces: list[str] = []
     linked, in_link, apart = 0, False, 0
 
@@ -142,16 +178,22 @@ def blocks_of(page: str) -> list[Block]:
             pieces.clear()
         linked = 0
 
-    def close_to(depth: int) -> None:
+    def close_to(depth: int, page_ends: bool = False) -> None:
         nonlocal apart
         flush()
         while len(stack) > depth:
-            apart -= stack.pop()[1]
+            tag, out, _ = stack.pop()
+            start = starts.pop()
+            apart -= out
+            if page_ends and out and tag in APART:
+                open_ended.add(start)
 
     at, size = 0, len(page)
     while at < size:
         m = _TAG.search(page, at)
         chunk = page[at : m.start()] if m else page[at:]
+        if stack and stack[-1][0] == "head" and not chunk.isspace() and chunk:
+            close_to(len(stack) - 1)  # text ends a head that no tag has closed
         if chunk and not apart:
             pieces.append(chunk)
             linked += len(chunk) * in_link
@@ -161,6 +203,9 @@ def blocks_of(page: str) -> list[Block]:
         closing, tag, attributes = m[1], (m[2] or "").lower(), m[3] or ""
         if not tag:
             continue
+        if tag in CONTROLS and not closing:
+            for _, _, n in stack:
+                elements[n].controls += 1
         if tag in RAW:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|$)", re.I).search(page, at)
@@ -170,10 +215,12 @@ def blocks_of(page: str) -> list[Block]:
             if tag == "a":
                 in_link = not closing
             held = {} if closing or not attributes.strip() else _attributes(attributes)
-            if held and (_apart(tag, held) or _named(tag, held) == 2) and not attributes.endswith("/"):
-                in_link = False if tag == "a" else in_link
-                end = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(page, at)
-                at = end.end() if end else at
+            if held and not attributes.endswith("/"):
+                out, named = _apart(tag, held), _named(tag, held) == 2
+                end = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(page, at) if out or named else None
+                if end and (out or ("".join(pieces).strip() == "" and not _text_follows(page, end.end()))):
+                    in_link = False if tag == "a" else in_link
+                    at = end.end()
             continue
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -185,12 +232,16 @@ def blocks_of(page: str) -> list[Block]:
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == tag:
-                    close_to(depth)
+                    close_to(depth, tag in ("body", "html"))
                     break
             else:
                 flush()
             continue
         flush()
+        for depth, (t, _, _) in enumerate(stack):  # what a new part of the page ends, its own end tag missing
+            if (t == "head" and tag != "head") or (t in ("nav", "header", "footer", "aside") and tag == "main") or (t == "nav" and tag == "article"):
+                close_to(depth)
+                break
         if tag in CLOSES_P and any(t == "p" for t, _, _ in stack[-3:]):
             depth = max(i for i, (t, _, _) in enumerate(stack) if t == "p")
             close_to(depth)
@@ -209,28 +260,57 @@ def blocks_of(page: str) -> list[Block]:
             out = tag != "body" and tag != "html" and _apart(tag, held)
             if tag == "header" and any(t in ARTICLE_TAGS for t, _, _ in stack):
                 out = False  # an article's own heading
+            doubt = out and tag in APART and m.start() in unclosed
+            out = out and not doubt
             level = _named(tag, held) if held else 0
-            if level:
-                levels.append(level)
-            stack.append((tag, out, len(levels) - 1 if level else 0))
+            for _, _, n in stack:
+                elements[n].around |= tag in ARTICLE_TAGS
+                elements[n].title |= tag == "h1"
+                elements[n].layout |= tag in LAYOUT
+            if level or doubt or tag == "form":
+                elements.append(Doubtful(max(level, int(doubt)), tag == "form"))
+            stack.append((tag, out, len(elements) - 1 if level or doubt or tag == "form" else 0))
+            starts.append(m.start())
             apart += out
-    flush()
-    return without_small_named(found, levels)
+    close_to(0, True)
+    return found, elements, open_ended
 
 
-def without_small_named(blocks: list[Block], levels: list[int]) -> list[Block]:
-    """``blocks`` outside of elements that are named apart and hold little of the text; larger ones may surround the article."""
-    inside = [0] * len(levels)
+def _text_follows(page: str, at: int) -> bool:
+    """Whether the block goes on with text after ``at``."""
+    return bool(re.compile(r"(?:\s|</?(?:" + "|".join(INLINE) + r")\b[^>]*>)*[^<\s]", re.I).match(page, at))
+
+
+def without_apart(blocks: list[Block], elements: list[Doubtful]) -> list[Block]:
+    """``blocks`` outside of doubtful elements that hold none of the article.
+
+    A form is one if it frames no part of a page's layout and has a control for
+    every few words. A name of listed words alone says enough, at any size,
+    unless the article begins inside the element, or the page's title with most of
+    its text, or nothing else is left; a name with a listed word in it does in a
+    small element only.
+    """
+    inside = [0] * len(elements)
     for b in blocks:
         for n in b.named:
             inside[n] += b.unlinked
     total = sum(b.unlinked for b in blocks)
-    small = [n > 0 and inside[n] <= SMALL[levels[n] - 1] * total for n in range(len(levels))]
-    articles = [b for b in blocks if b.marked]
-    around = {n for b in articles for n in b.named}
-    for n in range(1, len(levels)):  # beside an article a whole name says enough
-        small[n] |= bool(articles) and levels[n] == 2 and n not in around
-    rest = [b for b in blocks if not any(small[n] for n in b.named)]
+
+    def dropped(n: int, whole_names: bool) -> bool:
+        e = elements[n]
+        if e.form and not e.layout and inside[n] < WORDY * max(1, e.controls):
+            return True
+        if not e.level or e.around or (e.title and 2 * inside[n] > total):
+            return False
+        return (whole_names and e.level == 2) or inside[n] <= SMALL[e.level - 1] * total
+
+    for whole_names in (True, False):
+        out = {n for n in range(1, len(elements)) if dropped(n, whole_names)}
+        rest = [b for b in blocks if out.isdisjoint(b.named)]
+        if any(b.unlinked for b in rest):
+            break
+    for b in rest:  # only names lower what is left
+        b.named = tuple(n for n in b.named if elements[n].level)
     return rest
 
 

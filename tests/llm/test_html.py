@@ -44,6 +44,49 @@ def test_a_named_layout_around_the_article_keeps_it():
             assert got.startswith("The story") and got.count(LONG) == 3 and "apart" not in got
 
 
+STORY = f"<h1>The story</h1><p>{LONG}</p><p>{LONG}</p>"
+
+
+def test_pages_with_missing_ends_and_frames_keep_their_story():
+    for page in (
+        f"<html><head><title>x</title><body>{STORY}</body></html>",
+        f"<head><title>x</title><meta charset=utf-8>{STORY}",
+        f"<body><form method=post action='/p'><input type=hidden value=1><div><h1>The story</h1></div><p>{LONG}</p><p>{LONG}</p></form></body>",
+        f"<body><form><header>Zzz, top.</header><div>{STORY}</div><footer>Zzz, end.</footer></form></body>",
+        f"<article><h1>The story</h1><p title=it's>{LONG}</p><p data-a=x\"y>{LONG}</p></article>",
+        f"<body><nav><a href=/>Home</a><main>{STORY}</main></body>",
+        f"<body><nav><ul><li><a href=/>Home</a></li></ul><div>{STORY}</div></body>",
+        f"<body><header><p>Site</p><div><article>{STORY}</article></div>",
+        f"<body><!-- a --!><article>{STORY}</article><!--> <p>x",
+    ):
+        got = main_text(page)
+        assert got.count(LONG) == 2 and "The story" in got, page
+        assert "Home" not in got and "Zzz" not in got
+
+
+def test_forms_go_at_any_place():
+    for form in ("<form><label>Name</label><input><p>Sign up, please, and get news.</p></form>", "<form><p>Search, here.</p></form>"):
+        assert main_text(f"<body><article>{STORY}{form}</article>{form}</body>") == f"The story\n\n{LONG}\n\n{LONG}"
+
+
+def test_reader_comments_go_at_any_size():
+    comment = f"<div class=comment><b>Ann</b><p>{LONG} I say so, too.</p></div>"
+    for n in (1, 6, 40):
+        for box in ("<div id=comments>", '<section class="comments">', '<div class="reader-comments replies">'):
+            for page in (f"<main>{STORY}{box}{comment * n}</div></section></main>", f"<main>{STORY}</main>{box}{comment * n}"):
+                got = main_text(page)
+                assert got == f"The story\n\n{LONG}\n\n{LONG}", (n, box)
+
+
+def test_listed_names_inside_a_sentence_keep_it_whole():
+    assert "see a share of it" in main_text(f"<article><p>{LONG}</p><p>{LONG} see <span class='share'>a share</span> of it</p></article>")
+    assert "Buy" not in main_text(f"<article><p>{LONG}</p><p><span class='ad'>Buy now, cheap.</span></p><p>{LONG}</p></article>")
+
+
+def test_all_white_space_is_folded():
+    assert main_text("<article><p>one\u2003\u3000two\u00a0\n three</p></article>") == "one two three"
+
+
 def test_what_is_hidden_is_left_out():
     for start in ("<p hidden>", "<p HIDDEN=''>", '<p aria-hidden="true">', "<p style='display: none'>", '<div role="search">'):
         assert "unseen" not in main_text(f"<article><p>{LONG}</p>{start}unseen</article>")
