@@ -2,8 +2,10 @@
 
 Every document gets a Poisson number of copies whose mean is its source's
 repetition rate; the number comes from inverting the Poisson distribution at a
-hash of the id, so that it is the same on every run and needs no state. Copies
-are laid out in the order of another hash.
+hash of id and text, so that it is the same on every run and needs no state.
+Rows that share both are numbered and draw apart. Copies are laid out in the
+order of another hash; its digits are uniform, so the ranges of the shuffle are
+cut without looking at the rows first.
 """
 
 from __future__ import annotations
@@ -37,6 +39,27 @@ def poisson_at(u: Column, mean: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), zero, step, lambda state: state["k"])
 
 
+def told_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__key``, a string for each row: id, hash of the text, and a tie where rows share both.
+
+    Only such rows are shuffled for it: equal ones are counted, each task its
+    own first, and numbered as they are written out again.
+    """
+    text = F.md5(whole_text())
+    named = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "__text": text})
+    shared = spool(named.groupBy("__id", "__text").count().filter("count > 1").select("__id", "__text"))
+    alone = named.withColumn("__key", F.concat_ws(":", "__id", "__text", F.lit("")))
+    if not shared.isEmpty():
+        rest = named.join(shared, ["__id", "__text"], "left_semi")
+        whole = F.struct(*[F.col(f"`{c}`") for c in named.columns])
+        counted = rest.groupBy(F.md5(F.to_json(whole)).alias("__row")).agg(F.any_value(whole).alias("__one"), F.count(F.lit(1)).alias("__n"))
+        numbered = counted.withColumn("__tie", F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))))
+        key = F.concat_ws(":", "__one.__id", "__one.__text", "__row", F.col("__tie").cast("string"))
+        alone = alone.join(shared, ["__id", "__text"], "left_anti").select(*docs.columns, "__key")
+        alone = alone.unionByName(numbered.select(*[F.col(f"__one.`{c}`").alias(c) for c in docs.columns], key.alias("__key")))
+    return alone.select(*docs.columns, "__key")
+
+
 def copies(key: Column, mean: Column, seed: int) -> Column:
     """Poisson number of copies of the document ``key`` names."""
     parts = F.greatest(F.ceil(mean / F.lit(PIECE)), F.lit(1)).cast("int")
@@ -73,16 +96,19 @@ def mix(
 
     The rates, a row per source, meet the documents in a plain join, which
     Spark turns into a broadcast where the written table is small, and which
-    otherwise is split where a source is hot. Null sources are a source, null
-    ids share one draw, as do repeated rows; null texts weigh 1 byte, an empty
-    table gives no rows. Columns of ``docs`` with the names of the new ones are
-    replaced.
+    otherwise is split where a source is hot. Null sources are a source; rows
+    with null or repeated ids draw apart, also where their texts are equal;
+    null texts weigh 1 byte, an empty table gives no rows. Columns of ``docs``
+    with the names of the new ones are replaced.
     """
     added = ["mix_copy", "mix_copies", "mix_rate", "mix_key"]
     docs = docs.drop(*added)
-    rates = source_rates(docs, weights, alpha, epochs)
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    drawn = docs.join(rates, docs["source"].eqNullSafe(rates["mix_source"])).withColumn("mix_copies", copies(key, F.col("mix_rate"), seed))
+    rates = source_rates(docs, weights, alpha, epochs).select(F.col("mix_source").alias("__mix_source"), "mix_rate")
+    named = told_apart(docs)
+    drawn = named.join(rates, named["source"].eqNullSafe(rates["__mix_source"])).withColumn("mix_copies", copies(F.col("__key"), F.col("mix_rate"), seed))
     repeated = drawn.filter("mix_copies > 0").withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
-    keyed = repeated.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-place"), key, F.col("mix_copy").cast("string"))))
-    return keyed.repartitionByRange("mix_key").sortWithinPartitions("mix_key").select(*docs.columns, *added)
+    keyed = repeated.withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"{seed}-place"), "__key", F.col("mix_copy").cast("string"))))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.expr(f"CAST(CAST(CONV(SUBSTRING(mix_key, 1, 8), 16, 10) AS BIGINT) * {parts} DIV 4294967296 AS INT)")
+    ranged = keyed.repartitionById(parts, place)
+    return ranged.sortWithinPartitions("mix_key").select(*docs.columns, *added)

@@ -33,20 +33,20 @@ below AS (
     SUM(exp(-rate / parts) * pow(rate / parts, k) / gamma(k + 1)) OVER (PARTITION BY s ORDER BY k) AS cdf
   FROM terms),
 draws AS (
-  SELECT doc_id, source, CAST(UNNEST(generate_series(1, CAST(parts AS BIGINT))) AS INTEGER) AS i, rate
+  SELECT doc_id, COALESCE(CAST(doc_id AS VARCHAR), 'null') || ':' || md5(COALESCE(text, '')) || ':' AS key, source, CAST(UNNEST(generate_series(1, CAST(parts AS BIGINT))) AS INTEGER) AS i, rate
   FROM documents JOIN means ON source IS NOT DISTINCT FROM s),
 numbers AS (
-  SELECT doc_id, source, rate, i,
-    (CAST('0x' || substr(md5('17:' || COALESCE(CAST(doc_id AS VARCHAR), 'null') || ':' || i), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  SELECT doc_id, key, source, rate, i,
+    (CAST('0x' || substr(md5('17:' || key || ':' || i), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
   FROM draws),
 counted AS (
-  SELECT doc_id, n.source, n.rate, CAST(SUM((SELECT COUNT(*) FROM below b WHERE b.s IS NOT DISTINCT FROM n.source AND b.cdf < n.u AND b.k < 60)) AS INTEGER) AS mix_copies
-  FROM numbers n GROUP BY doc_id, n.source, n.rate),
+  SELECT doc_id, key, n.source, n.rate, CAST(SUM((SELECT COUNT(*) FROM below b WHERE b.s IS NOT DISTINCT FROM n.source AND b.cdf < n.u AND b.k < 60)) AS INTEGER) AS mix_copies
+  FROM numbers n GROUP BY doc_id, key, n.source, n.rate),
 rows AS (
-  SELECT doc_id, ROUND(rate, 6) AS mix_rate, mix_copies, CAST(UNNEST(generate_series(1, mix_copies)) AS INTEGER) AS mix_copy
+  SELECT doc_id, key, ROUND(rate, 6) AS mix_rate, mix_copies, CAST(UNNEST(generate_series(1, mix_copies)) AS INTEGER) AS mix_copy
   FROM counted)
 SELECT d.*, r.mix_rate, r.mix_copies, r.mix_copy,
-  md5('17-place:' || COALESCE(CAST(d.doc_id AS VARCHAR), 'null') || ':' || r.mix_copy) AS mix_key
+  md5('17-place:' || r.key || ':' || r.mix_copy) AS mix_key
 FROM documents d JOIN rows r USING (doc_id)
 """
 

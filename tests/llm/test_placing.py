@@ -68,6 +68,24 @@ def test_mixing_keeps_rows_whole(spark, awkward):
     assert mix(docs.limit(0)).count() == 0 and byte_shards(docs.limit(0)).count() == 0
 
 
+def test_null_and_repeated_ids_draw_apart(spark):
+    rows = [(None, f"text {i}", "s") for i in range(2000)] + [(None, "one text", "t")] * 2000 + [(7, "same", "u")] * 2000
+    docs = spark.createDataFrame([(*r, "mine") for r in rows], "doc_id long, text string, source string, mix_source string").repartition(3)
+    got = mix(docs, {"s": 1, "t": 1, "u": 1}).collect()
+    n, size = collections.Counter(r.source for r in got), sum(len(t) + 1 for _, t, _ in rows)
+    for source, texts in (("s", [t for _, t, k in rows if k == "s"]), ("t", ["one text"] * 2000), ("u", ["same"] * 2000)):
+        mean = 2000 * size / 3 / sum(len(t) + 1 for t in texts)
+        assert abs(n[source] - mean) < 6 * mean**0.5
+    assert {r.mix_source for r in got} == {"mine"} and len({r.mix_key for r in got}) == len(got)
+    again = mix(docs.repartition(5), {"s": 1, "t": 1, "u": 1}).collect()
+    assert sorted((r.text, r.mix_key) for r in again) == sorted((r.text, r.mix_key) for r in got)
+
+
+def test_copies_come_in_the_order_of_their_keys(spark):
+    keys = [r.mix_key for r in mix(make_docs(spark, [(i, f"text {i}") for i in range(300)]), epochs=2.0).collect()]
+    assert len(keys) > 400 and keys == sorted(keys)
+
+
 def test_mixing_runs_without_python(spark, awkward):
     plan = mix(make_docs(spark, awkward))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
