@@ -38,6 +38,15 @@ def test_words_give_the_ids_of_the_whole_text(awkward):
             assert np.frombuffer(own.encode(text), "<u4").tolist() == plain_ids(text), text
 
 
+def test_every_kind_of_character_gives_the_ids_of_the_library():
+    own = encoder()
+    for lo in range(0, 0x110000, 997):  # a step that is prime to the blocks of the table of characters
+        for c in range(lo, min(lo + 3, 0x110000)):
+            if not 0xD800 <= c < 0xE000:
+                text = f"a{chr(c)}b 1{chr(c)} {chr(c)}{chr(c)}! {chr(c)} "
+                assert np.frombuffer(own.encode(text), "<u4").tolist() == plain_ids(text), hex(c)
+
+
 def unrolled(runs):
     sequences = collections.defaultdict(list)
     for length, first, last, sequence, each, offset in runs:
