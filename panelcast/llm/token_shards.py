@@ -200,7 +200,9 @@ def shard_checksums(spark: SparkSession, index: DataFrame, folder: str, length:
                 columns = [pa.array([shard] * len(sums), pa.int32()), pa.array(range(len(sums)), pa.int64()), pa.array(sums, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["shard", "record", "ids_crc32"])
 
-    return index.select("shard").distinct().mapInArrow(summed, "shard int, record long, ids_crc32 long")
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
+    # By their own number, as sizes of numbers would put all shards into one task.
+    return index.select("shard").distinct().repartition(shards, "shard").mapInArrow(summed, "shard int, record long, ids_crc32 long")
 
 
 def token_shards(docs: DataFrame, folder: str, length: int = LENGTH, key: int = 2029, shard_bytes: int = SHARD_BYTES) -> DataFrame:
