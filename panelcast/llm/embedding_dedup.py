@@ -89,8 +89,10 @@ def unit_classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     schema = "node long, vec_id long, copies long, unit binary, dims int"
     classes = spool(numbered.select("node", F.col("vec_id").cast("long"), "copies", "v").mapInArrow(units, schema))
-    placed = rows.join(numbered.select("v", "node"), "v", "left").select(F.col("vec_id").cast("long"), "node")
-    return spool(placed), classes
+    # Unusable vectors share a null and stay out of the join, where they would meet in one task.
+    placed = rows.filter("v IS NOT NULL").join(numbered.select("v", "node"), "v").select(F.col("vec_id").cast("long"), "node")
+    alone = rows.filter("v IS NULL").select(F.col("vec_id").cast("long"), F.lit(None).cast("long").alias("node"))
+    return spool(placed.unionByName(alone)), classes
 
 
 def sorted_neighbours(classes: DataFrame, how: Descent, turn: int, tables: int) -> DataFrame:
@@ -304,20 +306,26 @@ def true_links(classes: DataFrame, of: DataFrame, how: Descent) -> DataFrame:
     return spool(made.groupBy("node").agg(F.sum("truth").alias("truth")))
 
 
-def audited_recall(classes: DataFrame, members: DataFrame, counts: DataFrame, how: Descent) -> float:
-    """The mean share of a vector's links that was found, outside of ``members`` or inside, whichever is lower."""
-    lowest = 1.0
+def audited_recall(classes: DataFrame, members: DataFrame, counts: DataFrame, how: Descent) -> float | None:
+    """The mean share of a vector's links that was found, outside of ``members`` or inside, whichever is lower.
+
+    None if no audited vector has a link: then nothing was measured.
+    """
+    lowest = None
     for side in ("left_anti", "left_semi"):
         truth = true_links(classes, classes.join(members, "node", side), how).filter("truth > 0")
         share = F.least(F.coalesce("links", F.lit(0)), F.col("truth")) / F.col("truth")
         mean = truth.join(counts, "node", "left").agg(F.avg(share)).first()[0]
-        lowest = lowest if mean is None else min(lowest, float(mean))
+        if mean is not None:
+            lowest = float(mean) if lowest is None else min(lowest, float(mean))
     return lowest
 
 
 def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row of ``vectors`` and ``audit_recall``, the same in all rows.
 
+    ``audit_recall`` is null where no audited vector has a link.
+
     Defined results: null or empty vectors, those with null or non-finite
     components and zero vectors have no links and are kept; only vectors of one
     length are compared; repeated rows and equal vectors are linked; null ids
@@ -330,7 +338,7 @@ def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
     while passes > goes * how.tables:  # a go at a time, to hold few copies of the vectors at once
         found = sorted_neighbours(classes, how, goes, min(how.tables, passes - goes * how.tables)).withColumn("round", F.lit(0))
         pairs, goes = merged(found if pairs is None else pairs.unionByName(found)), goes + 1
-    last, recall = 0, 1.0
+    last, recall = 0, None
     for turn in range(how.repeats + 1):
         for _ in range(how.rounds):
             lists = spool(neighbour_lists(pairs, how))
@@ -351,7 +359,7 @@ def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
         outside = listed.join(members, "node", "left_anti")
         counts = spool(outside.unionByName(tile_links(members, classes, how)))
         recall = audited_recall(classes, members, counts, how)
-        if recall >= how.recall:
+        if recall is None or recall >= how.recall:
             break
         if turn == how.repeats:
             joined, counts = all_links(classes, roots, how)
@@ -364,12 +372,13 @@ def near_vectors(vectors: DataFrame, how: Descent = Descent()) -> DataFrame:
     named = named.withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("vec_id").alias("component_id"))
     known = named.join(names, "root").select("node", "component_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = placed.join(known, "node", "left")
+    out = placed.filter("node IS NOT NULL").join(known, "node", "left")
+    out = out.unionByName(placed.filter("node IS NULL"), allowMissingColumns=True)
     component = F.when(F.col("node").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
     return out.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.col("vec_id").eqNullSafe(component).alias("kept"),
-        F.lit(recall).alias("audit_recall"),
+        F.lit(recall).cast("double").alias("audit_recall"),
     )

@@ -211,6 +211,14 @@ def test_links_of_a_hot_group_do_not_hide_lost_pairs(spark):
     assert {r.audit_recall for r in got} == {1.0}
 
 
+def test_a_recall_that_nothing_measured_is_null(spark):
+    x = np.random.default_rng(5).normal(size=(40, 32))
+    df = spark.createDataFrame([(i, list(map(float, v))) for i, v in enumerate(x)] + [(90, None), (None, None)], "vec_id long, embedding array<double>")
+    got = near_vectors(df).collect()
+    assert {r.audit_recall for r in got} == {None} and {r.n_links for r in got} == {0}
+    assert sorted(map(str, (r.vec_id for r in got))) == sorted(map(str, [*range(40), 90, None])) and all(r.kept for r in got)
+
+
 def test_sorted_passes_grow_with_the_table():
     assert Descent().passes(0) == Descent().tables
     assert Descent().passes(20_000) > 12 and Descent().passes(1_000_000) > 1.5 * Descent().passes(20_000)
