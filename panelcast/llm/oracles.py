@@ -52,13 +52,24 @@ FROM documents d JOIN rows r USING (doc_id)
 
 
 def crc32(text: str) -> str:
-    """CRC-32 of an ASCII string, bit by bit: DuckDB has no function for it."""
+    """CRC-32 of a string's UTF-8 bytes, bit by bit: DuckDB has no function for it."""
     bit = "lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END"
     byte = f"lambda c, b: list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), {bit})"
-    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    codes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), {byte}), CAST(4294967295 AS BIGINT))"
 
 
+SHARDING = f"""
+WITH sized AS (
+  SELECT doc_id, CAST(octet_length(encode(COALESCE(text, ''))) + 1 AS BIGINT) AS size, {crc32("COALESCE(text, '')")} AS text_crc32 FROM documents),
+summed AS (SELECT *, CAST(SUM(size) OVER (ORDER BY doc_id) - size AS BIGINT) AS first_byte, SUM(size) OVER () AS total FROM sized),
+cut AS (SELECT *, CAST((CAST(2 * first_byte + size AS HUGEINT) * 16) // (2 * total) AS INTEGER) AS shard FROM summed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, ROW_NUMBER() OVER (PARTITION BY shard ORDER BY first_byte) - 1 AS slot,
+  CAST(NULL AS INTEGER) AS grown_shard, first_byte
+FROM cut
+"""
+
+
 def _sized(column: str) -> str:
     return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen(CAST({column} AS VARCHAR)) || ':' || {column} END"
 
@@ -186,6 +197,7 @@ LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM a.conv_id
 def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": EXACT_DEDUP,
+        "op9_sharding": SHARDING,
         "op10_mixing": MIXING,
         "op11_merkle_manifest": merkle(),
         "op13_conversation_repair": conversations(),
