@@ -13,7 +13,6 @@ from checks import oracles, queries
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="tables are missing")
 QUERIES, SQL = queries.queries(), oracles.oracle_sql()
-SLOW = {"champion_usual_models", "fc_gbt_lags", "fc_forest_lags"}  # fitted in test_models and test_scoring
 
 
 @pytest.fixture(scope="module")
@@ -52,7 +51,7 @@ def test_query_matches_its_sql(spark, duck, name):
     assert expected and got == expected
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
 def test_query_without_sql_yields_whole_finite_forecasts(spark, name):
     df = QUERIES[name](spark, SF)
     values = [r["l_quantity"] for r in df.collect()]
