@@ -165,3 +165,46 @@ def test_settings_are_read_and_checked():
             boosting_settings(bad)
     with pytest.raises(ValueError):
         forest_settings({"lambda": 1})
+
+
+def counted_blocks(monkeypatch, ys, settings):
+    """How many values the histograms of all trees have counted."""
+    counted = []
+    monkeypatch.setattr(T, "_add", lambda out, key, *rest, add=T._add: (counted.append(len(key)), add(out, key, *rest)))
+    forecast_block(ys, 1, settings)
+    return sum(counted)
+
+
+@pytest.mark.parametrize("settings", [boosting_settings({"n_estimators": 4}), forest_settings({"n_estimators": 4})])
+def test_idle_days_and_heavier_children_are_not_counted(monkeypatch, settings):
+    rng = np.random.default_rng(5)
+    ys = [np.where(rng.random(900) < 0.2, rng.integers(1, 40, 900), 0).astype(float) for _ in range(3)]
+    # Every window, lag and level once for gradients and once for weights would be all.
+    every = sum(len(y) - settings.lags for y in ys) * settings.lags * settings.max_depth * settings.trees * 2
+    assert 0 < counted_blocks(monkeypatch, ys, settings) < every / 10
+
+
+def test_equal_windows_are_one_row():
+    y = np.tile([0.0, 0.0, 0.0, 0.0, 0.0, 6.0, 2.0], 40)
+    for lags in (7, 40):  # more codes than a whole number of 64 bits holds
+        block = T.block_of([y, y[3:]], TreeSettings(lags=lags))
+        assert len(block.row_series) == 14 and block.each.sum() == len(block.cell)
+        assert (np.bincount(block.window_row).sum(), len(block.window_row)) == (len(block.target), 2 * len(y) - 3 - 2 * lags)
+
+
+def test_rows_left_out_of_a_boosted_tree_get_its_leaf():
+    ys = some_series()
+    settings = TreeSettings(lags=2, trees=8, max_depth=4, row_share=0.3, least_weight=2, l1=0.1)
+    for y, row in zip(ys, forecast_block(ys, 3, settings)):
+        assert row == pytest.approx(loop_forecast(y, 3, settings), rel=1e-7, abs=1e-7)
+
+
+def test_blocks_hold_series_of_like_bins_and_bounded_sums():
+    rng = np.random.default_rng(2)
+    ys = [rng.integers(0, [3, 5000][i % 2], 3000).astype(float) for i in range(60)]
+    made = list(T.blocks(ys, TreeSettings(max_bin=2000)))
+    assert sorted(i for some in made for i in some) == list(range(60))
+    assert sum(len({i % 2 for i in some}) > 1 for some in made) <= 1
+    for some in made:
+        assert sum(len(ys[i]) for i in some) <= BLOCK_ROWS
+        assert len(some) == 1 or len(some) * 7 * 32 * max(len(np.unique(ys[i])) for i in some if i % 2 == 0 or len(some) > 1) <= 2 * T.BLOCK_CELLS
