@@ -25,6 +25,7 @@ from panelcast.sources import tables
 from panelcast.sources.spool import shared_folder
 
 STEPS = 21
+BUCKET_CELLS = 1 << 21  # panel cells of one task of the table workflow
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -311,7 +312,7 @@ def ran_workflow(d: Dataset, models: list[Model], spark: SparkSession, sf_dir: s
     folder = f"{shared_folder(spark)}/{name}"
     facts = d.facts(spark, sf_dir).withColumn(d.spec.time, F.col(d.spec.time).cast("date"))
     facts.write.csv(f"{folder}/facts", header=True)
-    flow = Workflow(name, d.spec, d.cut, steps=STEPS, buckets=8, location=f"{folder}/db")
+    flow = Workflow(name, d.spec, d.cut, steps=STEPS, buckets=8, bucket_cells=BUCKET_CELLS, location=f"{folder}/db")
     flow.run(spark, f"{folder}/facts", facts.schema, models)
     return flow
 

@@ -3,7 +3,8 @@
 Every step reads catalog tables and writes catalog tables, so a step can be
 run again by itself. With ``buckets`` the tables are bucketed on the series
 keys by one shared count; reading the split, joining actuals with forecasts
-and joining forecasts with chosen models then need no further shuffle.
+and joining forecasts with chosen models then need no further shuffle. A
+bucket is read by one task; ``bucket_cells`` makes their number follow the data.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from panelcast.functions.metrics import Metric, resolve
 from panelcast.operators.models import Model
-from panelcast.operators.panel import filter_keys, make_panel, only
+from panelcast.operators.panel import clip, filter_keys, make_panel, only, series_count
 from panelcast.operators.scoring import best_model, champion_forecast, champion_mean_error, fully_scored, metrics_long, score_join, series_join
 from panelcast.operators.vectors import series_vectors
 from panelcast.plans import champion
@@ -29,7 +30,12 @@ from panelcast.spec import Cutoffs, PanelSpec, positive
 
 @dataclass(frozen=True)
 class Workflow:
-    """Settings shared by the steps; wrong ones are refused here."""
+    """Settings shared by the steps; wrong ones are refused here.
+
+    With ``bucket_cells``, ``buckets`` is the least number of buckets, and there
+    are so many that the panel has about that many cells in each. Tables
+    that already hold forecasts of other models keep the number they have.
+    """
 
     database: str
     spec: PanelSpec
@@ -38,6 +44,7 @@ class Workflow:
     metrics: tuple[str | Metric, ...] = ("rmse", "mae", "mape")
     select_on: str = "mape"
     buckets: int | None = None
+    bucket_cells: int | None = None
     few_per_day: bool = False
     location: str | None = None
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
@@ -46,6 +53,10 @@ class Workflow:
         positive("steps", self.steps)
         if self.buckets is not None:
             positive("buckets", self.buckets)
+        if self.bucket_cells is not None and not self.buckets:
+            raise ValueError("bucket_cells needs buckets")
+        if self.bucket_cells is not None:
+            positive("bucket_cells", self.bucket_cells)
         if self.few_per_day and not self.buckets:
             raise ValueError("few_per_day needs buckets")
         if self.spec.step_days != self.cut.step_days:
@@ -87,8 +98,10 @@ class Workflow:
 
     def split(self, spark: SparkSession) -> None:
         """Table ``input`` to table ``split``."""
-        panel = make_panel(self._read(spark, "input"), self.spec, self.cut, self.buckets, self.few_per_day)
-        self._replace(panel, "split")
+        facts = self._read(spark, "input")
+        buckets = self._wanted_buckets(spark, facts)
+        panel = make_panel(facts, self.spec, self.cut, buckets, self.few_per_day)
+        self._replace(panel, "split", buckets)
         self._log(spark, "split")
 
     def model(self, spark: SparkSession, models: Sequence[Model]) -> None:
@@ -101,13 +114,14 @@ class Workflow:
         vectors = series_vectors(self._read(spark, "split"), self.spec, self.cut)
         tested = champion.backtest(vectors, self.spec, models, self.cut.test_size, self.steps, self.metrics, self.select_on)
         tested = spool(tested.select(*self.spec.keys, "test_start", "future_start", "runs"))
+        buckets = self._buckets(spark)
         for table, rows in (
             ("forecast_on_test", champion.forecast_on_test(tested, self.spec)),
             ("all_models_forecast", champion.all_models_forecast(tested, self.spec)),
             ("runs", champion.run_errors(tested, self.spec)),
         ):
             sort = [self.spec.time] if self.spec.time in rows.columns else []
-            tables.create_table(spark, self.database, table, rows.schema, ["model"], self.spec.keys, sort, self.buckets)
+            tables.create_table(spark, self.database, table, rows.schema, ["model"], self.spec.keys, sort, buckets)
             tables.overwrite_partitions(rows, self.database, table)
         self._log(spark, "model", models=",".join(m.model_id for m in models))
 
@@ -120,7 +134,7 @@ class Workflow:
         after the window are forecast. ``no_forecast`` lists the series without
         one, with the errors that plug-ins reported or what else is the reason.
         """
-        spec = self.spec
+        spec, buckets = self.spec, self._buckets(spark)
         # Tables bucketed on the keys may be joined on (keys, day) without a shuffle.
         with tables.setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
             test = only(self._read(spark, "split"), "test")
@@ -130,15 +144,15 @@ class Workflow:
             null_keys = not test.filter(nulls).isEmpty()
             joined = score_join(test, self._read(spark, "forecast_on_test"), spec, null_keys)
             joined = fully_scored(joined, test, spec, null_keys)
-            self._replace(metrics_long(joined, spec, self.metrics), "metrics", sort=False)
+            self._replace(metrics_long(joined, spec, self.metrics), "metrics", buckets, sort=False)
             best = best_model(self._read(spark, "metrics"), spec, self.select_on)
-            self._replace(best, "best_models", sort=False)
+            self._replace(best, "best_models", buckets, sort=False)
             best = self._read(spark, "best_models")
             ahead = self._read(spark, "all_models_forecast").filter(
                 F.col(spec.time) > F.date_sub(F.lit(self.cut.execution_date), spec.step_days)
             )
-            self._replace(champion_forecast(ahead, best, spec, null_keys), "forecast")
-            self._replace(self._without(spark, null_keys), "no_forecast", sort=False)
+            self._replace(champion_forecast(ahead, best, spec, null_keys), "forecast", buckets)
+            self._replace(self._without(spark, null_keys), "no_forecast", buckets, sort=False)
         error = champion_mean_error(best).first()["mean_error"]
         self._log(spark, "evaluate", metric=self.select_on, value=error)
         return error
@@ -171,10 +185,22 @@ class Workflow:
     def _read(self, spark: SparkSession, table: str) -> DataFrame:
         return tables.read_table(spark, self.database, table)
 
-    def _replace(self, df: DataFrame, table: str, sort: bool = True) -> None:
+    def _wanted_buckets(self, spark: SparkSession, facts: DataFrame) -> int | None:
+        if not self.bucket_cells:
+            return self.buckets
+        if tables.has_table(spark, self.database, "forecast_on_test"):
+            return tables.bucket_count(spark, self.database, "forecast_on_test")
+        n_series = series_count(clip(facts, self.spec, self.cut), self.spec, approximate=True).first()["n_series"]
+        return max(self.buckets, -(-n_series * self.cut.window // self.bucket_cells))
+
+    def _buckets(self, spark: SparkSession) -> int | None:
+        """The number of buckets that ``split`` has been written with."""
+        return tables.bucket_count(spark, self.database, "split") if self.bucket_cells else self.buckets
+
+    def _replace(self, df: DataFrame, table: str, buckets: int | None, sort: bool = True) -> None:
         by = [*self.spec.keys, self.spec.time] if sort else []
         tables.write_table(
-            df, self.database, table, bucket_cols=self.spec.keys, sort_cols=by[-1:], buckets=self.buckets
+            df, self.database, table, bucket_cols=self.spec.keys, sort_cols=by[-1:], buckets=buckets
         )
 
     def _log(self, spark: SparkSession, step: str, metric: str | None = None, value: float | None = None, **extra) -> None:

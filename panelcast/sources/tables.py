@@ -100,6 +100,15 @@ def table_info(spark: SparkSession, database: str, table: str) -> dict[str, str]
     return {r["col_name"]: r["data_type"] for r in rows if r["col_name"] and not r["col_name"].startswith("#")}
 
 
+def has_table(spark: SparkSession, database: str, table: str) -> bool:
+    return spark.catalog.tableExists(_full(database, table))
+
+
+def bucket_count(spark: SparkSession, database: str, table: str) -> int | None:
+    found = table_info(spark, database, table).get("Num Buckets")
+    return None if found is None else int(found)
+
+
 def log_run(
     spark: SparkSession,
     database: str,

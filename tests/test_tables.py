@@ -169,3 +169,24 @@ def test_order_counts_when_asked_for(spark):
     with pytest.raises(AssertionError):
         assert_frames_equal(up, down, ignore_order=False)
     assert_frames_equal(up, down.orderBy("v"), ignore_order=False)
+
+
+def test_the_number_of_buckets_follows_the_panel(spark, database, tmp_path):
+    path = write_csv(tmp_path, *[days(FIRST, range(i, i + 30), item=i) for i in range(1, 13)])
+    cut, models = Cutoffs(date(2018, 12, 31), 40, 5), [make_model("NaiveMean"), make_model("NaiveDrift")]
+    flow = Workflow(database, SPEC, cut, steps=2, metrics=("mae",), select_on="mae", buckets=2, bucket_cells=80)
+    flow.run(spark, path, SCHEMA, models)
+    written = ("split", "forecast_on_test", "all_models_forecast", "runs", "metrics", "best_models", "forecast", "no_forecast")
+    assert {tables.bucket_count(spark, database, t) for t in written} == {6}
+    assert tables.bucket_count(spark, database, "input") is None
+    # Forecasts that are kept bind a later run to their number.
+    larger = Workflow(database, SPEC, cut, steps=2, metrics=("mae",), select_on="mae", buckets=2, bucket_cells=40)
+    larger.run(spark, path, SCHEMA, models)
+    assert {tables.bucket_count(spark, database, t) for t in written} == {6}
+    tables.create_database(spark, f"{database}_fixed")
+    fixed = Workflow(f"{database}_fixed", SPEC, cut, steps=2, metrics=("mae",), select_on="mae", buckets=2)
+    fixed.run(spark, path, SCHEMA, models)
+    assert rows(tables.read_table(spark, fixed.database, "forecast")) == rows(tables.read_table(spark, database, "forecast"))
+    for bad in ({"bucket_cells": 5}, {"buckets": 2, "bucket_cells": 0}):
+        with pytest.raises(ValueError):
+            Workflow(database, SPEC, cut, **bad)
