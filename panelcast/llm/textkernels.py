@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20  # bytes worked on at once
+SLICE = 1 << 20  # bytes of one text worked on at once
+GROUP = 1 << 17  # bytes of several texts worked on at once; work arrays take up to a hundred times as much
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _rng = np.random.default_rng(20240229)
@@ -40,7 +41,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers, _inverses
     if len(_powers) < n:
-        size = max(n, SLICE + 1)
+        size = max(n, 2 * len(_powers), GROUP + 1)
         _powers = np.full(size, _BASE, dtype=np.uint64)
         _inverses = np.full(size, _BASE_INVERSE, dtype=np.uint64)
         _powers[0] = _inverses[0] = 1
@@ -77,11 +78,13 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.frombuffer(data, dtype=np.uint8) if data else np.zeros(0, dtype=np.uint8)
 
 
-def slices(starts: np.ndarray, data: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int, int, int]]:
-    """(first row, last row + 1, first byte, last byte + 1): whole texts, or a part of a long one."""
+def slices(starts: np.ndarray, data: np.ndarray, limit: int = SLICE, group: int = GROUP) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, last row + 1, first byte, last byte + 1): whole texts, together up to ``group`` or one up to ``limit``, or a part of a longer one."""
     rows, row = len(starts) - 1, 0
     while row < rows:
-        stop = int(np.searchsorted(starts, starts[row] + limit, side="right")) - 1
+        stop = int(np.searchsorted(starts, starts[row] + min(group, limit), side="right")) - 1
+        if stop <= row and starts[row + 1] - starts[row] <= limit:
+            stop = row + 1
         if stop > row:
             stop = min(stop, rows)
             yield row, stop, int(starts[row]), int(starts[stop])

@@ -4,6 +4,7 @@ import collections
 import os
 
 import duckdb
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
@@ -74,3 +75,21 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     assert collections.Counter(r.doc_id for r in packed if r.start == 0) == collections.Counter(r.doc_id for r in mixed)
     run = corpus_pipeline.run(spark, SF)
     assert sorted((r.doc_id, r.piece, r.ids_crc32) for r in run.collect()) == sorted((r.doc_id, r.piece, r.ids_crc32) for r in packed)
+
+
+def test_pipeline_sends_texts_to_python_in_small_batches(spark):
+    key = corpus_pipeline.TEXT_BATCHES[0]
+    before = spark.conf.get(key)
+    docs = spark.range(64, numPartitions=1).selectExpr("id AS doc_id", "repeat('word ', 100000) AS text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]})
+
+    try:
+        for _, stage in (s for s in corpus_pipeline.STAGES if s[1].__name__ in ("quality", "near_dedup", "packing")):
+            spark.conf.set(key, before)
+            stage(spark, spark.read.parquet(f"{SF}/documents.parquet").limit(20), SF)
+            assert max(r.n for r in docs.mapInArrow(sizes, "n long").collect()) < 6e6
+    finally:
+        spark.conf.set(key, before)

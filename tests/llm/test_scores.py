@@ -7,7 +7,7 @@ import pyarrow as pa
 from panelcast.llm.features import indicators
 from panelcast.llm.nbsvm import dual_coordinate_descent, fit, sigmoid_fit
 from panelcast.llm.quality import accepted, score_quality
-from panelcast.llm.textkernels import shingle_set, word_hashes
+from panelcast.llm.textkernels import GROUP, SLICE, shingle_set, slices, word_hashes
 from panelcast.llm.toxicity import LabelModel, Lookup, _hash_words, dependency_tree, mined_terms, score_toxicity
 
 from .conftest import make_docs
@@ -107,6 +107,15 @@ def test_features_do_not_depend_on_the_rows_around_a_text(awkward):
         assert (next(iter(indicators(pa.array([text], pa.string())))) == row).all()
 
 
+def test_texts_are_worked_on_in_small_groups_and_cut_only_beyond_a_slice():
+    sizes = [0, 50_000, 50_000, 50_000, 300_000, 10, SLICE, 0, SLICE + 5, 7, 0]
+    starts = np.cumsum([0, *sizes])
+    found = list(slices(starts, np.full(starts[-1], 32, dtype=np.uint8)))
+    assert [low for _, _, low, _ in found] == [0, *[high for _, _, _, high in found[:-1]]] and found[-1][3] == starts[-1]
+    assert all(high - low <= GROUP for first, stop, low, high in found if stop - first > 1)
+    assert [first for first, _, _, _ in found if sizes[first] > GROUP] == [4, 6, 8, 8]
+
+
 def test_words_are_hashed_alike_wherever_they_stand():
     texts = ["a b c d e f", "x a b c d e", "A  b\tC\nd e", None, "é" * 10, ""]
     sets = {row: shingle_set(words) for row, words in word_hashes(pa.array(texts))}
