@@ -208,3 +208,41 @@ def test_blocks_hold_series_of_like_bins_and_bounded_sums():
     for some in made:
         assert sum(len(ys[i]) for i in some) <= BLOCK_ROWS
         assert len(some) == 1 or len(some) * 7 * 32 * max(len(np.unique(ys[i])) for i in some if i % 2 == 0 or len(some) > 1) <= 2 * T.BLOCK_CELLS
+
+
+def test_a_few_series_of_many_bins_do_not_widen_the_others():
+    rng = np.random.default_rng(4)
+    idle = [np.where(rng.random(400) < 0.3, rng.random(400), 0.0) for _ in range(60)]
+    busy = [np.arange(400.0) % 64 for _ in range(2)]
+    ys, settings = busy + idle, TreeSettings()
+    made = list(T.blocks(ys, settings))
+    width = [T.block_of([ys[i] for i in some], settings).cuts.shape[1] for some in made]
+    assert sorted(i for some in made for i in some) == list(range(62))
+    assert sorted((len(some), bool(w > 40)) for some, w in zip(made, width)) == [(2, True), (60, False)]
+
+
+@pytest.mark.parametrize("size", [1, 3, 2466, 99991, 1 << 20])
+def test_draws_pick_by_the_remainder(size):
+    step, few = np.uint64(size), np.arange(300, dtype=np.uint64)
+    top = np.uint64(2**64 - 1) // step
+    draws = np.concatenate([T._mixed(5, np.arange(5000)), few * step, few, (top - few) * step, (top - few) * step - np.uint64(1), few << np.uint64(32)])
+    assert (T._remainders(draws, np.full(len(draws), float(size))) == draws % step).all()
+    starts = np.arange(len(draws)) % 7
+    assert (T._picked(draws, np.full(len(draws), float(size)), starts) == (draws % step).astype(np.int64) + starts).all()
+
+
+def test_memory_of_a_block_is_used_again():
+    rng = np.random.default_rng(6)
+    ys = [np.where(rng.random(800) < 0.3, rng.integers(1, 60, 800), 0).astype(float) for _ in range(8)]
+    settings = boosting_settings({"n_estimators": 4})
+    block, scratch = T.block_of(ys, settings), T.Scratch()
+    weights = np.bincount(block.window_row, minlength=len(block.row_series)).astype(float)
+    root = np.empty((block.cuts.shape[1], settings.lags, len(ys)))
+    T._root_left(block, weights, block.per_series(weights), root, scratch)
+
+    def grown():
+        tree, values = T.grow(block, weights * np.sin(np.arange(len(weights))), weights, root, np.zeros(len(ys)), 0, settings, scratch)
+        return tree.value.tolist(), values.tolist(), {k: v.ctypes.data for k, v in scratch.kept.items()}
+
+    first, again = grown(), grown()
+    assert first == again
